@@ -22,4 +22,6 @@ def haversine_nm(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_dlon = F.radians(lon2 - lon1) / 2
     a = (F.pow(F.sin(half_dlat), 2)
          + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_dlon), 2))
-    return F.lit(EARTH_RADIUS_NM) * 2 * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    # not least(): it skips nulls, and a missing coordinate must stay a missing distance
+    clamped = F.when(a > 1.0, F.lit(1.0)).otherwise(a)
+    return F.lit(EARTH_RADIUS_NM) * 2 * F.asin(F.sqrt(clamped))
