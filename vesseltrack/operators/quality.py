@@ -5,7 +5,7 @@ A rule is (name, column, kind, arg). Kinds: ``not_null``; ``accepted``
 ``expr`` (rows where the SQL condition ``arg`` is false or null - a bound
 that holds by definition); ``unique`` (keys occurring more than once, nulls
 ignored, one grouped pass per key). The result is a small long table:
-check, column, failures.
+rule, column_name, failures.
 """
 
 from __future__ import annotations
@@ -71,14 +71,14 @@ def run_checks(df: DataFrame, rules, window=None, date_col: str = "event_date")
     if simple:
         row = df.agg(*[F.count_if(_failing(k, c, a)).alias(f"r{i}") for i, (k, c, a) in enumerate(simple)])
         stack = ", ".join(f"'{k}', '{c}', r{i}" for i, (k, c, _) in enumerate(simple))
-        parts.append(row.selectExpr(f"stack({len(simple)}, {stack}) as (check, column, failures)"))
+        parts.append(row.selectExpr(f"stack({len(simple)}, {stack}) as (rule, column_name, failures)"))
     for k, c, _ in rules:
         if k == "unique":
             dup = (df.where(F.col(c).isNotNull()).groupBy(c).count().where(F.col("count") > 1)
                      .agg(F.count(F.lit(1)).alias("failures")))
-            parts.append(dup.select(F.lit("unique").alias("check"), F.lit(c).alias("column"), "failures"))
+            parts.append(dup.select(F.lit("unique").alias("rule"), F.lit(c).alias("column_name"), "failures"))
     if not parts:
-        return spark.createDataFrame([], "check string, column string, failures bigint")
+        return spark.createDataFrame([], "rule string, column_name string, failures bigint")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

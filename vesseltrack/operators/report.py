@@ -35,7 +35,7 @@ def report_line(score_col: str = "risk_score") -> Column:
     """R2: ``name | mmsi | risk x.xxx | n anomalies[ | SANCTIONED]``."""
     return F.concat(
         _name(F.col("vessel_name")), F.lit(" | "), F.col("mmsi"),
-        F.lit(" | risk "), F.format_string("%.3f", F.col(score_col).cast("double")),
+        F.lit(" | risk "), fmt_float(F.col(score_col), 3),
         F.lit(" | "), F.col("total_anomalies").cast("long").cast("string"), F.lit(" anomalies"),
         F.when(F.col("is_sanctioned") == 1, F.lit(" | SANCTIONED")).otherwise(F.lit("")),
     )

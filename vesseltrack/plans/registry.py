@@ -193,3 +193,13 @@ ORACLE: dict[str, str] = {
                        "CAST(sanctions_mmsi_only_hit AS INTEGER) AS sanctions_mmsi_only_hit FROM sanctioned",
     "vessel_features": O.gold(features=True) + O.FEATURE_SELECT,
 }
+
+
+def _merge() -> None:
+    from vesseltrack.plans import registry_control, registry_model
+    for mod in (registry_control, registry_model):
+        QUERIES.update(mod.QUERIES)
+        ORACLE.update(mod.ORACLE)
+
+
+_merge()
