@@ -99,7 +99,9 @@ def ingest_sanctions(spark: SparkSession, path: str, tables: Tables = Tables())
 
 
 def run_window(spark: SparkSession, start=None, end=None, tables: Tables = Tables(),
-               full_refresh: bool = False, bucket_seconds: int | None = None) -> ProcessingWindow | None:
+               full_refresh: bool = False, bucket_seconds: int | None = None,
+               window_days: int = WINDOW_DAYS, end_date: date = END_DATE,
+               default_start: date = START_DEFAULT, fail_before_commit=None) -> ProcessingWindow | None:
     """One transform window through silver and gold, then the watermark.
 
     Window resolution (W3/W4/W6): explicit start+end replace that window and
@@ -118,7 +120,7 @@ def run_window(spark: SparkSession, start=None, end=None, tables: Tables = Table
     if full_refresh and not (start and end):
         win = None
     else:
-        win = resolve_window(start, end, read_watermark(spark, state_t))
+        win = resolve_window(start, end, read_watermark(spark, state_t), window_days, end_date, default_start)
         if win is None:
             return None
     mode = window_mode(win, spark.catalog.tableExists(tables["ais_clean"]), full_refresh)
@@ -130,10 +132,10 @@ def run_window(spark: SparkSession, start=None, end=None, tables: Tables = Table
     sanctions = spark.table(tables["sanctions"])
 
     def write(df: DataFrame, key: str) -> None:
-        if span is None:
-            store.overwrite_table(spark, df, tables[key], partition_by="event_date")
-        else:
+        if mode == "replace":
             store.replace_window(spark, df, tables[key], *span)
+        else:  # first build or full refresh: the table becomes exactly this result
+            store.overwrite_table(spark, df, tables[key], partition_by="event_date")
 
     write(clean(raw, span), "ais_clean")
     silver = spark.table(tables["ais_clean"])
@@ -145,6 +147,8 @@ def run_window(spark: SparkSession, start=None, end=None, tables: Tables = Table
     gaps_t, jumps_t = spark.table(tables["dark_gaps"]), spark.table(tables["impossible_speed"])
     write(anomaly_cues(gaps_t, jumps_t, sanctions, span), "anomaly_cues")
     store.overwrite_table(spark, vessel_features(gaps_t, jumps_t, sanctions), tables["vessel_features"])
+    if fail_before_commit is not None:  # test hook: a failure after the writes
+        fail_before_commit()
     if win is not None:
         store.commit_watermark(spark, state_t, win)
     return win

@@ -82,5 +82,6 @@ def with_lineage(df: DataFrame, source_file: Column | str | None = None,
     if source_file is not None:
         out = out.withColumn("_source_file", source_file)
     # keep lineage columns last, in their fixed order
-    rest = [c for c in out.columns if c not in ("_ingestion_ts", "_source_file")]
-    return out.select(*rest, "_ingestion_ts", "_source_file")
+    lineage = [c for c in ("_ingestion_ts", "_source_file") if c in out.columns]
+    rest = [c for c in out.columns if c not in lineage]
+    return out.select(*rest, *lineage)
