@@ -68,3 +68,10 @@ def test_random_pings_split_equals_plain(spark, pings):
                                "vessel_name string")
     assert _same(timeline(df, bucket_seconds=3600), timeline_plain(df))
     assert _same(dark_gaps(timeline(df, bucket_seconds=3600)), dark_gaps(timeline_plain(df)))
+
+
+def test_lookback_table_gives_same_timeline(spark):
+    from vesseltrack.operators.timeline import daily_last_ping
+    c = clean(ais_raw_from_events(spark, SF_SMALL))
+    w = ("2024-01-12", "2024-01-18")
+    assert _same(timeline(c, w, lookback=daily_last_ping(c)), timeline(c, w))

@@ -41,17 +41,37 @@ def prior_ping(clean: DataFrame, before) -> DataFrame:
     return last.select("mmsi", *[F.col(f"p.{c}").alias(c) for c in TIMELINE_INPUT[1:]])
 
 
-def timeline_input(clean: DataFrame, window=None) -> DataFrame:
-    """Rows that take part in the timeline: the window's pings plus one prior ping each."""
+def daily_last_ping(clean: DataFrame) -> DataFrame:
+    """Last ping per (vessel, day): a compact lookback table (one row per vessel-day).
+
+    The prior ping of any window is the last row of this table before the
+    window, so a windowed run reads vessel-days instead of all pings of
+    history. Kept with the same replace-window writes as silver.
+    """
+    w = Window.partitionBy("mmsi", "event_date").orderBy(F.col("base_date_time").desc())
+    return (clean.where(F.col("base_date_time").isNotNull())
+                 .select("event_date", *TIMELINE_INPUT)
+                 .withColumn("_rn", F.row_number().over(w))
+                 .where(F.col("_rn") == 1)
+                 .drop("_rn"))
+
+
+def timeline_input(clean: DataFrame, window=None, lookback: DataFrame | None = None) -> DataFrame:
+    """Rows that take part in the timeline: the window's pings plus one prior ping each.
+
+    ``lookback`` is where the prior ping is searched (default: ``clean``
+    itself; a :func:`daily_last_ping` table gives the same ping for less).
+    """
     if window is None:
         return clean.select(*TIMELINE_INPUT)
     start, end = (x if isinstance(x, date) else date.fromisoformat(str(x)) for x in window)
     rows = (clean.where(F.col("event_date").between(F.lit(start), F.lit(end)))
                  .select(*TIMELINE_INPUT))
-    return rows.unionByName(prior_ping(clean, start))
+    return rows.unionByName(prior_ping(clean if lookback is None else lookback, start))
 
 
-def timeline(clean: DataFrame, window=None, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def timeline(clean: DataFrame, window=None, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+             lookback: DataFrame | None = None) -> DataFrame:
     """Pings with ``prev_ts``, ``prev_lat``, ``prev_lon`` of the vessel's previous ping.
 
     The predecessor is taken as is (not IGNORE NULLS): a predecessor without a
@@ -59,7 +79,7 @@ def timeline(clean: DataFrame, window=None, bucket_seconds: int = DEFAULT_BUCKET
     left out: they sort first, so they could only ever be the predecessor of a
     vessel's first ping, which never forms an event.
     """
-    rows = (timeline_input(clean, window)
+    rows = (timeline_input(clean, window, lookback)
             .where(F.col("base_date_time").isNotNull())
             .withColumn("_bucket", F.floor(F.unix_micros("base_date_time") / F.lit(bucket_seconds * 1_000_000))))
     return _split_lag(rows)

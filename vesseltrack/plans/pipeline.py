@@ -19,7 +19,7 @@ from vesseltrack.operators.detect import dark_gaps, impossible_speed
 from vesseltrack.operators.features import vessel_features
 from vesseltrack.operators.iforest import risk_scores
 from vesseltrack.operators.report import watchlist
-from vesseltrack.operators.timeline import timeline
+from vesseltrack.operators.timeline import daily_last_ping, timeline
 from vesseltrack.plans import store
 from vesseltrack.plans.window import (
     END_DATE, START_DEFAULT, WINDOW_DAYS, ProcessingWindow, next_window_frame, resolve_window, window_mode,
@@ -38,6 +38,7 @@ class Tables:
         "ais_raw": ("bronze", "ais_raw"),
         "sanctions": ("bronze", "sanctions"),
         "ais_clean": ("silver", "ais_clean"),
+        "last_ping": ("silver", "ais_last_ping_daily"),
         "window_state": ("silver", "dbt_window_state"),
         "dark_gaps": ("gold", "ais_dark_gaps"),
         "impossible_speed": ("gold", "ais_impossible_speed"),
@@ -139,9 +140,16 @@ def run_window(spark: SparkSession, start=None, end=None, tables: Tables = Table
 
     write(clean(raw, span), "ais_clean")
     silver = spark.table(tables["ais_clean"])
+    # the window's days of the vessel-day lookback table (read by later windows)
+    if mode == "replace" and not spark.catalog.tableExists(tables["last_ping"]):
+        # silver predates the lookback table: build it once from all of silver
+        store.overwrite_table(spark, daily_last_ping(silver), tables["last_ping"], partition_by="event_date")
+    else:
+        window_silver = silver if span is None else silver.where(F.col("event_date").between(*span))
+        write(daily_last_ping(window_silver), "last_ping")
     kw = {} if bucket_seconds is None else {"bucket_seconds": bucket_seconds}
     # one timeline feeds both detectors; checkpointed so it is computed once
-    tl = timeline(silver, span, **kw).checkpoint(eager=True)
+    tl = timeline(silver, span, lookback=spark.table(tables["last_ping"]), **kw).checkpoint(eager=True)
     write(dark_gaps(tl, span), "dark_gaps")
     write(impossible_speed(tl, span), "impossible_speed")
     gaps_t, jumps_t = spark.table(tables["dark_gaps"]), spark.table(tables["impossible_speed"])
