@@ -115,6 +115,29 @@ def replace_files(spark: SparkSession, df: DataFrame, table: str, files: list[st
     return obs.get["rows"]
 
 
+def overwrite_partitions(spark: SparkSession, df: DataFrame, table: str, partition_col: str) -> int:
+    """Replace exactly the partitions present in ``df`` (dynamic partition overwrite).
+
+    Right when the partition key identifies the unit being replaced (a source
+    file); wrong for date windows, where a day without new rows must be
+    emptied - that is :func:`replace_window`.
+    """
+    ensure_namespace(spark, table)
+    df, obs = counted(df)
+    if not spark.catalog.tableExists(table):
+        df.write.format("parquet").partitionBy(partition_col).saveAsTable(table)
+    else:
+        cols = spark.table(table).columns
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*cols).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
+    return obs.get["rows"]
+
+
 def commit_watermark(spark: SparkSession, table: str, window) -> bool:
     """Write ``last_end`` only for an advancing window; returns whether it did."""
     if window is None or not getattr(window, "advance", False) or not window.end:
