@@ -22,7 +22,7 @@ from vesseltrack.operators.detect import dark_gaps, impossible_speed
 from vesseltrack.operators.features import (
     gap_profile, jump_profile, sanctions_match, vessel_features, vessel_names, vessels_any,
 )
-from vesseltrack.operators.timeline import TIMELINE_COLUMNS, prior_ping, timeline
+from vesseltrack.operators.timeline import TIMELINE_COLUMNS, daily_last_ping, prior_ping, timeline
 from vesseltrack.session import pin_utc
 from vesseltrack.sources.fixtures import ais_raw_from_events, sanctions_from_supplier
 
@@ -95,6 +95,18 @@ def _q_prior_ping(spark, d):
     return for_compare(prior_ping(Inputs(spark, d).clean(), WINDOW[0]))
 
 
+def _q_dedup(spark, d):
+    return for_compare(dedup_latest(Inputs(spark, d).raw()))
+
+
+def _q_last_ping(spark, d):
+    return for_compare(daily_last_ping(Inputs(spark, d).clean()))
+
+
+def _q_prior_from_lookback(spark, d):
+    return for_compare(prior_ping(daily_last_ping(Inputs(spark, d).clean()), WINDOW[0]))
+
+
 def _q_timeline(spark, d):
     return for_compare(Inputs(spark, d).timeline().select(*TIMELINE_COLUMNS))
 
@@ -147,6 +159,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ais_clean": _q_clean,
     "ais_clean_window": _q_clean_window,
     "prior_ping": _q_prior_ping,
+    "ais_dedup": _q_dedup,
+    "last_ping_daily": _q_last_ping,
+    "prior_ping_lookback": _q_prior_from_lookback,
     "timeline": _q_timeline,
     "dark_gaps": _q_dark_gaps,
     "impossible_speed": _q_speed,
@@ -175,6 +190,12 @@ ORACLE: dict[str, str] = {
     "ais_clean": _CLEAN + f"SELECT {_CLEAN_COLS}, quality_flag, event_date FROM ais_clean",
     "ais_clean_window": _CLEAN_W + f"SELECT {_CLEAN_COLS}, quality_flag, event_date FROM ais_clean",
     "prior_ping": O.with_ctes(O.AIS_RAW, O.clean_ctes(), O.timeline_ctes(WINDOW)) + "SELECT * FROM prior_ping",
+    "ais_dedup": _CLEAN + f"SELECT {_CLEAN_COLS} FROM dedup",
+    "last_ping_daily": _CLEAN + (", lp AS (SELECT *, row_number() OVER (PARTITION BY mmsi, event_date "
+                                 "ORDER BY base_date_time DESC) AS rn FROM ais_clean WHERE base_date_time IS NOT NULL) "
+                                 "SELECT event_date, mmsi, vessel_name, base_date_time, latitude, longitude "
+                                 "FROM lp WHERE rn = 1"),
+    "prior_ping_lookback": O.with_ctes(O.AIS_RAW, O.clean_ctes(), O.timeline_ctes(WINDOW)) + "SELECT * FROM prior_ping",
     "timeline": O.with_ctes(O.AIS_RAW, O.clean_ctes(), O.timeline_ctes())
                 + "SELECT mmsi, vessel_name, base_date_time, latitude, longitude, prev_ts, prev_lat, prev_lon FROM timeline",
     "dark_gaps": O.gold() + O.DARK_GAP_SELECT,

@@ -8,6 +8,7 @@ from vesseltrack import oracle as O
 from vesseltrack.operators.features import vessel_features
 from vesseltrack.operators.iforest import CAPS, MODEL_COLUMNS, model_column, model_inputs, risk_scores, standardise
 from vesseltrack.operators.quality import RULES, run_checks
+from vesseltrack.operators.quantile import exact_quantile
 from vesseltrack.operators.report import report_lines, report_table, top_k, watchlist
 from vesseltrack.schemas import MODEL_FEATURES
 
@@ -98,7 +99,25 @@ def _q_report_lines(spark, d):
     return report_lines(watchlist(_scores(spark, d)))
 
 
+def _q_check_window(spark, d):
+    from vesseltrack.plans.registry import WINDOW, Inputs
+    i = Inputs(spark, d)
+    rules = [r for r in RULES["ais_clean"]]
+    return run_checks(i.clean(), rules, window=WINDOW)
+
+
+def _q_p95(spark, d):
+    """Exact 95th percentile (linear) of every capped model input, from executors."""
+    f, _ = _features(spark, d)
+    x = model_inputs(f).checkpoint(eager=True)
+    rows = [(c, exact_quantile(x, model_column(c), 0.95, bins=64, fetch=32)) for c in MODEL_FEATURES]
+    return spark.createDataFrame(rows, "feature string, p95 double").select(
+        "feature", F.round("p95", 6).alias("p95"))
+
+
 QUERIES = {
+    "check_window": _q_check_window,
+    "features_p95": _q_p95,
     "features_capped": _q_capped,
     "features_scaled": _q_scaled,
     "check_not_null": _q_check_not_null,
@@ -174,7 +193,16 @@ def _int_sql(c: str) -> str:
     return f"coalesce(CAST(CAST(trunc(CAST({c} AS DOUBLE)) AS BIGINT) AS VARCHAR), '—')"
 
 
+_WIN_NOT_NULL = " UNION ALL ".join(
+    _count_rule("not_null", c, f"{c} IS NULL", "win")
+    for c in ["mmsi", "base_date_time", "latitude", "longitude", "sog", "event_date"]) + " UNION ALL " + \
+    _count_rule("is_null", "quality_flag", "quality_flag IS NOT NULL", "win")
+
 ORACLE = {
+    "check_window": O.with_ctes(O.AIS_RAW, O.clean_ctes()) + ", win AS (SELECT * FROM ais_clean WHERE event_date "
+                    f"BETWEEN DATE '{O.WINDOW[0]}' AND DATE '{O.WINDOW[1]}') " + _WIN_NOT_NULL,
+    "features_p95": _FEAT + ", " + _CAPPED + " " + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(quantile_cont({c}, 0.95), 6) AS p95 FROM capped" for c in MODEL_FEATURES),
     "features_capped": _FEAT + ", " + _CAPPED + " SELECT mmsi, "
                        + ", ".join(f"round({c}, 6) AS {c}" for c in MODEL_FEATURES) + " FROM capped",
     "features_scaled": _FEAT + ", " + _CAPPED + f" SELECT mmsi, {_SCALED_COLS} FROM capped",
