@@ -75,3 +75,18 @@ def test_lookback_table_gives_same_timeline(spark):
     c = clean(ais_raw_from_events(spark, SF_SMALL))
     w = ("2024-01-12", "2024-01-18")
     assert _same(timeline(c, w, lookback=daily_last_ping(c)), timeline(c, w))
+
+
+def test_hot_hour_is_recut(spark):
+    """One vessel-hour above the row bound is re-cut into fine buckets; rows are unchanged."""
+    from vesseltrack.operators.timeline import _fine_width
+    assert _fine_width(3_600_000_000, 2_000_000) == 2_000_000
+    assert _fine_width(3_600_000_000, 7) == 6
+    base = datetime(2024, 1, 1, 5)
+    rows = [("211000001", base + timedelta(microseconds=37 * i), -70.0, 40.0 + (i % 7), "H") for i in range(400)]
+    rows += [("211000001", base + timedelta(hours=3, seconds=i), -70.0, 41.0, "H") for i in range(3)]
+    rows += [("211000002", base + timedelta(minutes=i), -71.0, 41.0, "N") for i in range(50)]
+    df = spark.createDataFrame(rows, "mmsi string, base_date_time timestamp, longitude double, latitude double, "
+                                     "vessel_name string")
+    for bound in (10, 100, 10_000):
+        assert _same(timeline(df, max_group_rows=bound), timeline_plain(df))

@@ -20,10 +20,25 @@ from pyspark.sql import functions as F
 TIMELINE_INPUT = ["mmsi", "vessel_name", "base_date_time", "latitude", "longitude"]
 TIMELINE_COLUMNS = TIMELINE_INPUT + ["prev_ts", "prev_lat", "prev_lon"]
 
-# Default time bucket of the split lag: one hour. A finer bucket bounds the
-# largest task further for very hot ids; a coarser one makes the context
-# aggregate smaller. Any value gives the same rows.
+# Default time bucket of the split lag: one hour. A (mmsi, hour) holding more
+# than MAX_GROUP_ROWS pings is re-cut into fine buckets of at most that many
+# microseconds: (mmsi, ts) is unique after dedup, so a fine bucket can never
+# hold more rows than its width in microseconds. Any setting gives the same rows.
 DEFAULT_BUCKET_SECONDS = 3600
+MAX_GROUP_ROWS = 2_000_000
+MAX_BROADCAST_HOT = 100_000
+
+
+def _fine_width(primary_us: int, max_rows: int) -> int:
+    """Largest divisor of the primary width (in microseconds) not above ``max_rows``."""
+    best, d = 1, 1
+    while d * d <= primary_us:
+        if primary_us % d == 0:
+            for c in (d, primary_us // d):
+                if c <= max_rows and c > best:
+                    best = c
+        d += 1
+    return best
 
 
 def prior_ping(clean: DataFrame, before) -> DataFrame:
@@ -71,7 +86,7 @@ def timeline_input(clean: DataFrame, window=None, lookback: DataFrame | None = N
 
 
 def timeline(clean: DataFrame, window=None, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-             lookback: DataFrame | None = None) -> DataFrame:
+             lookback: DataFrame | None = None, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Pings with ``prev_ts``, ``prev_lat``, ``prev_lon`` of the vessel's previous ping.
 
     The predecessor is taken as is (not IGNORE NULLS): a predecessor without a
@@ -81,8 +96,34 @@ def timeline(clean: DataFrame, window=None, bucket_seconds: int = DEFAULT_BUCKET
     """
     rows = (timeline_input(clean, window, lookback)
             .where(F.col("base_date_time").isNotNull())
-            .withColumn("_bucket", F.floor(F.unix_micros("base_date_time") / F.lit(bucket_seconds * 1_000_000))))
-    return _split_lag(rows)
+            .withColumn("_us", F.unix_micros("base_date_time")))
+    return _split_lag(_with_buckets(rows, bucket_seconds * 1_000_000, max_group_rows))
+
+
+def _with_buckets(rows: DataFrame, primary_us: int, max_group_rows: int) -> DataFrame:
+    """``_bucket``: a time-ordered group key per vessel with at most ``max_group_rows`` rows.
+
+    Bucket keys count fine buckets: a normal (mmsi, primary) group takes the
+    key of its first fine bucket, a hot one keeps each row's own fine bucket.
+    Hot groups are found by a partial count per (mmsi, primary bucket); the
+    list is broadcast when bounded, else joined by a shuffle.
+    """
+    fine = _fine_width(primary_us, max_group_rows)
+    per = primary_us // fine
+    us = F.col("_us")
+    primary = F.expr(f"_us div {primary_us}")
+    rows = rows.withColumn("_p", primary)
+    if fine >= primary_us:  # the primary width already bounds every group
+        return rows.withColumn("_bucket", F.col("_p")).drop("_p", "_us")
+    hot = (rows.groupBy("mmsi", "_p").agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > max_group_rows).select("mmsi", "_p", F.lit(True).alias("_hot")))
+    n_hot = hot.limit(MAX_BROADCAST_HOT + 1).count()
+    if n_hot == 0:
+        return rows.withColumn("_bucket", F.col("_p") * per).drop("_p", "_us")
+    hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT else hot
+    tagged = rows.join(hot, ["mmsi", "_p"], "left")
+    bucket = F.when(F.col("_hot"), F.expr(f"_us div {fine}")).otherwise(F.col("_p") * per)
+    return tagged.withColumn("_bucket", bucket).drop("_p", "_us", "_hot")
 
 
 def _split_lag(rows: DataFrame) -> DataFrame:
