@@ -3,21 +3,21 @@ replace-window on partitioned Parquet tables, watermark commit (K1-K9).
 
 Tables are catalog tables in Parquet, partitioned by their window key. There
 is no transaction log here, so the replace-window write is built from plain
-Spark SQL steps that are safe to rerun: the new rows are first staged in the
-shared checkpoint folder (fully computed, checked), then the window's
-partitions are dropped and the staged rows appended. A failure between the
-steps leaves the watermark where it was, and the next run replaces the same
-window again.
+Spark SQL steps that are safe to rerun: the new rows are first written once,
+partitioned, to a staging folder inside the table's directory (fully computed,
+then checked), and the window's partitions are swapped for the staged folders
+with ALTER TABLE ... DROP / ADD PARTITION. A failure between the steps leaves
+the watermark where it was, and the next run replaces the same window again.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from vesseltrack.session import scratch_path
 
 
 def table_name(layer: str, name: str, sandbox: str | None = None) -> str:
@@ -50,17 +50,6 @@ def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
     return obs.get["rows"]
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Materialise ``df`` under the shared checkpoint folder and read it back.
-
-    Everything upstream is computed before the caller touches its target, and
-    the staged copy survives executor loss.
-    """
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def _date_list(start: date, end: date) -> list[date]:
     return [start + timedelta(days=i) for i in range((end - start).days + 1)]
 
@@ -77,29 +66,56 @@ def _append(spark: SparkSession, df: DataFrame, table: str) -> None:
     df.select(*cols).write.insertInto(table)
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """Root folder of a catalog table."""
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if r["col_name"] == "Location":
+            return r["data_type"].rstrip("/")
+    raise ValueError(f"no location for {table}")
+
+
+def _add_partitions(spark: SparkSession, table: str, column: str, locations: dict[str, str]) -> None:
+    items = sorted(locations.items())
+    for i in range(0, len(items), 100):
+        specs = " ".join(f"PARTITION ({column} = '{v}') LOCATION '{loc}'" for v, loc in items[i:i + 100])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+
+
 def replace_window(spark: SparkSession, df: DataFrame, table: str, start, end,
                    partition_col: str = "event_date") -> int:
     """K4: make the table's rows with ``partition_col`` in [start, end] equal ``df``.
 
-    Days of the window without new rows end up empty; days outside it are
-    untouched. Rows outside the window make the call fail before anything is
-    dropped. On first use the table is created from ``df``.
+    The result is written once, partitioned, into a staging folder inside the
+    table's own directory (hidden by its leading underscore). Then every row is
+    checked to be inside the window, the window's partitions are dropped and
+    the staged day folders are attached as the new partitions - a metadata
+    swap, no second copy. Days of the window without new rows end up empty;
+    days outside it are untouched; a failed check leaves the table as it was.
+    On first use an empty partitioned table is created from ``df``'s schema.
     """
     start = start if isinstance(start, date) else date.fromisoformat(str(start))
     end = end if isinstance(end, date) else date.fromisoformat(str(end))
     ensure_namespace(spark, table)
-    staged = stage(spark, df, "replace-window")
+    if not spark.catalog.tableExists(table):
+        df.where(F.lit(False)).write.format("parquet").partitionBy(partition_col).saveAsTable(table)
+    stage_dir = f"{table_location(spark, table)}/_stage-{uuid.uuid4().hex}"
+    # the checks ride along with the single write as observed metrics
     key = F.col(partition_col)
-    outside = staged.where(key.isNull() | ~key.between(F.lit(start), F.lit(end))).limit(1).count()
-    if outside:
+    obs = Observation("replace-window")
+    observed = df.observe(
+        obs, F.count(F.lit(1)).alias("rows"),
+        F.count_if(key.isNull() | ~key.between(F.lit(start), F.lit(end))).alias("outside"),
+        F.collect_set(key.cast("string")).alias("days"))
+    observed.write.format("parquet").partitionBy(partition_col).save(stage_dir)
+    m = obs.get
+    if m["outside"]:
         raise ValueError(f"rows outside [{start}, {end}] in the result for {table}")
-    staged, obs = counted(staged)
-    if not spark.catalog.tableExists(table):
-        staged.write.format("parquet").partitionBy(partition_col).saveAsTable(table)
-    else:
-        _drop_partitions(spark, table, partition_col, [d.isoformat() for d in _date_list(start, end)])
-        _append(spark, staged, table)
-    return obs.get["rows"]
+    rows = m["rows"]
+    staged_days = {v: f"{stage_dir}/{partition_col}={v}" for v in m["days"]}
+    _drop_partitions(spark, table, partition_col, [d.isoformat() for d in _date_list(start, end)])
+    _add_partitions(spark, table, partition_col, staged_days)
+    spark.catalog.refreshTable(table)
+    return rows
 
 
 def replace_files(spark: SparkSession, df: DataFrame, table: str, files: list[str],
