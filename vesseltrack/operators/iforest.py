@@ -266,22 +266,21 @@ def risk_scores(spark, features: DataFrame, n_trees: int = N_TREES, sample_size:
                 contamination: float = CONTAMINATION, seed: int = SEED) -> DataFrame | None:
     """M1-M7: features + ``risk_score`` (0-1) + ``is_outlier``; None for an empty input.
 
-    The model inputs and the scored frame are checkpointed (reliably, in the
-    shared folder), so the fit's passes and the min/max and quantile passes
+    The model inputs and the scored frame are materialised (Parquet in the
+    shared checkpoint folder), so the fit's passes and the min/max and quantile passes
     neither recompute the features nor re-run the forest.
     """
-    from vesseltrack.session import ensure_checkpoint_dir
+    from vesseltrack.session import materialize
 
-    ensure_checkpoint_dir(spark)
     keep = ["mmsi", "vessel_name", *MODEL_FEATURES, "total_anomalies"]
     # one row per vessel, materialised once: the fit makes several passes over it
-    inputs = model_inputs(features.select(*keep)).checkpoint(eager=True)
+    inputs = materialize(model_inputs(features.select(*keep)), "forest-inputs")
     n_rows = inputs.count()
     if n_rows == 0:
         return None
     x = standardise(inputs)
     forest = fit_forest(x, n_trees=n_trees, sample_size=sample_size, seed=seed, n_rows=n_rows)
-    raw = score_frame(x, forest).drop(*MODEL_COLUMNS).checkpoint(eager=True)
+    raw = materialize(score_frame(x, forest).drop(*MODEL_COLUMNS), "forest-scores")
     mm = raw.agg(F.min("raw_score").alias("lo"), F.max("raw_score").alias("hi")).first()
     span = mm["hi"] - mm["lo"]
     cut = exact_quantile(raw, "raw_score", 1.0 - contamination)

@@ -24,7 +24,7 @@ from vesseltrack.plans import store
 from vesseltrack.plans.window import (
     END_DATE, START_DEFAULT, WINDOW_DAYS, ProcessingWindow, next_window_frame, resolve_window, window_mode,
 )
-from vesseltrack.session import ensure_checkpoint_dir, pin_utc
+from vesseltrack.session import ensure_checkpoint_dir, materialize, pin_utc
 from vesseltrack.sources.ais import read_ais, with_lineage
 from vesseltrack.sources.catalog import ingested_files, read_watermark
 from vesseltrack.sources.sanctions import read_sanctions
@@ -148,8 +148,8 @@ def run_window(spark: SparkSession, start=None, end=None, tables: Tables = Table
         window_silver = silver if span is None else silver.where(F.col("event_date").between(*span))
         write(daily_last_ping(window_silver), "last_ping")
     kw = {} if bucket_seconds is None else {"bucket_seconds": bucket_seconds}
-    # one timeline feeds both detectors; checkpointed so it is computed once
-    tl = timeline(silver, span, lookback=spark.table(tables["last_ping"]), **kw).checkpoint(eager=True)
+    # one timeline feeds both detectors; materialised so it is computed once
+    tl = materialize(timeline(silver, span, lookback=spark.table(tables["last_ping"]), **kw), "timeline")
     write(dark_gaps(tl, span), "dark_gaps")
     write(impossible_speed(tl, span), "impossible_speed")
     gaps_t, jumps_t = spark.table(tables["dark_gaps"]), spark.table(tables["impossible_speed"])

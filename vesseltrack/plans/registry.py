@@ -23,7 +23,7 @@ from vesseltrack.operators.features import (
     gap_profile, jump_profile, sanctions_match, vessel_features, vessel_names, vessels_any,
 )
 from vesseltrack.operators.timeline import TIMELINE_COLUMNS, daily_last_ping, prior_ping, timeline
-from vesseltrack.session import pin_utc
+from vesseltrack.session import materialize, pin_utc
 from vesseltrack.sources.fixtures import ais_raw_from_events, sanctions_from_supplier
 
 WINDOW = O.WINDOW
@@ -59,8 +59,22 @@ class Inputs:
     def clean(self):
         return clean(self.raw())
 
+    def silver(self):
+        """The cleaned pings materialised once (Parquet in the shared checkpoint folder).
+
+        Stands in for the silver table the pipeline reads: the timeline's
+        hot-group check, its context aggregate and both detectors then read
+        stored rows instead of recomputing the dedup shuffle.
+        """
+        if not hasattr(self, "_silver"):
+            self._silver = materialize(self.clean(), "silver")
+        return self._silver
+
     def timeline(self):
-        return timeline(self.clean(), self.window)
+        # one timeline (and one hot-group check) shared by both detectors
+        if not hasattr(self, "_timeline"):
+            self._timeline = timeline(self.silver(), self.window)
+        return self._timeline
 
     def gaps(self):
         return dark_gaps(self.timeline(), self.window)

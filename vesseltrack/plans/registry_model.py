@@ -11,6 +11,7 @@ from vesseltrack.operators.quality import RULES, run_checks
 from vesseltrack.operators.quantile import exact_quantile
 from vesseltrack.operators.report import report_lines, report_table, top_k, watchlist
 from vesseltrack.schemas import MODEL_FEATURES
+from vesseltrack.session import materialize
 
 
 def _features(spark, d):
@@ -109,7 +110,7 @@ def _q_check_window(spark, d):
 def _q_p95(spark, d):
     """Exact 95th percentile (linear) of every capped model input, from executors."""
     f, _ = _features(spark, d)
-    x = model_inputs(f).checkpoint(eager=True)
+    x = materialize(model_inputs(f), "p95-inputs")
     rows = [(c, exact_quantile(x, model_column(c), 0.95, bins=64, fetch=32)) for c in MODEL_FEATURES]
     return spark.createDataFrame(rows, "feature string, p95 double").select(
         "feature", F.round("p95", 6).alias("p95"))

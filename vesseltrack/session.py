@@ -69,3 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for staged writes."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/vt-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Preferred to ``Dataset.checkpoint()`` for wide frames: the copy is
+    columnar and compressed, and readers prune columns and push filters into
+    it. The folder is on the cluster's shared storage, so the copy outlives a
+    lost executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
