@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 
 from vesseltrack.operators.quantile import exact_quantile
 from vesseltrack.schemas import MODEL_FEATURES
+from vesseltrack.session import materialize
 
 # Model size, sample size, outlier share, seed, and the upper clip
 # per feature (physical sanity ceilings: knots, nautical miles, hours, hours).
@@ -85,16 +86,19 @@ def model_inputs(features: DataFrame, cols=MODEL_FEATURES, caps=CAPS) -> DataFra
     return features.select("*", *out)
 
 
-def standardise(x: DataFrame, cols=MODEL_COLUMNS) -> DataFrame:
-    """M3: zero mean, unit population std per column (a zero std divides by 1)."""
-    aggs = []
+def scaler_stats(x: DataFrame, cols=MODEL_COLUMNS) -> tuple[int, list[tuple[float, float]]]:
+    """Row count and (mean, population std) per column, in one aggregation."""
+    aggs = [F.count(F.lit(1)).alias("n")]
     for i, c in enumerate(cols):
         aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
     st = x.agg(*aggs).first()
-    scaled = {}
-    for i, c in enumerate(cols):
-        m, s = st[f"m{i}"] or 0.0, st[f"s{i}"] or 0.0
-        scaled[c] = (F.col(c) - F.lit(m)) / F.lit(s if s > 0 else 1.0)
+    return st["n"], [(st[f"m{i}"] or 0.0, st[f"s{i}"] or 0.0) for i in range(len(cols))]
+
+
+def standardise(x: DataFrame, cols=MODEL_COLUMNS, stats=None) -> DataFrame:
+    """M3: zero mean, unit population std per column (a zero std divides by 1)."""
+    params = scaler_stats(x, cols)[1] if stats is None else stats
+    scaled = {c: (F.col(c) - F.lit(m)) / F.lit(s if s > 0 else 1.0) for c, (m, s) in zip(cols, params)}
     return x.withColumns(scaled)
 
 
@@ -123,6 +127,8 @@ def tree_samples(x: DataFrame, n_rows: int, n_trees: int = N_TREES, sample_size:
     first = draw(F.sequence(F.lit(0), F.lit(n_trees - 1)), threshold)
     if threshold is None:
         return first
+    # the draw is small (<= n_trees x sample_size rows): store it once, count from the copy
+    first = materialize(first, "forest-sample")
     counts = {r["tree"]: r["n"] for r in first.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).collect()}
     short = [t for t in range(n_trees) if counts.get(t, 0) < need]
     if not short:
@@ -270,20 +276,19 @@ def risk_scores(spark, features: DataFrame, n_trees: int = N_TREES, sample_size:
     shared checkpoint folder), so the fit's passes and the min/max and quantile passes
     neither recompute the features nor re-run the forest.
     """
-    from vesseltrack.session import materialize
-
     keep = ["mmsi", "vessel_name", *MODEL_FEATURES, "total_anomalies"]
     # one row per vessel, materialised once: the fit makes several passes over it
     inputs = materialize(model_inputs(features.select(*keep)), "forest-inputs")
-    n_rows = inputs.count()
+    n_rows, params = scaler_stats(inputs)
     if n_rows == 0:
         return None
-    x = standardise(inputs)
+    x = standardise(inputs, stats=params)
     forest = fit_forest(x, n_trees=n_trees, sample_size=sample_size, seed=seed, n_rows=n_rows)
     raw = materialize(score_frame(x, forest).drop(*MODEL_COLUMNS), "forest-scores")
-    mm = raw.agg(F.min("raw_score").alias("lo"), F.max("raw_score").alias("hi")).first()
+    mm = raw.agg(F.count(F.lit(1)).alias("n"), F.min("raw_score").alias("lo"),
+                 F.max("raw_score").alias("hi")).first()
     span = mm["hi"] - mm["lo"]
-    cut = exact_quantile(raw, "raw_score", 1.0 - contamination)
+    cut = exact_quantile(raw, "raw_score", 1.0 - contamination, stats=(mm["n"], mm["lo"], mm["hi"]))
     risk = (F.col("raw_score") - F.lit(mm["lo"])) / F.lit(span) if span > 0 else F.lit(0.0)
     return raw.select(*keep, risk.alias("risk_score"),
                       (F.col("raw_score") > F.lit(cut)).alias("is_outlier"))

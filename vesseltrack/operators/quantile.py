@@ -48,20 +48,30 @@ def _value_at_rank(x: DataFrame, rank: int, lo: float, hi: float, below: int,
 
 
 def exact_quantile(df: DataFrame, col: str, q: float, bins: int = DEFAULT_BINS,
-                   fetch: int = DEFAULT_FETCH) -> float | None:
-    """Exact q-quantile (linear interpolation) of a numeric column; None if empty."""
+                   fetch: int = DEFAULT_FETCH, stats: tuple | None = None) -> float | None:
+    """Exact q-quantile (linear interpolation) of a numeric column; None if empty.
+
+    ``stats`` = (count, min, max) of the non-null, non-NaN values when the
+    caller already has them (saves a pass).
+    """
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    stats = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    n = stats["n"]
+    if stats is None:
+        r = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+        stats = (r["n"], r["lo"], r["hi"])
+    n, lo, hi = stats
     if not n:
         return None
     pos = q * (n - 1)
     r0 = int(math.floor(pos))
     r1 = min(r0 + 1, n - 1)
     frac = pos - r0
-    v0 = _value_at_rank(x, r0, stats["lo"], stats["hi"], 0, n, bins, fetch)
+    if n <= fetch:  # small: one fetch serves both ranks
+        vals = sorted(r["x"] for r in x.collect())
+        v0, v1 = vals[r0], vals[r1]
+    else:
+        v0 = _value_at_rank(x, r0, lo, hi, 0, n, bins, fetch)
+        v1 = v0 if (frac == 0 or r1 == r0) else _value_at_rank(x, r1, lo, hi, 0, n, bins, fetch)
     if frac == 0 or r1 == r0:
         return v0
-    v1 = _value_at_rank(x, r1, stats["lo"], stats["hi"], 0, n, bins, fetch)
     # numpy's linear interpolation, including its form for the upper half
     return v0 + (v1 - v0) * frac if frac < 0.5 else v1 - (v1 - v0) * (1 - frac)
