@@ -109,3 +109,11 @@ def test_score_and_alert(spark, tables):
     assert "_scored_at" in s.columns
     top = P.alert_rows(spark, tables, threshold=0.0, n=5).collect()
     assert len(top) <= 5 and all(x["risk_score"] >= 0 for x in top)
+
+
+def test_features_from_partials_equal_full(spark, tables):
+    from vesseltrack.operators.features import vessel_features
+    full = vessel_features(spark.table(tables["dark_gaps"]), spark.table(tables["impossible_speed"]),
+                           spark.table(tables["sanctions"]))
+    got = spark.table(tables["vessel_features"])
+    assert got.count() > 0 and _same(got.select(*full.columns), full)

@@ -78,32 +78,82 @@ def sanctions_match(names: DataFrame, sanctions: DataFrame,
                       F.lit(1).alias("sanctions_mmsi_only_hit"))
 
 
-def vessel_features(gaps: DataFrame, jumps: DataFrame, sanctions: DataFrame,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """One row per well-formed vessel id with at least one anomaly."""
+def _event_rows(gaps: DataFrame, jumps: DataFrame, keys=("mmsi",)) -> DataFrame:
+    """Both event kinds in one shape: flags, the values each feature needs, and ``keys``."""
     plausible = F.col("distance_nm").between(JUMP_MIN_NM, JUMP_MAX_NM) & (F.col("implied_speed_knots") > JUMP_MIN_KNOTS)
-    g = gaps.select("mmsi", "vessel_name", F.lit(True).alias("_gap"), F.lit(False).alias("_jump"),
+    extra = [k for k in keys if k != "mmsi"]
+    g = gaps.select(*extra, "mmsi", "vessel_name", F.lit(True).alias("_gap"), F.lit(False).alias("_jump"),
                     "gap_hours", F.col("anomaly_score").cast("double").alias("_gscore"),
                     F.lit(None).cast("double").alias("implied_speed_knots"),
                     F.lit(None).cast("double").alias("distance_nm"),
                     F.lit(None).cast("double").alias("_jscore"))
-    j = jumps.select("mmsi", "vessel_name", F.lit(False).alias("_gap"), plausible.alias("_jump"),
+    j = jumps.select(*extra, "mmsi", "vessel_name", F.lit(False).alias("_gap"), plausible.alias("_jump"),
                      F.lit(None).cast("long").alias("gap_hours"), F.lit(None).cast("double").alias("_gscore"),
                      "implied_speed_knots", "distance_nm", F.col("anomaly_score").alias("_jscore"))
-    jump_only = lambda c: F.when(F.col("_jump"), F.col(c))
-    prof = (g.unionByName(j).groupBy("mmsi").agg(
+    return g.unionByName(j)
+
+
+def _jump_only(c: str):
+    return F.when(F.col("_jump"), F.col(c))
+
+
+def vessel_features(gaps: DataFrame, jumps: DataFrame, sanctions: DataFrame,
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """One row per well-formed vessel id with at least one anomaly."""
+    prof = _event_rows(gaps, jumps).groupBy("mmsi").agg(
         F.max("vessel_name").alias("vessel_name"),
         F.count_if(F.col("_gap")).alias("n_dark_gaps"),
         F.avg("gap_hours").alias("avg_gap_hours"),
         F.max("gap_hours").alias("max_gap_hours"),
         F.max("_gscore").alias("_max_gscore"),
         F.count_if(F.col("_jump")).alias("n_impossible_speed"),
-        F.max(jump_only("implied_speed_knots")).alias("max_implied_speed"),
-        F.max(jump_only("distance_nm")).alias("max_jump_nm"),
-        F.max(jump_only("_jscore")).alias("_max_jscore"))
-        # vessels with only implausible jumps are not "anomalous vessels"
-        .where((F.col("n_dark_gaps") > 0) | (F.col("n_impossible_speed") > 0))
-        .where(valid_mmsi(F.col("mmsi"))))
+        F.max(_jump_only("implied_speed_knots")).alias("max_implied_speed"),
+        F.max(_jump_only("distance_nm")).alias("max_jump_nm"),
+        F.max(_jump_only("_jscore")).alias("_max_jscore"))
+    return _finish(prof, sanctions, broadcast_rows)
+
+
+def vessel_day_partials(gaps: DataFrame, jumps: DataFrame) -> DataFrame:
+    """Per (vessel, event day) partial aggregates of every feature.
+
+    Written per window next to the gold tables, so the feature table is
+    rebuilt from one row per vessel-day instead of every event of history.
+    Means travel as exact integer sums and counts.
+    """
+    return _event_rows(gaps, jumps, ("mmsi", "event_date")).groupBy("mmsi", "event_date").agg(
+        F.max("vessel_name").alias("vessel_name"),
+        F.count_if(F.col("_gap")).alias("n_dark_gaps"),
+        F.sum("gap_hours").alias("sum_gap_hours"),
+        F.max("gap_hours").alias("max_gap_hours"),
+        F.max("_gscore").alias("max_dark_score"),
+        F.count_if(F.col("_jump")).alias("n_impossible_speed"),
+        F.max(_jump_only("implied_speed_knots")).alias("max_implied_speed"),
+        F.max(_jump_only("distance_nm")).alias("max_jump_nm"),
+        F.max(_jump_only("_jscore")).alias("max_speed_score"))
+
+
+def features_from_partials(partials: DataFrame, sanctions: DataFrame,
+                           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """D8 from :func:`vessel_day_partials`: the same rows as :func:`vessel_features`."""
+    n_gaps = F.sum("n_dark_gaps")
+    prof = partials.groupBy("mmsi").agg(
+        F.max("vessel_name").alias("vessel_name"),
+        n_gaps.alias("n_dark_gaps"),
+        # avg over no gaps is null, as avg(gap_hours) over none
+        F.when(n_gaps > 0, F.sum("sum_gap_hours").cast("double") / n_gaps).alias("avg_gap_hours"),
+        F.max("max_gap_hours").alias("max_gap_hours"),
+        F.max("max_dark_score").alias("_max_gscore"),
+        F.sum("n_impossible_speed").alias("n_impossible_speed"),
+        F.max("max_implied_speed").alias("max_implied_speed"),
+        F.max("max_jump_nm").alias("max_jump_nm"),
+        F.max("max_speed_score").alias("_max_jscore"))
+    return _finish(prof, sanctions, broadcast_rows)
+
+
+def _finish(prof: DataFrame, sanctions: DataFrame, broadcast_rows: int) -> DataFrame:
+    # vessels with only implausible jumps are not "anomalous vessels"
+    prof = (prof.where((F.col("n_dark_gaps") > 0) | (F.col("n_impossible_speed") > 0))
+                .where(valid_mmsi(F.col("mmsi"))))
     s = maybe_broadcast(sanctions_by_mmsi(sanctions), broadcast_rows)
     out = prof.join(s, "mmsi", "left")
     agrees = F.array_contains(F.col("_names"), normalise_name(F.col("vessel_name")))

@@ -16,7 +16,7 @@ from vesseltrack.functions.filenames import date_from_filename
 from vesseltrack.operators.clean import clean
 from vesseltrack.operators.cues import anomaly_cues
 from vesseltrack.operators.detect import dark_gaps, impossible_speed
-from vesseltrack.operators.features import vessel_features
+from vesseltrack.operators.features import features_from_partials, vessel_day_partials
 from vesseltrack.operators.iforest import risk_scores
 from vesseltrack.operators.report import watchlist
 from vesseltrack.operators.timeline import daily_last_ping, timeline
@@ -43,6 +43,7 @@ class Tables:
         "dark_gaps": ("gold", "ais_dark_gaps"),
         "impossible_speed": ("gold", "ais_impossible_speed"),
         "anomaly_cues": ("gold", "ais_anomaly_cues"),
+        "vessel_day": ("gold", "vessel_day_partials"),
         "vessel_features": ("gold", "vessel_features"),
         "risk_scores": ("gold", "vessel_risk_scores"),
     })
@@ -154,7 +155,16 @@ def run_window(spark: SparkSession, start=None, end=None, tables: Tables = Table
     write(impossible_speed(tl, span), "impossible_speed")
     gaps_t, jumps_t = spark.table(tables["dark_gaps"]), spark.table(tables["impossible_speed"])
     write(anomaly_cues(gaps_t, jumps_t, sanctions, span), "anomaly_cues")
-    store.overwrite_table(spark, vessel_features(gaps_t, jumps_t, sanctions), tables["vessel_features"])
+    # features: per-(vessel, day) partials of this window, then a rebuild from the
+    # partials table (one row per vessel-day) instead of from every event of history
+    if mode == "replace" and not spark.catalog.tableExists(tables["vessel_day"]):
+        store.overwrite_table(spark, vessel_day_partials(gaps_t, jumps_t), tables["vessel_day"],
+                              partition_by="event_date")
+    else:
+        in_span = (lambda df: df) if span is None else (lambda df: df.where(F.col("event_date").between(*span)))
+        write(vessel_day_partials(in_span(gaps_t), in_span(jumps_t)), "vessel_day")
+    features = features_from_partials(spark.table(tables["vessel_day"]), sanctions)
+    store.overwrite_table(spark, features, tables["vessel_features"])
     if fail_before_commit is not None:  # test hook: a failure after the writes
         fail_before_commit()
     if win is not None:

@@ -20,7 +20,8 @@ from vesseltrack.operators.clean import clean, dedup_latest, quality_flag
 from vesseltrack.operators.cues import anomaly_cues
 from vesseltrack.operators.detect import dark_gaps, impossible_speed
 from vesseltrack.operators.features import (
-    gap_profile, jump_profile, sanctions_match, vessel_features, vessel_names, vessels_any,
+    features_from_partials, gap_profile, jump_profile, sanctions_match, vessel_day_partials, vessel_features,
+    vessel_names, vessels_any,
 )
 from vesseltrack.operators.timeline import TIMELINE_COLUMNS, daily_last_ping, prior_ping, timeline
 from vesseltrack.session import materialize, pin_utc
@@ -167,6 +168,12 @@ def _q_features(spark, d):
     return for_compare(vessel_features(i.gaps(), i.jumps(), i.sanctions()), FEATURE_ROUNDED)
 
 
+def _q_features_partials(spark, d):
+    i = Inputs(spark, d)
+    parts = vessel_day_partials(i.gaps(), i.jumps())
+    return for_compare(features_from_partials(parts, i.sanctions()), FEATURE_ROUNDED)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ais_raw_scan": _q_raw,
     "quality_flags": _q_quality_flags,
@@ -189,6 +196,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jump_profile": _q_jump_profile,
     "sanctions_match": _q_sanctions_match,
     "vessel_features": _q_features,
+    "vessel_features_partials": _q_features_partials,
 }
 
 _RAW = O.with_ctes(O.AIS_RAW)
@@ -227,6 +235,7 @@ ORACLE: dict[str, str] = {
     "sanctions_match": O.gold(features=True) + "SELECT mmsi, CAST(is_sanctioned AS INTEGER) AS is_sanctioned, "
                        "CAST(sanctions_mmsi_only_hit AS INTEGER) AS sanctions_mmsi_only_hit FROM sanctioned",
     "vessel_features": O.gold(features=True) + O.FEATURE_SELECT,
+    "vessel_features_partials": O.gold(features=True) + O.FEATURE_SELECT,
 }
 
 
