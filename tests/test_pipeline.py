@@ -117,3 +117,15 @@ def test_features_from_partials_equal_full(spark, tables):
                            spark.table(tables["sanctions"]))
     got = spark.table(tables["vessel_features"])
     assert got.count() > 0 and _same(got.select(*full.columns), full)
+
+
+def test_cli(spark, tables, capsys):
+    import json
+
+    from vesseltrack.__main__ import main
+    main(["--sandbox", tables.sandbox, "checks", "dark_gaps", "--start", "2024-01-08", "--end", "2024-01-14"])
+    out = json.loads(capsys.readouterr().out)
+    assert out["failures"]["accepted:anomaly_type"] == 0 and out["failures"]["not_null:gap_hours"] == 0
+    main(["--sandbox", tables.sandbox, "alert", "--threshold", "0.0", "--top", "3"])
+    out = json.loads(capsys.readouterr().out)
+    assert out["vessels"] <= 3 and all(" | risk " in line for line in out["lines"])

@@ -27,6 +27,19 @@ def watchlist(scores: DataFrame, threshold: float = RISK_THRESHOLD, n: int = TOP
     return top_k(flagged.select(*WATCHLIST_COLUMNS), "risk_score", n)
 
 
+def scoring_summary(scores: DataFrame) -> DataFrame:
+    """Vessels scored, vessels flagged and the flagged share (one row)."""
+    return scores.agg(F.count(F.lit(1)).alias("vessels"),
+                      F.count_if(F.col("is_outlier")).alias("flagged"),
+                      F.avg(F.col("is_outlier").cast("int")).alias("flagged_share"))
+
+
+def top_scored(scores: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` highest risk scores with the columns of the scoring summary."""
+    return top_k(scores.select("mmsi", "vessel_name", "risk_score", "total_anomalies", "is_sanctioned"),
+                 "risk_score", n)
+
+
 def _name(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) == "", F.lit(MISSING)).otherwise(c)
 

@@ -9,7 +9,7 @@ from vesseltrack.operators.features import vessel_features
 from vesseltrack.operators.iforest import CAPS, MODEL_COLUMNS, model_column, model_inputs, risk_scores, standardise
 from vesseltrack.operators.quality import RULES, run_checks
 from vesseltrack.operators.quantile import exact_quantile
-from vesseltrack.operators.report import report_lines, report_table, top_k, watchlist
+from vesseltrack.operators.report import report_lines, report_table, scoring_summary, top_k, top_scored, watchlist
 from vesseltrack.schemas import MODEL_FEATURES
 from vesseltrack.session import materialize
 
@@ -116,7 +116,17 @@ def _q_p95(spark, d):
         "feature", F.round("p95", 6).alias("p95"))
 
 
+def _q_score_summary(spark, d):
+    return scoring_summary(_scores(spark, d))
+
+
+def _q_top_scored(spark, d):
+    return top_scored(_scores(spark, d))
+
+
 QUERIES = {
+    "score_summary": _q_score_summary,
+    "top_scored": _q_top_scored,
     "check_window": _q_check_window,
     "features_p95": _q_p95,
     "features_capped": _q_capped,
