@@ -36,7 +36,7 @@ def landed(spark, tmp_path_factory):
         text = part[AIS_COLUMNS].to_csv(index=False).replace(",<NA>", ",")
         (root / f"ais-{day}.csv.zst").write_bytes(zstandard.ZstdCompressor().compress(text.encode()))
     lines = [r["value"] for r in entity_lines_from_supplier(spark, SF_SMALL).collect()]
-    (root / "entities.ftm.json").write_text("\n".join(lines) + "\n")
+    (root / "entities.json").write_text("\n".join(lines) + "\n")
     return str(root), len(pdf)
 
 
@@ -57,7 +57,7 @@ def test_ingest(spark, landed, tables):
     assert total == n
     assert spark.table(tables["ais_raw"]).count() == n
     assert P.ingest_ais(spark, root, tables, end_date=END) == 0  # nothing new
-    assert P.ingest_sanctions(spark, os.path.join(root, "entities.ftm.json"), tables) > 0
+    assert P.ingest_sanctions(spark, os.path.join(root, "entities.json"), tables) > 0
 
 
 def test_windows_then_full_build(spark, landed, tables):
@@ -87,7 +87,7 @@ def test_failure_keeps_watermark(spark, landed):
     t = P.Tables(sandbox=f"f{uuid.uuid4().hex[:8]}")
     root, _ = landed
     P.ingest_ais(spark, root, t, end_date=END)
-    P.ingest_sanctions(spark, os.path.join(root, "entities.ftm.json"), t)
+    P.ingest_sanctions(spark, os.path.join(root, "entities.json"), t)
 
     def boom():
         raise RuntimeError("late failure")

@@ -30,7 +30,7 @@ def test_csv_missing_tokens(spark, tmpdir_fresh):
 
 
 def test_ndjson_entities(spark, tmpdir_fresh):
-    p = os.path.join(tmpdir_fresh, "entities.ftm.json")
+    p = os.path.join(tmpdir_fresh, "entities.json")
     with open(p, "w") as f:
         f.write('{"id": "a", "schema": "Vessel", "properties": {"name": ["ONE", "ALIAS"], "mmsi": ["211000001"],'
                 ' "imoNumber": ["IMO1"], "flag": ["pa"], "startDate": ["2022-01-01"]}, "datasets": ["x", "y"]}\n')

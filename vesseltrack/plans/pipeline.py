@@ -39,7 +39,7 @@ class Tables:
         "sanctions": ("bronze", "sanctions"),
         "ais_clean": ("silver", "ais_clean"),
         "last_ping": ("silver", "ais_last_ping_daily"),
-        "window_state": ("silver", "dbt_window_state"),
+        "window_state": ("silver", "window_state"),
         "dark_gaps": ("gold", "ais_dark_gaps"),
         "impossible_speed": ("gold", "ais_impossible_speed"),
         "anomaly_cues": ("gold", "ais_anomaly_cues"),

@@ -136,8 +136,8 @@ ORACLE = {
     "next_window": O.with_ctes(_FILES) + "SELECT window_start, window_end FROM win "
                                          "WHERE window_start <= DATE '2024-12-31'",
     "new_files_anti": O.with_ctes(_FILES) + (
-        "SELECT d.file, d.file_date FROM dated d, win w "
-        "WHERE d.file_date BETWEEN w.window_start AND w.window_end "
+        "SELECT d.file, d.file_date FROM dated d "
+        "WHERE d.file_date BETWEEN (SELECT window_start FROM win) AND (SELECT window_end FROM win) "
         "AND NOT EXISTS (SELECT 1 FROM done x WHERE x.file = d.file)"),
     "window_state": O.with_ctes(O.AIS_RAW, O.clean_ctes()) + """
 , st AS (SELECT max(event_date) AS last_end FROM ais_clean),
