@@ -129,3 +129,12 @@ def test_cli(spark, tables, capsys):
     main(["--sandbox", tables.sandbox, "alert", "--threshold", "0.0", "--top", "3"])
     out = json.loads(capsys.readouterr().out)
     assert out["vessels"] <= 3 and all(" | risk " in line for line in out["lines"])
+
+
+def test_reprocess_cascade(spark, tables):
+    before = sorted(map(tuple, spark.table(tables["dark_gaps"]).collect()))
+    done = P.reprocess(spark, "2024-01-15", "2024-01-21", tables, cascade=True)
+    assert [(w.start.day, w.end.day) for w in done] == [(15, 21), (22, 28), (29, 31)]
+    assert all(not w.advance for w in done)
+    assert sorted(map(tuple, spark.table(tables["dark_gaps"]).collect())) == before
+    assert read_watermark(spark, tables["window_state"]) == END
