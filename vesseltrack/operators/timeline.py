@@ -97,16 +97,18 @@ def timeline(clean: DataFrame, window=None, bucket_seconds: int = DEFAULT_BUCKET
     rows = (timeline_input(clean, window, lookback)
             .where(F.col("base_date_time").isNotNull())
             .withColumn("_us", F.unix_micros("base_date_time")))
-    return _split_lag(_with_buckets(rows, bucket_seconds * 1_000_000, max_group_rows))
+    bucketed, per = _with_buckets(rows, bucket_seconds * 1_000_000, max_group_rows)
+    return _split_lag(bucketed, per)
 
 
-def _with_buckets(rows: DataFrame, primary_us: int, max_group_rows: int) -> DataFrame:
+def _with_buckets(rows: DataFrame, primary_us: int, max_group_rows: int) -> tuple[DataFrame, int | None]:
     """``_bucket``: a time-ordered group key per vessel with at most ``max_group_rows`` rows.
 
     Bucket keys count fine buckets: a normal (mmsi, primary) group takes the
     key of its first fine bucket, a hot one keeps each row's own fine bucket.
     Hot groups are found by a partial count per (mmsi, primary bucket); the
-    list is broadcast when bounded, else joined by a shuffle.
+    list is broadcast when bounded, else joined by a shuffle. Returns the
+    frame and, when fine buckets are in use, the fine buckets per primary one.
     """
     fine = _fine_width(primary_us, max_group_rows)
     per = primary_us // fine
@@ -114,35 +116,57 @@ def _with_buckets(rows: DataFrame, primary_us: int, max_group_rows: int) -> Data
     primary = F.expr(f"_us div {primary_us}")
     rows = rows.withColumn("_p", primary)
     if fine >= primary_us:  # the primary width already bounds every group
-        return rows.withColumn("_bucket", F.col("_p")).drop("_p", "_us")
+        return rows.withColumn("_bucket", F.col("_p")).drop("_p", "_us"), None
     hot = (rows.groupBy("mmsi", "_p").agg(F.count(F.lit(1)).alias("_n"))
                .where(F.col("_n") > max_group_rows).select("mmsi", "_p", F.lit(True).alias("_hot")))
     n_hot = hot.limit(MAX_BROADCAST_HOT + 1).count()
     if n_hot == 0:
-        return rows.withColumn("_bucket", F.col("_p") * per).drop("_p", "_us")
+        return rows.withColumn("_bucket", F.col("_p") * per).drop("_p", "_us"), None
     hot = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT else hot
     tagged = rows.join(hot, ["mmsi", "_p"], "left")
     bucket = F.when(F.col("_hot"), F.expr(f"_us div {fine}")).otherwise(F.col("_p") * per)
-    return tagged.withColumn("_bucket", bucket).drop("_p", "_us", "_hot")
+    return tagged.withColumn("_bucket", bucket).drop("_p", "_us", "_hot"), per
 
 
-def _split_lag(rows: DataFrame) -> DataFrame:
-    # Last ping per (mmsi, bucket). Fixed-width max/max_by keep this a hash
-    # aggregate with map-side partial aggregation; (mmsi, ts) is unique after
-    # dedup, so both max_by pick the same ping.
+def _last_pings(df: DataFrame, keys, *extra) -> DataFrame:
+    # Last ping per key. Fixed-width max/max_by keep this a hash aggregate with
+    # map-side partial aggregation; (mmsi, ts) is unique after dedup, so both
+    # max_by pick the same ping.
     ts = F.col("base_date_time")
-    tails = rows.groupBy("mmsi", "_bucket").agg(
+    return df.groupBy(*keys).agg(
         F.max(ts).alias("base_date_time"),
         F.max_by("latitude", ts).alias("latitude"),
-        F.max_by("longitude", ts).alias("longitude"))
-    # the last ping of each bucket becomes context for the vessel's next non-empty bucket
-    nxt = Window.partitionBy("mmsi").orderBy("_bucket")
-    context = (tails.withColumn("_next", F.lead("_bucket").over(nxt))
-                    .where(F.col("_next").isNotNull())
-                    .select("mmsi", F.col("_next").alias("_bucket"),
-                            F.lit(None).cast("string").alias("vessel_name"),
-                            "base_date_time", "latitude", "longitude",
-                            F.lit(True).alias("_ctx")))
+        F.max_by("longitude", ts).alias("longitude"),
+        *extra)
+
+
+def _context(last: DataFrame, partition, order: str, target: str) -> DataFrame:
+    """Each row's ping as context for the next non-empty ``order`` value of its partition."""
+    w = Window.partitionBy(*partition).orderBy(order)
+    return (last.withColumn("_next", F.lead(target).over(w))
+                .where(F.col("_next").isNotNull())
+                .select("mmsi", F.col("_next").alias("_bucket"),
+                        F.lit(None).cast("string").alias("vessel_name"),
+                        "base_date_time", "latitude", "longitude",
+                        F.lit(True).alias("_ctx")))
+
+
+def _split_lag(rows: DataFrame, per: int | None = None) -> DataFrame:
+    tails = _last_pings(rows, ["mmsi", "_bucket"])
+    if per is None:
+        # the last ping of each bucket becomes context for the vessel's next
+        # non-empty bucket; the window holds one row per bucket of a vessel
+        context = _context(tails, ["mmsi"], "_bucket", "_bucket")
+    else:
+        # fine buckets in use: two bounded levels instead of one window over
+        # every fine bucket of a vessel. Within a primary bucket, fine buckets
+        # chain to each other; across primary buckets, a primary bucket's last
+        # ping is context for the first fine bucket of the next one.
+        t = tails.withColumn("_p", F.expr(f"_bucket div {per}"))
+        within = _context(t, ["mmsi", "_p"], "_bucket", "_bucket")
+        hours = _last_pings(t, ["mmsi", "_p"], F.min("_bucket").alias("_first"))
+        across = _context(hours, ["mmsi"], "_p", "_first")
+        context = within.unionByName(across)
     body = rows.withColumn("_ctx", F.lit(False))
     both = body.unionByName(context)
     w = Window.partitionBy("mmsi", "_bucket").orderBy("base_date_time")
