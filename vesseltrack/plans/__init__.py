@@ -1,0 +1 @@
+"""Window control, table writes and the jobs built from the operators."""
