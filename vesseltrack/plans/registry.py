@@ -168,6 +168,12 @@ def _q_features(spark, d):
     return for_compare(vessel_features(i.gaps(), i.jumps(), i.sanctions()), FEATURE_ROUNDED)
 
 
+def _q_day_partials(spark, d):
+    i = Inputs(spark, d)
+    return for_compare(vessel_day_partials(i.gaps(), i.jumps()),
+                       ("max_dark_score", "max_implied_speed", "max_jump_nm", "max_speed_score"))
+
+
 def _q_features_partials(spark, d):
     i = Inputs(spark, d)
     parts = vessel_day_partials(i.gaps(), i.jumps())
@@ -197,6 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sanctions_match": _q_sanctions_match,
     "vessel_features": _q_features,
     "vessel_features_partials": _q_features_partials,
+    "vessel_day_partials": _q_day_partials,
 }
 
 _RAW = O.with_ctes(O.AIS_RAW)
@@ -236,6 +243,22 @@ ORACLE: dict[str, str] = {
                        "CAST(sanctions_mmsi_only_hit AS INTEGER) AS sanctions_mmsi_only_hit FROM sanctioned",
     "vessel_features": O.gold(features=True) + O.FEATURE_SELECT,
     "vessel_features_partials": O.gold(features=True) + O.FEATURE_SELECT,
+    "vessel_day_partials": O.gold() + """, ev AS (
+  SELECT mmsi, event_date, vessel_name, TRUE AS g, FALSE AS j, gap_hours, anomaly_score AS gscore,
+         CAST(NULL AS DOUBLE) AS spd, CAST(NULL AS DOUBLE) AS dist, CAST(NULL AS DOUBLE) AS jscore
+  FROM dark_gaps
+  UNION ALL
+  SELECT mmsi, event_date, vessel_name, FALSE, distance_nm BETWEEN 2 AND 500 AND implied_speed_knots > 50,
+         NULL, NULL, implied_speed_knots, distance_nm, anomaly_score
+  FROM impossible_speed)
+SELECT mmsi, event_date, max(vessel_name) AS vessel_name,
+  count(*) FILTER (WHERE g) AS n_dark_gaps, CAST(sum(gap_hours) AS BIGINT) AS sum_gap_hours,
+  max(gap_hours) AS max_gap_hours, round(max(gscore), 6) AS max_dark_score,
+  count(*) FILTER (WHERE j) AS n_impossible_speed,
+  round(max(spd) FILTER (WHERE j), 6) AS max_implied_speed,
+  round(max(dist) FILTER (WHERE j), 6) AS max_jump_nm,
+  round(max(jscore) FILTER (WHERE j), 6) AS max_speed_score
+FROM ev GROUP BY mmsi, event_date""",
 }
 
 
