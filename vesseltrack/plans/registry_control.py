@@ -117,7 +117,43 @@ def _q_bronze_reingest(spark, d):
     return for_compare(spark.table(table))
 
 
+def _land_csv(spark, d) -> str:
+    """The adapter's pings written as daily-style CSV (header, 'yyyy-MM-dd HH:mm:ss') into scratch."""
+    from vesseltrack.schemas import AIS_COLUMNS
+    raw = ais_raw_from_events(spark, d)
+    out = raw.select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c == "base_date_time" else F.col(c)
+                       for c in AIS_COLUMNS])
+    path = scratch_path(spark, "landed-csv")
+    out.write.option("header", True).csv(path)
+    return path
+
+
+def _q_csv_scan(spark, d):
+    """Declared-schema CSV scan of landed files (all columns read as text, then typed)."""
+    from vesseltrack.sources.ais import read_ais
+    from vesseltrack.plans.registry import for_compare
+    return for_compare(read_ais(spark, _land_csv(spark, d), source_file=False))
+
+
+def _q_stream_scan(spark, d):
+    """The same files through the Structured Streaming ingest (available-now trigger) into a table."""
+    from vesseltrack.plans.registry import for_compare
+    from vesseltrack.schemas import AIS_COLUMNS
+    from vesseltrack.streaming import ingest_stream
+    src = _land_csv(spark, d)
+    db = f"vt_stream_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
+    q = ingest_stream(spark, src, f"{db}.ais_raw", checkpoint=scratch_path(spark, "stream-ckpt"),
+                      max_files_per_trigger=4, pattern="*.csv")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return for_compare(spark.table(f"{db}.ais_raw").select(*AIS_COLUMNS))
+
+
 QUERIES = {
+    "ais_csv_scan": _q_csv_scan,
+    "ais_stream_scan": _q_stream_scan,
     "bronze_reingest": _q_bronze_reingest,
     "file_dates": _q_file_dates,
     "next_window": _q_next_window,
@@ -152,7 +188,14 @@ win AS (
   FROM done
 )"""
 
+_AIS_SECONDS = O.with_ctes(O.AIS_RAW) + (
+    "SELECT mmsi, date_trunc('second', base_date_time) AS base_date_time, longitude, latitude, sog, cog, "
+    "heading, vessel_name, imo, call_sign, vessel_type, status, length, width, draft, cargo, transceiver "
+    "FROM ais_raw")
+
 ORACLE = {
+    "ais_csv_scan": _AIS_SECONDS,
+    "ais_stream_scan": _AIS_SECONDS,
     "bronze_reingest": O.with_ctes(O.AIS_RAW) + (
         "SELECT mmsi, base_date_time, longitude, latitude, sog, cog, heading, vessel_name, imo, call_sign, "
         "vessel_type, status, length, width, draft, cargo, transceiver, _ingestion_ts, _source_file FROM ais_raw"),
