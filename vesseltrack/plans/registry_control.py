@@ -151,7 +151,16 @@ def _q_stream_scan(spark, d):
     return for_compare(spark.table(f"{db}.ais_raw").select(*AIS_COLUMNS))
 
 
+def _q_sanctions_file(spark, d):
+    """The entity lines written as an NDJSON file and read back by the file reader."""
+    from vesseltrack.sources.sanctions import read_sanctions
+    path = scratch_path(spark, "entities")
+    entity_lines_from_supplier(spark, d).write.text(path)
+    return read_sanctions(spark, path)
+
+
 QUERIES = {
+    "sanctions_file_scan": _q_sanctions_file,
     "ais_csv_scan": _q_csv_scan,
     "ais_stream_scan": _q_stream_scan,
     "bronze_reingest": _q_bronze_reingest,
@@ -226,3 +235,5 @@ FROM supplier WHERE s_suppkey % 4 <> 1""",
     "json_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "replace_window_roundtrip": O.gold() + O.DARK_GAP_SELECT + " WHERE event_date <= DATE '2024-01-12'",
 }
+
+ORACLE["sanctions_file_scan"] = ORACLE["sanctions_flatten"]
