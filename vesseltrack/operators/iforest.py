@@ -256,13 +256,19 @@ def fit_forest(x: DataFrame, cols=MODEL_COLUMNS, n_trees: int = N_TREES, sample_
 
 
 def score_frame(x: DataFrame, forest: Forest, cols=MODEL_COLUMNS, out: str = "raw_score") -> DataFrame:
-    """M5: ``x`` plus the raw anomaly score, vectorised per Arrow batch."""
+    """M5: ``x`` plus the raw anomaly score, vectorised per Arrow batch.
+
+    The forest travels as a broadcast variable: shipped once per executor,
+    not once per task.
+    """
     cols = list(cols)
+    shared = x.sparkSession.sparkContext.broadcast(forest)
 
     def score(batches):
+        model = shared.value
         for pdf in batches:
             X = pdf[cols].to_numpy(dtype=float)
-            yield pdf.assign(**{out: forest.score(X)})
+            yield pdf.assign(**{out: model.score(X)})
 
     schema = T.StructType(x.schema.fields + [T.StructField(out, T.DoubleType())])
     return x.mapInPandas(score, schema)
