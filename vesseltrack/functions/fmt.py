@@ -33,6 +33,13 @@ _FIXED = {}
 
 def fmt_float(c: Column, digits: int = 1) -> Column:
     """Fixed-point text with ``digits`` decimals (no grouping) or the placeholder."""
+    from pyspark.sql import SparkSession
+
+    from vesseltrack.session import ship_package
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     if digits not in _FIXED:
         _FIXED[digits] = _fixed(digits)
     return _FIXED[digits](c.cast("double"))

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from vesseltrack.operators.quantile import exact_quantile
 from vesseltrack.schemas import MODEL_FEATURES
-from vesseltrack.session import materialize
+from vesseltrack.session import materialize, ship_package
 
 # Model size, sample size, outlier share, seed, and the upper clip
 # per feature (physical sanity ceilings: knots, nautical miles, hours, hours).
@@ -245,6 +245,7 @@ class Forest:
 def fit_forest(x: DataFrame, cols=MODEL_COLUMNS, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE,
                seed: int = SEED, n_rows: int | None = None) -> Forest:
     """M4: grow ``n_trees`` trees on executors; returns the (small) forest."""
+    ship_package(x.sparkSession)
     n_rows = x.count() if n_rows is None else n_rows
     sample = max(1, min(sample_size, n_rows))
     max_depth = max(int(math.ceil(math.log2(max(sample, 2)))), 1)
@@ -262,6 +263,7 @@ def score_frame(x: DataFrame, forest: Forest, cols=MODEL_COLUMNS, out: str = "ra
     not once per task.
     """
     cols = list(cols)
+    ship_package(x.sparkSession)
     shared = x.sparkSession.sparkContext.broadcast(forest)
 
     def score(batches):

@@ -83,3 +83,26 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (``addPyFile``), once per application.
+
+    Pandas functions that run on executors refer to this package's modules;
+    when the package is not installed on the executors it is zipped from the
+    driver's copy and distributed by Spark like a ``--py-files`` archive.
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="vt-pyfiles-")  # driver-side source of the archive only
+    archive = shutil.make_archive(os.path.join(out_dir, "vesseltrack"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
