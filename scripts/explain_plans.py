@@ -10,6 +10,7 @@ import io
 import os
 import re
 import sys
+import uuid
 from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -36,15 +37,17 @@ def tree(df) -> str:
 
 
 def main(sf_dir: str) -> None:
-    spark = get_session(extra={"spark.sql.warehouse.dir": scratch_path(get_session(), "plans-wh")})
+    spark = get_session()
+    db = f"plans_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
     raw = ais_raw_from_events(spark, sf_dir)
     sanc = sanctions_from_supplier(spark, sf_dir)
     c = clean(raw)
-    store.overwrite_table(spark, c, "plans_silver.ais_clean", partition_by="event_date")
-    store.overwrite_table(spark, daily_last_ping(c), "plans_silver.last_ping", partition_by="event_date")
-    silver = spark.table("plans_silver.ais_clean")
+    store.overwrite_table(spark, c, f"{db}.ais_clean", partition_by="event_date")
+    store.overwrite_table(spark, daily_last_ping(c), f"{db}.last_ping", partition_by="event_date")
+    silver = spark.table(f"{db}.ais_clean")
     w = ("2024-01-08", "2024-01-14")
-    tl_w = timeline(silver, w, lookback=spark.table("plans_silver.last_ping"))
+    tl_w = timeline(silver, w, lookback=spark.table(f"{db}.last_ping"))
     g, j = dark_gaps(timeline(c)), impossible_speed(timeline(c))
     sections = [
         ("Clean (dedup with partial WindowGroupLimit, validation)", clean(raw)),
