@@ -51,10 +51,11 @@ def _same(a, b):
 
 def test_ingest(spark, landed, tables):
     root, n = landed
-    total = 0
+    total, per_file = 0, {}
     for _ in range(6):
-        total += P.ingest_ais(spark, root, tables, end_date=END)
-    assert total == n
+        total += P.ingest_ais(spark, root, tables, end_date=END, per_file=per_file)
+    assert total == n and sum(per_file.values()) == n and len(per_file) == 30
+    assert all(f.startswith("ais-2024-01-") for f in per_file)
     assert spark.table(tables["ais_raw"]).count() == n
     assert P.ingest_ais(spark, root, tables, end_date=END) == 0  # nothing new
     assert P.ingest_sanctions(spark, os.path.join(root, "entities.json"), tables) > 0

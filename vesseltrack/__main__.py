@@ -49,7 +49,9 @@ def main(argv=None) -> int:
     spark = SparkSession.getActiveSession() or get_session()
     tables = P.Tables(sandbox=args.sandbox)
     if args.cmd == "ingest-ais":
-        out = {"rows": P.ingest_ais(spark, args.landing_dir, tables, window_days=args.window_days)}
+        per_file: dict = {}
+        rows = P.ingest_ais(spark, args.landing_dir, tables, window_days=args.window_days, per_file=per_file)
+        out = {"rows": rows, "files": per_file}
     elif args.cmd == "ingest-sanctions":
         out = {"rows": P.ingest_sanctions(spark, args.path, tables)}
     elif args.cmd == "run-window":

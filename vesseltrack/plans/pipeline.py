@@ -66,13 +66,15 @@ def list_landed(spark: SparkSession, landing_dir: str, pattern: str = "*.csv.zst
 
 def ingest_ais(spark: SparkSession, landing_dir: str, tables: Tables = Tables(),
                window_days: int = WINDOW_DAYS, end_date: date = END_DATE,
-               default_start: date = START_DEFAULT, pattern: str = "*.csv.zst") -> int:
+               default_start: date = START_DEFAULT, pattern: str = "*.csv.zst",
+               per_file: dict | None = None) -> int:
     """Load the next ingest window of daily files into bronze; returns rows written.
 
     The window starts the day after the newest ingested file (W2). Within it,
     landed files not yet ingested are loaded (anti-join of the listing, J5);
     each file is its own partition of bronze, so re-loading a file replaces
     its rows instead of duplicating them (K2). Missing days are simply absent.
+    Pass a dict as ``per_file`` to receive the rows of each loaded file (K9).
     """
     pin_utc(spark)
     target = tables["ais_raw"]
@@ -88,7 +90,7 @@ def ingest_ais(spark: SparkSession, landing_dir: str, tables: Tables = Tables(),
     if not picks:
         return 0
     rows = with_lineage(read_ais(spark, [p for p, _ in picks]))
-    return store.replace_files(spark, rows, target, [f for _, f in picks])
+    return store.replace_files(spark, rows, target, [f for _, f in picks], per_file=per_file)
 
 
 def ingest_sanctions(spark: SparkSession, path: str, tables: Tables = Tables()) -> int:

@@ -119,16 +119,28 @@ def replace_window(spark: SparkSession, df: DataFrame, table: str, start, end,
 
 
 def replace_files(spark: SparkSession, df: DataFrame, table: str, files: list[str],
-                  partition_col: str = "_source_file") -> int:
-    """K2: idempotent re-ingest: the table's rows of ``files`` become ``df``'s."""
+                  partition_col: str = "_source_file", per_file: dict | None = None) -> int:
+    """K2: idempotent re-ingest: the table's rows of ``files`` become ``df``'s.
+
+    Returns the rows written; with ``per_file`` (a dict) also fills in the rows
+    of each file. Both are observed metrics of the write itself (one
+    ``count_if`` per file of the batch, no second scan).
+    """
     ensure_namespace(spark, table)
-    df, obs = counted(df)
+    files = list(files)
+    key = F.col(partition_col)
+    obs = Observation("replace-files")
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                    *[F.count_if(key == F.lit(f)).alias(f"f{i}") for i, f in enumerate(files)])
     if not spark.catalog.tableExists(table):
         df.write.format("parquet").partitionBy(partition_col).saveAsTable(table)
     else:
-        _drop_partitions(spark, table, partition_col, list(files))
+        _drop_partitions(spark, table, partition_col, files)
         _append(spark, df, table)
-    return obs.get["rows"]
+    m = obs.get
+    if per_file is not None:
+        per_file.update({f: m[f"f{i}"] for i, f in enumerate(files)})
+    return m["rows"]
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, table: str, partition_col: str) -> int:
