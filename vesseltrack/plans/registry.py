@@ -47,12 +47,12 @@ def for_compare(df: DataFrame, rounded: tuple[str, ...] = ()) -> DataFrame:
 class Inputs:
     """Lazily built inputs of one query over one test-data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, window=None):
+    def __init__(self, spark: SparkSession, sf_dir: str, window=None, hot: bool = False):
         pin_utc(spark)
-        self.spark, self.sf_dir, self.window = spark, sf_dir, window
+        self.spark, self.sf_dir, self.window, self.hot = spark, sf_dir, window, hot
 
     def raw(self):
-        return ais_raw_from_events(self.spark, self.sf_dir)
+        return ais_raw_from_events(self.spark, self.sf_dir, hot=self.hot)
 
     def sanctions(self):
         return sanctions_from_supplier(self.spark, self.sf_dir)
@@ -168,6 +168,18 @@ def _q_features(spark, d):
     return for_compare(vessel_features(i.gaps(), i.jumps(), i.sanctions()), FEATURE_ROUNDED)
 
 
+def _q_timeline_split_stress(spark, d):
+    """The timeline with the per-group row bound at 1: every vessel-hour holding
+    more than one ping takes the fine-bucket path with two-level context rows."""
+    i = Inputs(spark, d)
+    return for_compare(timeline(i.silver(), max_group_rows=1).select(*TIMELINE_COLUMNS))
+
+
+def _q_gaps_hot_vessel(spark, d):
+    """Dark gaps when one placeholder MMSI carries a third of all pings."""
+    return for_compare(Inputs(spark, d, hot=True).gaps())
+
+
 def _q_day_partials(spark, d):
     i = Inputs(spark, d)
     return for_compare(vessel_day_partials(i.gaps(), i.jumps()),
@@ -204,6 +216,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vessel_features": _q_features,
     "vessel_features_partials": _q_features_partials,
     "vessel_day_partials": _q_day_partials,
+    "timeline_split_stress": _q_timeline_split_stress,
+    "dark_gaps_hot_vessel": _q_gaps_hot_vessel,
 }
 
 _RAW = O.with_ctes(O.AIS_RAW)
@@ -243,6 +257,7 @@ ORACLE: dict[str, str] = {
                        "CAST(sanctions_mmsi_only_hit AS INTEGER) AS sanctions_mmsi_only_hit FROM sanctioned",
     "vessel_features": O.gold(features=True) + O.FEATURE_SELECT,
     "vessel_features_partials": O.gold(features=True) + O.FEATURE_SELECT,
+    "dark_gaps_hot_vessel": O.gold(hot=True) + O.DARK_GAP_SELECT,
     "vessel_day_partials": O.gold() + """, ev AS (
   SELECT mmsi, event_date, vessel_name, TRUE AS g, FALSE AS j, gap_hours, anomaly_score AS gscore,
          CAST(NULL AS DOUBLE) AS spd, CAST(NULL AS DOUBLE) AS dist, CAST(NULL AS DOUBLE) AS jscore
@@ -270,3 +285,5 @@ def _merge() -> None:
 
 
 _merge()
+
+ORACLE["timeline_split_stress"] = ORACLE["timeline"]

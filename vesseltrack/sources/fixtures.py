@@ -39,8 +39,16 @@ def mmsi_from_key(key: Column) -> Column:
              .otherwise((F.lit(200000000) + (key * 3333333) % 599999999).cast("string")))
 
 
-def ais_raw_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bronze ais_raw view over ``events`` (17 AIS columns + lineage)."""
+# Fixed value: the shared placeholder id of the hot-key variant.
+PLACEHOLDER_MMSI = "000000001"
+
+
+def ais_raw_from_events(spark: SparkSession, sf_dir: str, hot: bool = False) -> DataFrame:
+    """bronze ais_raw view over ``events`` (17 AIS columns + lineage).
+
+    With ``hot`` every vessel with user_id % 3 = 0 transmits the same
+    placeholder MMSI, so one id holds about a third of all pings.
+    """
     pin_utc(spark)
     ev = load(spark, sf_dir, "events")
     eid, uid = F.col("event_id"), F.col("user_id")
@@ -51,8 +59,11 @@ def ais_raw_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .when(uid % 4 == 1, F.lit(30))
                     .when(uid % 4 == 2, 70 + uid % 10)
                     .otherwise(F.lit(37))).cast("int")
+    mmsi = mmsi_from_key(uid)
+    if hot:
+        mmsi = F.when(uid % 3 == 0, F.lit(PLACEHOLDER_MMSI)).otherwise(mmsi)
     cols = {
-        "mmsi": mmsi_from_key(uid),
+        "mmsi": mmsi,
         "base_date_time": F.col("ts").cast("timestamp"),
         "longitude": F.lit(-80) + ((eid * 61) % 1000) / 100,
         "latitude": F.when(eid % 97 == 0, F.lit(95.0).cast("double"))
