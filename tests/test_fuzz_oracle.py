@@ -16,7 +16,8 @@ from tests.oracle_harness import compare, duck
 KEYS = ["ais_raw_scan", "ais_dedup", "quality_flags", "ais_clean", "ais_clean_window", "prior_ping",
         "timeline", "dark_gaps", "impossible_speed", "anomaly_cues", "dark_gaps_window",
         "impossible_speed_window", "anomaly_cues_window", "last_ping_daily", "vessel_features",
-        "vessel_features_partials", "sanctions_match", "check_not_null", "top_vessel_lines", "window_state"]
+        "vessel_features_partials", "sanctions_match", "check_not_null", "top_vessel_lines", "window_state",
+        "timeline_split_stress", "dark_gaps_hot_vessel", "vessel_day_partials"]
 
 
 def _tables(root, seed):
