@@ -148,3 +148,26 @@ def test_full_refresh_equals_windows(spark, tables):
     for k in keys:
         assert sorted(map(tuple, spark.table(tables[k]).collect())) == before[k], k
     assert read_watermark(spark, tables["window_state"]) == END
+
+
+def test_ingest_late_and_missing_days(spark, landed, tmp_path):
+    """A late file for an earlier day is loaded; a run of missing days does not block later files."""
+    root, _ = landed
+    src = tmp_path / "landing"
+    src.mkdir()
+    files = sorted(f for f in os.listdir(root) if f.endswith(".csv.zst"))
+    first_week, rest = files[:7], files[7:]
+    import shutil
+    for f in first_week[:3] + first_week[4:] + rest[7:]:  # day 4 late; days 8-14 missing
+        shutil.copy(f"{root}/{f}", src / f)
+    t = P.Tables(sandbox=f"l{uuid.uuid4().hex[:8]}")
+    got = {}
+    P.ingest_ais(spark, str(src), t, end_date=END, per_file=got)
+    assert sorted(got) == first_week[:3] + first_week[4:]
+    got.clear()
+    P.ingest_ais(spark, str(src), t, end_date=END, per_file=got)  # window 8-14 empty: jump to day 15
+    assert sorted(got) == rest[7:14]
+    shutil.copy(f"{root}/{first_week[3]}", src / first_week[3])  # the late day lands
+    got.clear()
+    P.ingest_ais(spark, str(src), t, end_date=END, per_file=got)
+    assert first_week[3] in got

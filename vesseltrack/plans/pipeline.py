@@ -68,27 +68,37 @@ def ingest_ais(spark: SparkSession, landing_dir: str, tables: Tables = Tables(),
                window_days: int = WINDOW_DAYS, end_date: date = END_DATE,
                default_start: date = START_DEFAULT, pattern: str = "*.csv.zst",
                per_file: dict | None = None) -> int:
-    """Load the next ingest window of daily files into bronze; returns rows written.
-
-    The window starts the day after the newest ingested file (W2). Within it,
-    landed files not yet ingested are loaded (anti-join of the listing, J5);
-    each file is its own partition of bronze, so re-loading a file replaces
-    its rows instead of duplicating them (K2). Missing days are simply absent.
-    Pass a dict as ``per_file`` to receive the rows of each loaded file (K9).
+    """Load the next batch of landed daily files into bronze; returns rows written.
+
+    Pending files are the landed ones not yet ingested (anti-join of the
+    listing with bronze, J5). The batch is the pending files up to the end of
+    the next ingest window (W2: the days after the newest ingested file), so a
+    file that landed late for an earlier day is picked up too. When nothing is
+    pending inside that window but later files have landed (missing days), the
+    batch moves to the window starting at the earliest pending day instead of
+    waiting forever. Each file is its own bronze partition, so re-loading a file
+    replaces its rows (K2). Pass a dict as ``per_file`` for per-file row counts (K9).
     """
     pin_utc(spark)
     target = tables["ais_raw"]
     done = ingested_files(spark, target)
-    win = next_window_frame(done, "_source_file", window_days, end_date, default_start).first()
-    if win is None:
-        return 0
     landed = list_landed(spark, landing_dir, pattern)
-    todo = (landed.where(F.col("file_date").between(win["window_start"], win["window_end"]))
-                  .join(done.withColumnRenamed("_source_file", "file"), "file", "left_anti"))
-    # at most window_days paths reach the driver
-    picks = [(r["path"], r["file"]) for r in todo.orderBy("file").collect()]
-    if not picks:
+    pending = (landed.where(F.col("file_date").isNotNull() & (F.col("file_date") <= F.lit(end_date)))
+                     .join(done.withColumnRenamed("_source_file", "file"), "file", "left_anti"))
+    win = next_window_frame(done, "_source_file", window_days, end_date, default_start).first()
+    bound = win["window_end"] if win is not None else None
+    # one row: how many pending files fall in the window, and the earliest pending day
+    probe = pending.agg(
+        F.count_if(F.col("file_date") <= F.lit(bound) if bound else F.lit(False)).alias("in_window"),
+        F.min("file_date").alias("earliest")).first()
+    if probe["earliest"] is None:
         return 0
+    if not probe["in_window"]:
+        start = probe["earliest"]
+        bound = min(start + timedelta(days=window_days - 1), end_date)
+    # at most the files of one window (plus late ones) reach the driver
+    picks = [(r["path"], r["file"]) for r in
+             pending.where(F.col("file_date") <= F.lit(bound)).orderBy("file").collect()]
     rows = with_lineage(read_ais(spark, [p for p, _ in picks]))
     return store.replace_files(spark, rows, target, [f for _, f in picks], per_file=per_file)
 
