@@ -66,3 +66,14 @@ def test_watermark_only_on_advance(spark):
 def test_table_names():
     assert store.table_name("gold", "x") == "gold.x"
     assert store.table_name("gold", "x", "dev") == "dev_gold.x"
+
+
+def test_scratch_tables_are_dropped(spark):
+    from vesseltrack.session import SCRATCH_DB, Scratch
+    with Scratch(spark) as scratch:
+        t = scratch.keep(spark.range(10), "probe")
+        assert t.count() == 10
+        name = scratch.tables[0]
+        assert spark.catalog.tableExists(name)
+    assert not spark.catalog.tableExists(name)
+    assert SCRATCH_DB in [d.name for d in spark.catalog.listDatabases()]

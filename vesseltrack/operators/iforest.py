@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from vesseltrack.operators.quantile import exact_quantile
 from vesseltrack.schemas import MODEL_FEATURES
-from vesseltrack.session import materialize, ship_package
+from vesseltrack.session import keep, ship_package
 
 # Model size, sample size, outlier share, seed, and the upper clip
 # per feature (physical sanity ceilings: knots, nautical miles, hours, hours).
@@ -110,7 +110,7 @@ def _rank(tree: F.Column, seed: int) -> F.Column:
 
 
 def tree_samples(x: DataFrame, n_rows: int, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE,
-                 seed: int = SEED) -> DataFrame:
+                 seed: int = SEED, scratch=None) -> DataFrame:
     """(tree, rank, mmsi, features...) with exactly min(sample_size, n_rows) rows per tree."""
     need = min(sample_size, n_rows)
     p = min(1.0, OVERSAMPLE * sample_size / max(n_rows, 1))
@@ -128,7 +128,7 @@ def tree_samples(x: DataFrame, n_rows: int, n_trees: int = N_TREES, sample_size:
     if threshold is None:
         return first
     # the draw is small (<= n_trees x sample_size rows): store it once, count from the copy
-    first = materialize(first, "forest-sample")
+    first = keep(first, "forest_sample", scratch)
     counts = {r["tree"]: r["n"] for r in first.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).collect()}
     short = [t for t in range(n_trees) if counts.get(t, 0) < need]
     if not short:
@@ -243,13 +243,13 @@ class Forest:
 
 
 def fit_forest(x: DataFrame, cols=MODEL_COLUMNS, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE,
-               seed: int = SEED, n_rows: int | None = None) -> Forest:
+               seed: int = SEED, n_rows: int | None = None, scratch=None) -> Forest:
     """M4: grow ``n_trees`` trees on executors; returns the (small) forest."""
     ship_package(x.sparkSession)
     n_rows = x.count() if n_rows is None else n_rows
     sample = max(1, min(sample_size, n_rows))
     max_depth = max(int(math.ceil(math.log2(max(sample, 2)))), 1)
-    samples = tree_samples(x.select("mmsi", *cols), n_rows, n_trees, sample_size, seed)
+    samples = tree_samples(x.select("mmsi", *cols), n_rows, n_trees, sample_size, seed, scratch)
     nodes = (samples.groupBy("tree")
                     .applyInPandas(_grower(list(cols), seed, max_depth), TREE_SCHEMA)
                     .toPandas())
@@ -277,26 +277,27 @@ def score_frame(x: DataFrame, forest: Forest, cols=MODEL_COLUMNS, out: str = "ra
 
 
 def risk_scores(spark, features: DataFrame, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE,
-                contamination: float = CONTAMINATION, seed: int = SEED) -> DataFrame | None:
+                contamination: float = CONTAMINATION, seed: int = SEED, scratch=None) -> DataFrame | None:
     """M1-M7: features + ``risk_score`` (0-1) + ``is_outlier``; None for an empty input.
 
     The model inputs and the scored frame are materialised (Parquet in the
-    shared checkpoint folder), so the fit's passes and the min/max and quantile passes
-    neither recompute the features nor re-run the forest.
+    shared checkpoint folder; as tables of ``scratch`` when a job passes one,
+    dropped when the job is done), so the fit's passes and the min/max and
+    quantile passes neither recompute the features nor re-run the forest.
     """
-    keep = ["mmsi", "vessel_name", *MODEL_FEATURES, "total_anomalies"]
+    cols_kept = ["mmsi", "vessel_name", *MODEL_FEATURES, "total_anomalies"]
     # one row per vessel, materialised once: the fit makes several passes over it
-    inputs = materialize(model_inputs(features.select(*keep)), "forest-inputs")
+    inputs = keep(model_inputs(features.select(*cols_kept)), "forest_inputs", scratch)
     n_rows, params = scaler_stats(inputs)
     if n_rows == 0:
         return None
     x = standardise(inputs, stats=params)
-    forest = fit_forest(x, n_trees=n_trees, sample_size=sample_size, seed=seed, n_rows=n_rows)
-    raw = materialize(score_frame(x, forest).drop(*MODEL_COLUMNS), "forest-scores")
+    forest = fit_forest(x, n_trees=n_trees, sample_size=sample_size, seed=seed, n_rows=n_rows, scratch=scratch)
+    raw = keep(score_frame(x, forest).drop(*MODEL_COLUMNS), "forest_scores", scratch)
     mm = raw.agg(F.count(F.lit(1)).alias("n"), F.min("raw_score").alias("lo"),
                  F.max("raw_score").alias("hi")).first()
     span = mm["hi"] - mm["lo"]
     cut = exact_quantile(raw, "raw_score", 1.0 - contamination, stats=(mm["n"], mm["lo"], mm["hi"]))
     risk = (F.col("raw_score") - F.lit(mm["lo"])) / F.lit(span) if span > 0 else F.lit(0.0)
-    return raw.select(*keep, risk.alias("risk_score"),
+    return raw.select(*cols_kept, risk.alias("risk_score"),
                       (F.col("raw_score") > F.lit(cut)).alias("is_outlier"))

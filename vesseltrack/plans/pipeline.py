@@ -24,7 +24,7 @@ from vesseltrack.plans import store
 from vesseltrack.plans.window import (
     END_DATE, START_DEFAULT, WINDOW_DAYS, ProcessingWindow, next_window_frame, resolve_window, window_mode,
 )
-from vesseltrack.session import ensure_checkpoint_dir, materialize, pin_utc
+from vesseltrack.session import Scratch, ensure_checkpoint_dir, pin_utc
 from vesseltrack.sources.ais import read_ais, with_lineage
 from vesseltrack.sources.catalog import ingested_files, read_watermark
 from vesseltrack.sources.sanctions import read_sanctions
@@ -161,10 +161,12 @@ def run_window(spark: SparkSession, start=None, end=None, tables: Tables = Table
         window_silver = silver if span is None else silver.where(F.col("event_date").between(*span))
         write(daily_last_ping(window_silver), "last_ping")
     kw = {} if bucket_seconds is None else {"bucket_seconds": bucket_seconds}
-    # one timeline feeds both detectors; materialised so it is computed once
-    tl = materialize(timeline(silver, span, lookback=spark.table(tables["last_ping"]), **kw), "timeline")
-    write(dark_gaps(tl, span), "dark_gaps")
-    write(impossible_speed(tl, span), "impossible_speed")
+    # one timeline feeds both detectors; a scratch table, so it is computed once
+    # and its files are removed as soon as both detectors are written
+    with Scratch(spark) as scratch:
+        tl = scratch.keep(timeline(silver, span, lookback=spark.table(tables["last_ping"]), **kw), "timeline")
+        write(dark_gaps(tl, span), "dark_gaps")
+        write(impossible_speed(tl, span), "impossible_speed")
     gaps_t, jumps_t = spark.table(tables["dark_gaps"]), spark.table(tables["impossible_speed"])
     write(anomaly_cues(gaps_t, jumps_t, sanctions, span), "anomaly_cues")
     # features: per-(vessel, day) partials of this window, then a rebuild from the
@@ -203,11 +205,12 @@ def reprocess(spark: SparkSession, start, end, tables: Tables = Tables(), cascad
 
 def score_vessels(spark: SparkSession, tables: Tables = Tables(), seed: int = 42) -> int:
     """M8: score every vessel of the feature table; an empty table leaves old scores."""
-    scores = risk_scores(spark, spark.table(tables["vessel_features"]), seed=seed)
-    if scores is None:
-        return 0
-    out = scores.withColumn("_scored_at", F.current_timestamp())
-    return store.overwrite_table(spark, out, tables["risk_scores"])
+    with Scratch(spark) as scratch:
+        scores = risk_scores(spark, spark.table(tables["vessel_features"]), seed=seed, scratch=scratch)
+        if scores is None:
+            return 0
+        out = scores.withColumn("_scored_at", F.current_timestamp())
+        return store.overwrite_table(spark, out, tables["risk_scores"])
 
 
 def alert_rows(spark: SparkSession, tables: Tables = Tables(), threshold: float = 0.7, n: int = 20) -> DataFrame:

@@ -106,3 +106,49 @@ def ship_package(spark: SparkSession) -> None:
                                   root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
     sc.addPyFile(archive)
     _SHIPPED.add(sc.applicationId)
+
+
+SCRATCH_DB = "vt_scratch"
+
+
+class Scratch:
+    """Intermediate tables of one job, dropped (data included) when the job is done.
+
+    The tables live in a database located under ``spark.checkpoint.dir``
+    (shared storage on a cluster), so they cut lineage and survive executor
+    loss like a checkpoint, and ``DROP TABLE`` removes their files: a year of
+    windowed runs does not pile up copies of every window's timeline.
+
+        with Scratch(spark) as scratch:
+            tl = scratch.keep(timeline_df, "timeline")
+            ...  # every write that reads tl
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.tables: list[str] = []
+
+    def keep(self, df, name: str):
+        base = ensure_checkpoint_dir(self.spark).rstrip("/")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {SCRATCH_DB} LOCATION '{base}/{SCRATCH_DB}'")
+        table = f"{SCRATCH_DB}.{name.replace('-', '_')}_{uuid.uuid4().hex[:16]}"
+        df.write.format("parquet").saveAsTable(table)
+        self.tables.append(table)
+        return self.spark.table(table)
+
+    def close(self) -> None:
+        for t in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+        self.tables.clear()
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        self.close()
+        return False
+
+
+def keep(df, name: str, scratch: "Scratch | None" = None):
+    """``scratch.keep`` when a job owns the intermediate, else :func:`materialize`."""
+    return scratch.keep(df, name) if scratch is not None else materialize(df, name)
