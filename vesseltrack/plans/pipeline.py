@@ -200,6 +200,32 @@ def reprocess(spark: SparkSession, start, end, tables: Tables = Tables(), cascad
     return [w for w in done if w is not None]
 
 
+# ------------------------------------------------------------ checks
+
+
+def check_tables(spark: SparkSession, tables: Tables = Tables(), window=None) -> DataFrame:
+    """Q1-Q5 over every table that has rules: (table, rule, column_name, failures).
+
+    Each table's rules run in one aggregation; with a window the date-partitioned
+    tables are read for that window only (partition pruning), so the checks can
+    run after every windowed job instead of as a separate full scan.
+    """
+    from vesseltrack.operators.quality import RULES, run_checks
+
+    windowed = {"ais_clean", "dark_gaps", "impossible_speed", "anomaly_cues"}
+    out = None
+    for key, (_, name) in tables.names.items():
+        rules = RULES.get(name) or RULES.get(key)
+        if rules is None or not spark.catalog.tableExists(tables[key]):
+            continue
+        res = run_checks(spark.table(tables[key]), rules, window if key in windowed else None)
+        res = res.select(F.lit(tables[key]).alias("table"), "rule", "column_name", "failures")
+        out = res if out is None else out.unionByName(res)
+    if out is None:
+        return spark.createDataFrame([], "table string, rule string, column_name string, failures bigint")
+    return out
+
+
 # ------------------------------------------------------------ scoring
 
 
