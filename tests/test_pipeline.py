@@ -182,3 +182,17 @@ def test_check_tables(spark, tables):
     assert res[("sanctions", "unique", "entity_id")] == 0
     # null speeds are valid pings (kept by design), so this schema test reports them
     assert res[("ais_clean", "not_null", "sog")] > 0
+
+
+def test_explicit_window_on_fresh_tables(spark, landed):
+    """First build with an explicit window: tables hold that window only; the watermark stays unset."""
+    root, _ = landed
+    t = P.Tables(sandbox=f"b{uuid.uuid4().hex[:8]}")
+    for _ in range(6):
+        P.ingest_ais(spark, root, t, end_date=END)
+    P.ingest_sanctions(spark, os.path.join(root, "entities.json"), t)
+    w = P.run_window(spark, "2024-01-08", "2024-01-14", t, end_date=END)
+    assert w.advance is False and read_watermark(spark, t["window_state"]) is None
+    days = {r["event_date"] for r in spark.table(t["ais_clean"]).select("event_date").distinct().collect()}
+    assert days and min(days) >= date(2024, 1, 8) and max(days) <= date(2024, 1, 14)
+    assert spark.table(t["dark_gaps"]).where("event_date < date'2024-01-08'").count() == 0
