@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vesseltrack import oracle as O
 from vesseltrack.operators.features import vessel_features
-from vesseltrack.operators.iforest import CAPS, MODEL_COLUMNS, model_column, model_inputs, risk_scores, standardise
+from vesseltrack.operators.iforest import CAPS, model_column, model_inputs, risk_scores, standardise
 from vesseltrack.operators.quality import RULES, run_checks
 from vesseltrack.operators.quantile import exact_quantile
 from vesseltrack.operators.report import report_lines, report_table, scoring_summary, top_k, top_scored, watchlist
