@@ -23,6 +23,21 @@ SESSION_CONF = {
 }
 
 
+# Starting points for a large cluster (100 TB-class inputs); tune to the executors.
+# Shuffle partitions: many, then let AQE coalesce small ones and split skewed
+# joins; 128 MB scan splits; broadcast joins only through the explicit,
+# size-checked hints of this package (no statistics-based surprises).
+CLUSTER_CONF = {
+    **SESSION_CONF,
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.sources.partitionOverwriteMode": "static",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "vesseltrack", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session configured for this library."""
