@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from . import decontaminate as D
+from . import token_count as TC
 from .common import table
 
 QUERIES, ORACLE = {}, {}
 
 
+def op2_token_counts(spark, sf_dir):
+    return TC.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES["op2_token_counts"] = op2_token_counts
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     return D.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
