@@ -6,11 +6,19 @@ import public_tokenizers
 
 from . import decontaminate as D
 from . import token_count as TC
+from . import toxicity as X
 from .common import table
 
 QUERIES, ORACLE = {}, {}
 
 
+def op1_toxicity(spark, sf_dir):
+    return X.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES["op1_toxicity"] = op1_toxicity
+
+
 def op2_token_counts(spark, sf_dir):
     return TC.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
