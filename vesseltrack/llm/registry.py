@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 
 from . import decontaminate as D
+from . import ring_shards as RS
 from . import token_count as TC
 from . import toxicity as X
+from . import url_rules as UR
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -26,6 +28,19 @@ def op2_token_counts(spark, sf_dir):
 QUERIES["op2_token_counts"] = op2_token_counts
 
 
+def op7_url_filters(spark, sf_dir):
+    return UR.judge(table(spark, sf_dir, "pages"), UR.rule_table(spark))
+
+
+def op8_sharding(spark, sf_dir):
+    return RS.shard_rows(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op7_url_filters"] = op7_url_filters
+ORACLE["op7_url_filters"] = UR.ORACLE_JUDGE
+QUERIES["op8_sharding"] = op8_sharding
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     return D.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
