@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from . import decontaminate as D
+from . import quality_rules as Q
 from . import ring_shards as RS
 from . import token_count as TC
 from . import toxicity as X
@@ -28,6 +29,14 @@ def op2_token_counts(spark, sf_dir):
 QUERIES["op2_token_counts"] = op2_token_counts
 
 
+def op6_quality_rules(spark, sf_dir):
+    return Q.quality(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op6_quality_rules"] = op6_quality_rules
+ORACLE["op6_quality_rules"] = Q.ORACLE_QUALITY
+
+
 def op7_url_filters(spark, sf_dir):
     return UR.judge(table(spark, sf_dir, "pages"), UR.rule_table(spark))
 
