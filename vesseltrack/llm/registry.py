@@ -10,6 +10,7 @@ from . import ring_shards as RS
 from . import token_count as TC
 from . import toxicity as X
 from . import url_rules as UR
+from . import warc as W
 from .common import table
 
 QUERIES, ORACLE = {}, {}
@@ -29,6 +30,14 @@ def op2_token_counts(spark, sf_dir):
 QUERIES["op2_token_counts"] = op2_token_counts
 
 
+def op4_warc(spark, sf_dir):
+    return W.round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op4_warc"] = op4_warc
+ORACLE["op4_warc"] = W.ORACLE_ROUND_TRIP
+
+
 def op6_quality_rules(spark, sf_dir):
     return Q.quality(table(spark, sf_dir, "documents"))
 
