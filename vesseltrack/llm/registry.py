@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from . import decontaminate as D
+from . import html_main as H
 from . import quality_rules as Q
 from . import ring_shards as RS
 from . import token_count as TC
@@ -38,6 +39,13 @@ QUERIES["op4_warc"] = op4_warc
 ORACLE["op4_warc"] = W.ORACLE_ROUND_TRIP
 
 
+def op5_html_extraction(spark, sf_dir):
+    return H.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op5_html_extraction"] = op5_html_extraction
+
+
 def op6_quality_rules(spark, sf_dir):
     return Q.quality(table(spark, sf_dir, "documents"))
 
