@@ -1,10 +1,7 @@
 """Token counts of whole texts, exactly as the tokenizer library gives them.
 
-A text may be cut before a blank that stands between two visible characters:
-the pre-tokenizer of a byte-level BPE always starts a piece at such a blank
-(every piece has at most one blank, in front), no piece before it looks past a
-visible character, and merges never cross pieces. Tokens left and right of
-such a *stable boundary* do not depend on each other.
+A text may be cut at a *stable boundary*, a blank between two visible
+characters (``cuts``): the tokens left and right of it are independent.
 
 * Texts up to ``long_chars``: cut at every stable boundary; a worker has each
   different piece counted by the library once and adds the counts up.
@@ -24,7 +21,6 @@ from __future__ import annotations
 
 import bisect
 import json
-import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
@@ -34,6 +30,7 @@ from pyspark.sql import functions as F
 from vesseltrack.session import materialize
 
 from .common import map_arrow, text_bytes
+from .cuts import all_blanks_stable, pieces, stable
 
 LONG_CHARS = 32_768
 CHUNK_CHARS = 16_384
@@ -57,47 +54,29 @@ def _tokenizer(path: str):
     return tok
 
 
-@lru_cache(maxsize=4096)
-def _visible(c: str) -> bool:
-    """Neither white space nor control: categories L, M, N, P and S, in any Unicode version that has the character."""
-    return unicodedata.category(c)[0] in "LMNPS"
-
-
-def stable(text: str, p: int) -> bool:
-    return 0 < p < len(text) - 1 and text[p] == " " and _visible(text[p - 1]) and _visible(text[p + 1])
-
-
-def pieces(text: str) -> list[str]:
-    """The text cut at its stable boundaries."""
-    if not text:
-        return []
-    parts = text.split(" ")
-    out = [parts[0]]
-    for before, part in zip(parts, parts[1:]):
-        if before and part and _visible(before[-1]) and _visible(part[0]):
-            out.append(" " + part)
-        else:
-            out[-1] += " " + part
-    return out if out[0] else out[1:]
-
-
 class PieceCounter:
     """Tokens of texts, each different piece encoded once as long as the cache has room."""
 
     def __init__(self, path: str):
-        self.tok, self.known = _tokenizer(path), {}
+        self.tok, self.known, self.after_blank = _tokenizer(path), {}, {}
 
     def __call__(self, texts: list[str]) -> list[int]:
-        cut = [pieces(t) for t in texts]
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
-        new = list({p for ps in cut for p in ps if p not in self.known})
+            self.after_blank.clear()
+        # (pieces to look up as they are, pieces to look up behind a blank)
+        cut = [(parts[:1], parts[1:]) if (parts := t.split(" ")) and all_blanks_stable(t) else (pieces(t), []) for t in texts]
+        self._learn(self.known, {p for whole, _ in cut for p in whole}, "")
+        self._learn(self.after_blank, set().union(*(rest for _, rest in cut)), " ")
+        one, other = self.known.__getitem__, self.after_blank.__getitem__
+        return [sum(map(one, whole)) + sum(map(other, rest)) for whole, rest in cut]
+
+    def _learn(self, known: dict, found: set, before: str) -> None:
+        new = list(found.difference(known))
         for at in range(0, len(new), 4096):
             part = new[at:at + 4096]
-            for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[p] = len(e)
-        get = self.known.__getitem__
-        return [sum(map(get, ps)) for ps in cut]
+            for p, e in zip(part, self.tok.encode_batch_fast([before + p for p in part], add_special_tokens=False)):
+                known[p] = len(e)
 
 
 @lru_cache(maxsize=2)
