@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from . import bpe as B
 from . import decontaminate as D
 from . import html_main as H
 from . import quality_rules as Q
@@ -31,6 +32,14 @@ def op2_token_counts(spark, sf_dir):
 QUERIES["op2_token_counts"] = op2_token_counts
 
 
+def op3_byte_bpe(spark, sf_dir):
+    return B.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                            public_tokenizers.PATTERN)
+
+
+QUERIES["op3_byte_bpe"] = op3_byte_bpe
+
+
 def op4_warc(spark, sf_dir):
     return W.round_trip(table(spark, sf_dir, "pages"))
 
