@@ -7,6 +7,7 @@ import public_tokenizers
 from . import bpe as B
 from . import decontaminate as D
 from . import html_main as H
+from . import ngram_join as N
 from . import quality_rules as Q
 from . import ring_shards as RS
 from . import token_count as TC
@@ -82,3 +83,10 @@ def op9_benchmark_decontamination(spark, sf_dir):
 
 QUERIES["op9_benchmark_decontamination"] = op9_benchmark_decontamination
 ORACLE["op9_benchmark_decontamination"] = D.ORACLE_CONTAMINATION
+
+
+def op10_ngram_jaccard_join(spark, sf_dir):
+    return N.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op10_ngram_jaccard_join"] = op10_ngram_jaccard_join

@@ -135,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, n_buckets: int = N_BUCKETS, factors:
     """Learn from the labelled rows of ``docs`` that are not held out."""
     y = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id"), (F.col("toxic") == 1).cast("int").alias("y"))
-    rows = docs.select("doc_id", "text").join(y, "doc_id").select("text", "y", F.xxhash64("text").alias("draw"))
+    rows = docs.select("doc_id", "text").join(y.hint("merge"), "doc_id").select("text", "y", F.xxhash64("text").alias("draw"))
     ship_package(docs.sparkSession)
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not toxic or toxic == total:
