@@ -22,6 +22,7 @@ from vesseltrack.sources.catalog import read_watermark
 from vesseltrack.sources.fixtures import ais_raw_from_events, entity_lines_from_supplier
 
 END = date(2024, 1, 31)
+LAST = date(2024, 1, 30)  # the newest landed day: the watermark goes no further
 
 
 @pytest.fixture(scope="module")
@@ -66,8 +67,8 @@ def test_windows_then_full_build(spark, landed, tables):
     while (w := P.run_window(spark, tables=tables, end_date=END)) is not None:
         wins.append(w)
     assert [w.start.day for w in wins] == [1, 8, 15, 22, 29]
-    assert read_watermark(spark, tables["window_state"]) == END
-    silver = clean(spark.table(tables["ais_raw"]))
+    assert read_watermark(spark, tables["window_state"]) == LAST
+    silver = clean(spark.table(tables["ais_raw"]).drop("_event_date"))
     full_gaps = dark_gaps(timeline(silver))
     got = spark.table(tables["dark_gaps"]).select(*DARK_GAP_COLUMNS)
     assert got.count() > 0 and _same(got, full_gaps)  # P1
@@ -81,7 +82,7 @@ def test_rerun_is_idempotent(spark, tables):
     assert w.advance is False
     after = spark.table(tables["anomaly_cues"]).collect()
     assert sorted(map(tuple, before)) == sorted(map(tuple, after))  # P2
-    assert read_watermark(spark, tables["window_state"]) == END
+    assert read_watermark(spark, tables["window_state"]) == LAST
 
 
 def test_failure_keeps_watermark(spark, landed):
@@ -135,10 +136,10 @@ def test_cli(spark, tables, capsys):
 def test_reprocess_cascade(spark, tables):
     before = sorted(map(tuple, spark.table(tables["dark_gaps"]).collect()))
     done = P.reprocess(spark, "2024-01-15", "2024-01-21", tables, cascade=True)
-    assert [(w.start.day, w.end.day) for w in done] == [(15, 21), (22, 28), (29, 31)]
+    assert [(w.start.day, w.end.day) for w in done] == [(15, 21), (22, 28), (29, 30)]
     assert all(not w.advance for w in done)
     assert sorted(map(tuple, spark.table(tables["dark_gaps"]).collect())) == before
-    assert read_watermark(spark, tables["window_state"]) == END
+    assert read_watermark(spark, tables["window_state"]) == LAST
 
 
 def test_full_refresh_equals_windows(spark, tables):
@@ -147,30 +148,86 @@ def test_full_refresh_equals_windows(spark, tables):
     assert P.run_window(spark, tables=tables, full_refresh=True, end_date=END) is None  # no watermark move
     for k in keys:
         assert sorted(map(tuple, spark.table(tables[k]).collect())) == before[k], k
-    assert read_watermark(spark, tables["window_state"]) == END
+    assert read_watermark(spark, tables["window_state"]) == LAST
 
 
-def test_ingest_late_and_missing_days(spark, landed, tmp_path):
-    """A late file for an earlier day is loaded; a run of missing days does not block later files."""
+def _copy(root, files, to):
+    import shutil
+    for f in files:
+        shutil.copy(f"{root}/{f}", to / f)
+
+
+def _run_out(spark, src, t):
+    wins = []
+    got = {"": 0}
+    while got:  # a batch may hold header-only files: loaded, without a row
+        got = {}
+        P.ingest_ais(spark, str(src), t, window_days=12, spread=2, per_file=got)
+    while (w := P.run_window(spark, tables=t, window_days=12)) is not None:
+        wins.append(w)
+    return wins
+
+
+def test_no_day_is_lost(spark, landed, tmp_path):
+    """A late day, a gap, a header-only day, days landing after their window and a day of the next year."""
     root, _ = landed
     src = tmp_path / "landing"
     src.mkdir()
     files = sorted(f for f in os.listdir(root) if f.endswith(".csv.zst"))
-    first_week, rest = files[:7], files[7:]
-    import shutil
-    for f in first_week[:3] + first_week[4:] + rest[7:]:  # day 4 late; days 8-14 missing
-        shutil.copy(f"{root}/{f}", src / f)
     t = P.Tables(sandbox=f"l{uuid.uuid4().hex[:8]}")
-    got = {}
-    P.ingest_ais(spark, str(src), t, end_date=END, per_file=got)
-    assert sorted(got) == first_week[:3] + first_week[4:]
-    got.clear()
-    P.ingest_ais(spark, str(src), t, end_date=END, per_file=got)  # window 8-14 empty: jump to day 15
-    assert sorted(got) == rest[7:14]
-    shutil.copy(f"{root}/{first_week[3]}", src / first_week[3])  # the late day lands
-    got.clear()
-    P.ingest_ais(spark, str(src), t, end_date=END, per_file=got)
-    assert first_week[3] in got
+    P.ingest_sanctions(spark, os.path.join(root, "entities.json"), t)
+    header = ",".join(AIS_COLUMNS) + "\n"
+    row = dict.fromkeys(AIS_COLUMNS, "") | {"mmsi": "211000001", "base_date_time": "2025-01-02 03:04:05", "longitude": "1.5", "latitude": "2.5"}
+    text = header + ",".join(row[c] for c in AIS_COLUMNS) + "\n"
+    # day 4 is late, days 9-10 are missing, the newest landed day is day 14
+    _copy(root, files[:3] + files[4:8] + files[10:14], src)
+    wins = _run_out(spark, src, t)
+    assert wins[-1].end == date(2024, 1, 14) and all(w.advance for w in wins)  # not past the newest loaded day
+    _copy(root, files[3:4], src)
+    wins = _run_out(spark, src, t)
+    assert [(w.start, w.advance) for w in wins] == [(date(2024, 1, 4), False)]
+    assert read_watermark(spark, t["window_state"]) == date(2024, 1, 14)
+    _copy(root, files[8:10] + files[14:20], src)
+    (src / "ais-2024-01-31.csv.zst").write_bytes(zstandard.ZstdCompressor().compress(header.encode()))
+    (src / "ais-2025-01-02.csv.zst").write_bytes(zstandard.ZstdCompressor().compress(text.encode()))
+    (src / "notes.csv.zst").write_bytes(b"no date in the name")
+    skipped = {}
+    P.ingest_ais(spark, str(src), t, window_days=12, skipped=skipped)
+    assert skipped == {"undated": 1, "after_end": 0}
+    wins = _run_out(spark, src, t)
+    assert read_watermark(spark, t["window_state"]) == date(2025, 1, 2)
+    silver = clean(spark.table(t["ais_raw"]).drop("_event_date"))
+    assert spark.table(t["ais_clean"]).where("event_date = date'2025-01-02'").count() == 1
+    assert _same(spark.table(t["ais_clean"]).select(*silver.columns), silver)
+    full = timeline(silver)
+    assert _same(spark.table(t["dark_gaps"]).select(*DARK_GAP_COLUMNS), dark_gaps(full))
+    jumps = impossible_speed(full)
+    assert _same(spark.table(t["impossible_speed"]).select(*jumps.columns), jumps)
+    from vesseltrack.operators.features import vessel_features
+    features = vessel_features(dark_gaps(full), jumps, spark.table(t["sanctions"]))
+    assert _same(spark.table(t["vessel_features"]).select(*features.columns), features)
+    assert P.run_window(spark, tables=t) is None and P.ingest_ais(spark, str(src), t) == 0
+
+
+def test_bronze_scan_of_a_window_is_pruned(spark, tables):
+    raw = spark.table(tables["ais_raw"]).where(F.col("_event_date").between(F.lit(date(2024, 1, 8)), F.lit(date(2024, 1, 14))))
+    plan = clean(raw.drop("_event_date"), ("2024-01-08", "2024-01-14"))._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert all("_event_date" in p for p in re.findall(r"PartitionFilters: \[(.*?)\]", plan)) and "PartitionFilters: []" not in plan
+
+
+def test_ingest_end_date_and_missing_days(spark, landed, tmp_path):
+    root, _ = landed
+    src = tmp_path / "landing"
+    src.mkdir()
+    files = sorted(f for f in os.listdir(root) if f.endswith(".csv.zst"))
+    _copy(root, files[:3] + files[16:20], src)  # a run of missing days does not block later files
+    t = P.Tables(sandbox=f"m{uuid.uuid4().hex[:8]}")
+    got, skipped = {}, {}
+    P.ingest_ais(spark, str(src), t, end_date=date(2024, 1, 18), per_file=got, skipped=skipped)
+    assert sorted(got) == files[:3] and skipped["after_end"] == 2
+    P.ingest_ais(spark, str(src), t, end_date=date(2024, 1, 18), per_file=got)
+    assert sorted(got) == files[:3] + files[16:18]
 
 
 def test_check_tables(spark, tables):

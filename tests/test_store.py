@@ -7,7 +7,7 @@ import pytest
 
 from vesseltrack.plans import store
 from vesseltrack.plans.window import ProcessingWindow
-from vesseltrack.sources.catalog import ingested_files, read_watermark
+from vesseltrack.sources.catalog import read_watermark
 
 
 def _t(name):
@@ -40,17 +40,88 @@ def test_replace_window(spark):
     assert _state(spark, t) == [(20, D[1])]  # the check runs before anything is dropped
 
 
-def test_replace_files_and_dynamic_overwrite(spark):
+def test_replace_files(spark):
     t = _t("raw")
     a = spark.createDataFrame([(1, "f1"), (2, "f1"), (3, "f2")], "v int, _source_file string")
-    store.replace_files(spark, a, t, ["f1", "f2"])
+    per_file = {}
+    store.replace_files(spark, a, t, ["f1", "f2", "empty"], per_file=per_file)
+    assert per_file == {"f1": 2, "f2": 1, "empty": 0}
     store.replace_files(spark, a.where("_source_file = 'f1'"), t, ["f1"])
     assert spark.table(t).count() == 3
-    assert sorted(r["_source_file"] for r in ingested_files(spark, t).collect()) == ["f1", "f2"]
+    assert store.partition_values(spark, t, ["_source_file"]) == {("f1",), ("f2",)}
     b = spark.createDataFrame([(7, "f2"), (8, "f3")], "v int, _source_file string")
-    store.overwrite_partitions(spark, b, t, "_source_file")
+    store.replace_files(spark, b, t, ["f2", "f3"])
     got = sorted((r["v"], r["_source_file"]) for r in spark.table(t).collect())
     assert got == [(1, "f1"), (2, "f1"), (7, "f2"), (8, "f3")]
+    with pytest.raises(ValueError):
+        store.replace_files(spark, b, t, ["f2"])
+    assert sorted((r["v"], r["_source_file"]) for r in spark.table(t).collect()) == got
+
+
+def test_names_with_quotes_and_separators(spark):
+    t = _t("raw")
+    names = ["it's \\ odd.csv", "a=b/c d.csv", "100%25.csv"]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "v int, _source_file string")
+    for _ in range(2):
+        store.replace_files(spark, rows, t, names)
+        assert sorted(map(tuple, spark.table(t).collect())) == list(enumerate(names))
+
+
+def _failing(df):
+    from pyspark.sql import functions as F
+    return df.withColumn("v", F.when(F.col("v") < 0, 0).otherwise(F.raise_error(F.lit("late failure")).cast("int")))
+
+
+def _files_below(spark, table):
+    import os
+    root = store._root(spark, table).removeprefix("file:")
+    return sorted(n for n in os.listdir(root) if not n.startswith("."))
+
+
+def test_a_failed_write_loses_nothing(spark):
+    whole, days, files = _t("whole"), _t("days"), _t("files")
+    rows = _rows(spark, [(1, D[0]), (2, D[1])])
+    named = spark.createDataFrame([(1, "f1"), (2, "f1")], "v int, _source_file string")
+    for first, again, table in (
+            (lambda: store.overwrite_table(spark, rows, whole), lambda: store.overwrite_table(spark, _failing(rows), whole), whole),
+            (lambda: store.overwrite_table(spark, rows, days, "event_date"),
+             lambda: store.overwrite_table(spark, _failing(rows), days, "event_date"), days),
+            (lambda: None, lambda: store.replace_window(spark, _failing(rows), days, D[0], D[1]), days),
+            (lambda: store.replace_files(spark, named, files, ["f1"]), lambda: store.replace_files(spark, _failing(named), files, ["f1"]), files)):
+        first()
+        before, below = sorted(map(tuple, spark.table(table).collect())), _files_below(spark, table)
+        assert len(before) == 2
+        with pytest.raises(Exception, match="late failure"):
+            again()
+        assert sorted(map(tuple, spark.table(table).collect())) == before
+        assert _files_below(spark, table) == below  # nothing staged is left behind
+    with pytest.raises(ValueError):
+        store.replace_window(spark, rows, days, D[3], D[4])
+
+
+def test_overwrite_keeps_readers_and_drops_old_versions(spark):
+    t = _t("snap")
+    store.overwrite_table(spark, spark.range(5).selectExpr("cast(id as int) v"), t)
+    reader = spark.table(t)
+    store.overwrite_table(spark, spark.range(3).selectExpr("cast(id as int) v"), t)
+    assert reader.count() in (3, 5) and spark.table(t).count() == 3
+    for n in (4, 6, 7):
+        store.overwrite_table(spark, spark.range(n).selectExpr("cast(id as int) v"), t)
+    assert len([n for n in _files_below(spark, t) if n.startswith("_v-")]) == 2
+    # the table may be computed from itself, and may change its columns
+    store.overwrite_table(spark, spark.table(t).selectExpr("v + 1 as v"), t)
+    assert spark.table(t).count() == 7
+    store.overwrite_table(spark, spark.range(2).selectExpr("id", "'x' as name"), t)
+    assert spark.table(t).columns == ["id", "name"]
+
+
+def test_partitioned_overwrite_drops_days_without_rows(spark):
+    t = _t("parts")
+    store.overwrite_table(spark, _rows(spark, [(1, D[0]), (2, D[1])]), t, "event_date")
+    store.overwrite_table(spark, _rows(spark, [(3, D[1]), (4, D[2])]), t, "event_date")
+    assert _state(spark, t) == [(3, D[1]), (4, D[2])]
+    store.overwrite_table(spark, _rows(spark, []), t, "event_date")
+    assert _state(spark, t) == []
 
 
 def test_watermark_only_on_advance(spark):

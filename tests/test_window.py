@@ -1,4 +1,4 @@
-"""Window arithmetic: the reference's unit cases, for the driver-side helper and the DataFrame form."""
+"""Window arithmetic over file listings and state tables."""
 
 from datetime import date
 
@@ -7,80 +7,81 @@ from pyspark.sql import functions as F
 
 from vesseltrack.functions.filenames import date_from_filename
 from vesseltrack.plans.window import (
-    ProcessingWindow, compute_window, parse_date_from_filename, resolve_window, window_mode,
-    window_state_frame,
+    SCHEDULE_END, SCHEDULE_START, ProcessingWindow, next_window_frame, resolve_window, window_mode, window_state_frame,
 )
 
-END = date(2024, 12, 31)
 
-NAMES = [
-    ("ais-2024-01-15.csv.zst", date(2024, 1, 15)),
-    ("ais-2024-12-31.csv.zst", date(2024, 12, 31)),
-    ("not-a-valid-file.csv", None),
-    ("", None),
-    ("ais-2024", None),
-]
-
-
-@pytest.mark.parametrize("name,expected", NAMES)
-def test_parse_date_from_filename(name, expected):
-    assert parse_date_from_filename(name) == expected
-
-
-def test_date_from_filename_column(spark):
-    df = spark.createDataFrame([(n,) for n, _ in NAMES] + [("ais-2024-02-30.csv.zst",)], "f string")
-    got = {r["f"]: r["d"] for r in df.select("f", date_from_filename(F.col("f")).alias("d")).collect()}
-    for n, exp in NAMES:
-        assert got[n] == exp
-    assert got["ais-2024-02-30.csv.zst"] is None
-
-
-CASES = [
-    (set(), {}, (date(2024, 1, 1), date(2024, 1, 7))),
-    ({"ais-2024-01-01.csv.zst", "ais-2024-01-02.csv.zst"}, {}, (date(2024, 1, 3), date(2024, 1, 9))),
-    ({"ais-2024-12-28.csv.zst"}, {}, (date(2024, 12, 29), date(2024, 12, 31))),
-    ({"ais-2024-12-31.csv.zst"}, {}, None),
-    ({"ais-2024-01-05.csv.zst", "some-other-file.csv"}, {}, (date(2024, 1, 6), date(2024, 1, 12))),
-    (set(), {"default_start": date(2024, 6, 1)}, (date(2024, 6, 1), date(2024, 6, 7))),
-]
-
-
-@pytest.mark.parametrize("files,kw,expected", CASES)
-def test_compute_window_set(files, kw, expected):
-    assert compute_window(files, window_days=7, end_date=END, **kw) == expected
-
-
-@pytest.mark.parametrize("files,kw,expected", CASES)
-def test_compute_window_frame(spark, files, kw, expected):
-    df = spark.createDataFrame([(f,) for f in sorted(files)], "_source_file string")
-    assert compute_window(df, window_days=7, end_date=END, **kw) == expected
-
-
-def test_transform_window():
-    assert resolve_window(last_end=None) == ProcessingWindow(date(2024, 1, 1), date(2024, 1, 7), True)
-    assert resolve_window(last_end=date(2024, 12, 28)) == ProcessingWindow(date(2024, 12, 29), END, True)
-    assert resolve_window(last_end=END) is None
-    assert resolve_window("2024-03-01", "2024-03-05", last_end=date(2024, 1, 7)) == \
-        ProcessingWindow(date(2024, 3, 1), date(2024, 3, 5), False)
-    # only one of the two given counts as none
-    assert resolve_window("2024-03-01", None, last_end=date(2024, 1, 7)).start == date(2024, 1, 8)
-
-
-def test_window_state_frame(spark):
-    st = spark.createDataFrame([(date(2024, 12, 28),)], "last_end date")
-    r = window_state_frame(st).first()
-    assert (r["window_start"], r["window_end"], r["advance"]) == (date(2024, 12, 29), END, True)
-    r = window_state_frame(spark.createDataFrame([], "last_end date")).first()
-    assert (r["window_start"], r["window_end"]) == (date(2024, 1, 1), date(2024, 1, 7))
-    r = window_state_frame(spark.createDataFrame([(END,)], "last_end date")).first()
-    assert r["advance"] is False and r["window_start"] is None
-
-
-def test_window_mode():
+def day(name):
+    """The day of a well-formed daily name, for short test data."""
+    return f"ais-{name}.csv.zst"
+
+
+@pytest.mark.parametrize("name,found", [
+    (day("2024-02-29"), date(2024, 2, 29)),      # leap day
+    (day("2023-02-29"), None),                   # no such day
+    (day("2025-04-30"), date(2025, 4, 30)),
+    (day("2025-04-31"), None),
+    (day("1999-12-31"), date(1999, 12, 31)),
+    (day("2024-13-01"), None),
+    (day("24-01-01"), None),                     # short year
+    ("ais-20240101.csv.zst", None),              # no separators
+    ("AIS_2024_06_07_extra.csv", date(2024, 6, 7)),  # the rule looks at positions only
+    ("ais-२०२४-०१-०१.csv", None),                 # digits of another script
+    ("positions.csv", None),
+    (None, None),
+])
+def test_dates_of_names(spark, name, found):
+    got = spark.createDataFrame([(name,)], "f string").select(date_from_filename(F.col("f"))).first()[0]
+    assert got == found
+
+
+@pytest.mark.parametrize("names,kw,window", [
+    ([], {}, (SCHEDULE_START, date(2024, 1, 7))),
+    ([], {"default_start": date(2023, 11, 28), "window_days": 5}, (date(2023, 11, 28), date(2023, 12, 2))),
+    ([], {"default_start": None}, None),
+    ([day("2024-02-26"), day("2024-02-27")], {"window_days": 3}, (date(2024, 2, 28), date(2024, 3, 1))),   # over the leap day
+    ([day("2024-06-01"), day("2024-06-20")], {}, (date(2024, 6, 21), date(2024, 6, 27))),                 # a gap in the listing
+    ([day("2024-12-30")], {}, (date(2024, 12, 31), date(2025, 1, 6))),                                    # over the year's end
+    ([day("2024-12-30")], {"end_date": SCHEDULE_END}, (date(2024, 12, 31), date(2024, 12, 31))),
+    ([day("2025-03-09")], {"end_date": SCHEDULE_END}, None),
+    ([day("2025-03-09")], {}, (date(2025, 3, 10), date(2025, 3, 16))),                                    # no end by default
+    (["junk", day("2024-05-32"), day("2024-05-05"), "x" + day("2024-09-09")], {}, (date(2024, 5, 6), date(2024, 5, 12))),
+])
+def test_window_after_a_listing(spark, names, kw, window):
+    files = spark.createDataFrame([(n,) for n in names], "_source_file string")
+    row = next_window_frame(files, **kw).first()
+    assert (None if row is None else tuple(row)) == window
+
+
+@pytest.mark.parametrize("last,kw,row", [
+    (None, {}, (SCHEDULE_START, date(2024, 1, 7), True)),
+    (date(2024, 3, 31), {}, (date(2024, 4, 1), date(2024, 4, 7), True)),
+    (date(2024, 12, 31), {}, (date(2025, 1, 1), date(2025, 1, 7), True)),
+    (date(2024, 12, 31), {"end_date": SCHEDULE_END}, (None, None, False)),
+    (date(2024, 12, 29), {"end_date": SCHEDULE_END}, (date(2024, 12, 30), date(2024, 12, 31), True)),
+])
+def test_window_after_a_state(spark, last, kw, row):
+    state = spark.createDataFrame([(last,)] if last else [], "last_end date")
+    assert tuple(window_state_frame(state, **kw).first()) == row
+
+
+def test_next_transform_window():
+    assert resolve_window(last_end=date(2024, 2, 24)) == ProcessingWindow(date(2024, 2, 25), date(2024, 3, 2))
+    # never past the newest loaded day, nor past a set end
+    assert resolve_window(last_end=date(2024, 2, 24), newest=date(2024, 2, 25)) == ProcessingWindow(date(2024, 2, 25), date(2024, 2, 25))
+    assert resolve_window(last_end=date(2024, 2, 24), newest=date(2024, 2, 24)) is None
+    assert resolve_window(last_end=date(2024, 12, 31), end_date=SCHEDULE_END) is None
+    assert resolve_window(default_start=None) is None
+
+
+def test_override_needs_both_ends_and_keeps_the_watermark():
+    w = resolve_window("2024-05-01", " 2024-05-03", last_end=date(2024, 12, 31), end_date=SCHEDULE_END)
+    assert w == ProcessingWindow(date(2024, 5, 1), date(2024, 5, 3), advance=False) and len(w.days()) == 3
+    assert resolve_window(start="2024-05-01", last_end=date(2024, 1, 7)).start == date(2024, 1, 8)
+    assert resolve_window(end="2024-05-03", last_end=date(2024, 1, 7)).start == date(2024, 1, 8)
+
+
+def test_modes():
     w = ProcessingWindow(date(2024, 1, 1), date(2024, 1, 7))
-    assert window_mode(w, True) == "replace"
-    assert window_mode(w, False) == "build"
-    assert window_mode(w, True, full_refresh=True) == "build"
-    assert window_mode(None, True) == "noop"
-    assert window_mode(None, False) == "full"
-    assert window_mode(None, True, full_refresh=True) == "full"
+    assert [window_mode(x, there, full) for x in (w, None) for there in (True, False) for full in (True, False)] == [
+        "build", "replace", "build", "build", "full", "noop", "full", "full"]

@@ -1,8 +1,8 @@
 """Command line: the jobs of one deployment, one sub-command each.
 
-    python -m vesseltrack ingest-ais LANDING_DIR
+    python -m vesseltrack ingest-ais LANDING_DIR [--end-date D]
     python -m vesseltrack ingest-sanctions ENTITIES_FILE
-    python -m vesseltrack run-window [--start D --end D] [--full-refresh]
+    python -m vesseltrack run-window [--start D --end D] [--full-refresh] [--end-date D]
     python -m vesseltrack score
     python -m vesseltrack alert [--threshold 0.7] [--top 20]
     python -m vesseltrack checks TABLE_KEY [--start D --end D]
@@ -16,6 +16,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from datetime import date
 
 
 def main(argv=None) -> int:
@@ -25,12 +26,14 @@ def main(argv=None) -> int:
     a = sub.add_parser("ingest-ais")
     a.add_argument("landing_dir")
     a.add_argument("--window-days", type=int, default=7)
+    a.add_argument("--end-date", type=date.fromisoformat, help="load no file of a later day (default: no end)")
     s = sub.add_parser("ingest-sanctions")
     s.add_argument("path")
     r = sub.add_parser("run-window")
     r.add_argument("--start")
     r.add_argument("--end")
     r.add_argument("--full-refresh", action="store_true")
+    r.add_argument("--end-date", type=date.fromisoformat, help="last day of the schedule (default: no end)")
     sub.add_parser("score")
     al = sub.add_parser("alert")
     al.add_argument("--threshold", type=float, default=0.7)
@@ -50,12 +53,14 @@ def main(argv=None) -> int:
     tables = P.Tables(sandbox=args.sandbox)
     if args.cmd == "ingest-ais":
         per_file: dict = {}
-        rows = P.ingest_ais(spark, args.landing_dir, tables, window_days=args.window_days, per_file=per_file)
-        out = {"rows": rows, "files": per_file}
+        skipped: dict = {}
+        rows = P.ingest_ais(spark, args.landing_dir, tables, window_days=args.window_days, end_date=args.end_date,
+                            per_file=per_file, skipped=skipped)
+        out = {"rows": rows, "files": per_file, "skipped": skipped}
     elif args.cmd == "ingest-sanctions":
         out = {"rows": P.ingest_sanctions(spark, args.path, tables)}
     elif args.cmd == "run-window":
-        w = P.run_window(spark, args.start, args.end, tables, full_refresh=args.full_refresh)
+        w = P.run_window(spark, args.start, args.end, tables, full_refresh=args.full_refresh, end_date=args.end_date)
         out = {"window": None if w is None else [w.start.isoformat(), w.end.isoformat()],
                "advanced": bool(w and w.advance)}
     elif args.cmd == "score":

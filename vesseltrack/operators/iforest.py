@@ -118,9 +118,9 @@ def tree_samples(x: DataFrame, n_rows: int, n_trees: int = N_TREES, sample_size:
     threshold = int(-(2 ** 63) + p * (2 ** 64)) if p < 1.0 else None
 
     def draw(trees: F.Column, limit) -> DataFrame:
+        if limit is not None:  # trees are chosen inside the row: only the drawn (vessel, tree) pairs are generated
+            trees = F.filter(trees, lambda t: F.xxhash64(F.col("mmsi"), t, F.lit(seed)) < F.lit(limit))
         pairs = x.withColumn("tree", F.explode(trees)).withColumn("rank", _rank(F.col("tree"), seed))
-        if limit is not None:
-            pairs = pairs.where(F.col("rank") < F.lit(limit))
         w = Window.partitionBy("tree").orderBy("rank", "mmsi")
         return pairs.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= need).drop("_k")
 

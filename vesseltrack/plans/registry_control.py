@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from vesseltrack.operators.clean import clean
 from vesseltrack.operators.detect import dark_gaps
 from vesseltrack.operators.timeline import timeline
 from vesseltrack.plans import store
-from vesseltrack.plans.window import next_window_frame, window_state_frame
+from vesseltrack.plans.window import SCHEDULE_END, next_window_frame, window_state_frame
 from vesseltrack.session import pin_utc, scratch_path
 from vesseltrack.sources.fixtures import ais_raw_from_events, entity_lines_from_supplier, load
 from vesseltrack.sources.sanctions import parse_entity_lines
@@ -47,13 +47,13 @@ def _ingested(files: DataFrame) -> DataFrame:
 
 
 def _q_next_window(spark, d):
-    return next_window_frame(_ingested(landed_files(spark, d)), "file")
+    return next_window_frame(_ingested(landed_files(spark, d)), "file", end_date=SCHEDULE_END)
 
 
 def _q_new_files(spark, d):
     files = landed_files(spark, d)
     done = _ingested(files)
-    win = next_window_frame(done, "file").first()  # one row: the window's two dates
+    win = next_window_frame(done, "file", end_date=SCHEDULE_END).first()  # one row: the window's two dates
     landed = files.withColumn("file_date", date_from_filename(F.col("file")))
     if win is None:
         return landed.where(F.lit(False))
@@ -64,7 +64,7 @@ def _q_new_files(spark, d):
 def _q_window_state(spark, d):
     c = clean(ais_raw_from_events(spark, d))
     state = c.agg(F.max("event_date").alias("last_end"))
-    return window_state_frame(state)
+    return window_state_frame(state, end_date=SCHEDULE_END)
 
 
 def _q_sanctions_flatten(spark, d):
@@ -76,10 +76,16 @@ def _q_json_props(spark, d):
     return ev.select("event_id", F.from_json("props", "k int").getField("k").alias("k"))
 
 
+def _weeks(days) -> list[tuple[date, date]]:
+    """Seven-day windows from the first day to the last one."""
+    first, last = days
+    return [(first + timedelta(days=i), min(first + timedelta(days=i + 6), last)) for i in range(0, (last - first).days + 1, 7)]
+
+
 def _q_replace_roundtrip(spark, d):
-    """Dark gaps written window by window, one window rerun, two days replaced by nothing.
+    """Dark gaps written window by window, one window rerun, the last 19 days replaced by nothing.
 
-    Final state: every gap with event_date <= 2024-01-12 (windows union = full build,
+    Final state: every gap of the days before (windows union = full build,
     a rerun adds no duplicates, a day that loses all rows ends empty).
     """
     pin_utc(spark)
@@ -87,12 +93,12 @@ def _q_replace_roundtrip(spark, d):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
     table = f"{db}.ais_dark_gaps"
     silver = clean(ais_raw_from_events(spark, d))
-    windows = [("2024-01-01", "2024-01-07"), ("2024-01-08", "2024-01-14"), ("2024-01-15", "2024-01-21"),
-               ("2024-01-22", "2024-01-28"), ("2024-01-29", "2024-01-31"), ("2024-01-08", "2024-01-14")]
-    for w in windows:
+    weeks = _weeks(silver.agg(F.min("event_date"), F.max("event_date")).first())
+    for w in [*weeks, weeks[1 % len(weeks)]]:  # one window is run again
         store.replace_window(spark, dark_gaps(timeline(silver, w), w), table, *w)
-    gone = dark_gaps(timeline(silver, ("2024-01-13", "2024-01-31")), ("2024-01-13", "2024-01-31")).where(F.lit(False))
-    store.replace_window(spark, gone, table, "2024-01-13", "2024-01-31")
+    last = weeks[-1][1]
+    gone = (max(last - timedelta(days=18), weeks[0][0]), last)  # these days lose all their rows
+    store.replace_window(spark, dark_gaps(timeline(silver, gone), gone).where(F.lit(False)), table, *gone)
     from vesseltrack.plans.registry import for_compare
     return for_compare(spark.table(table).select(*[c for c in spark.table(table).columns]))
 
@@ -108,9 +114,9 @@ def _q_bronze_reingest(spark, d):
     table = f"{db}.ais_raw"
     raw = ais_raw_from_events(spark, d)
     day = date_from_filename(F.col("_source_file"))
-    weeks = [("2024-01-01", "2024-01-07"), ("2024-01-08", "2024-01-31"), ("2024-01-01", "2024-01-07")]
-    for a, b in weeks:
-        batch = raw.where(day.between(F.lit(a).cast("date"), F.lit(b).cast("date")))
+    weeks = _weeks(raw.select(F.min(day), F.max(day)).first())
+    for a, b in [*weeks, weeks[0]]:  # the first week is loaded again
+        batch = raw.where(day.between(F.lit(a), F.lit(b)))
         files = [r["_source_file"] for r in batch.select("_source_file").distinct().collect()]  # <= days
         store.replace_files(spark, batch, table, files)
     from vesseltrack.plans.registry import for_compare
@@ -143,7 +149,7 @@ def _q_stream_scan(spark, d):
     src = _land_csv(spark, d)
     db = f"vt_stream_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
-    q = ingest_stream(spark, src, f"{db}.ais_raw", checkpoint=scratch_path(spark, "stream-ckpt"),
+    q = ingest_stream(spark, src, f"{db}.ais_raw", f"{db}.ais_files", checkpoint=scratch_path(spark, "stream-ckpt"),
                       max_files_per_trigger=4, pattern="*.csv")
     q.awaitTermination()
     if q.exception() is not None:
@@ -233,7 +239,8 @@ SELECT 'ent-' || CAST(s_suppkey AS VARCHAR) AS entity_id,
        '2023-06-01' AS designation_date
 FROM supplier WHERE s_suppkey % 4 <> 1""",
     "json_props": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
-    "replace_window_roundtrip": O.gold() + O.DARK_GAP_SELECT + " WHERE event_date <= DATE '2024-01-12'",
+    "replace_window_roundtrip": O.gold() + O.DARK_GAP_SELECT + (
+        " WHERE event_date < (SELECT greatest(max(event_date) - 18, min(event_date)) FROM ais_clean)"),
 }
 
 ORACLE["sanctions_file_scan"] = ORACLE["sanctions_flatten"]

@@ -1,13 +1,14 @@
-"""Table writes: append with lineage, per-file overwrite, snapshot overwrite,
-replace-window on partitioned Parquet tables, watermark commit (K1-K9).
-
-Tables are catalog tables in Parquet, partitioned by their window key. There
-is no transaction log here, so the replace-window write is built from plain
-Spark SQL steps that are safe to rerun: the new rows are first written once,
-partitioned, to a staging folder inside the table's directory (fully computed,
-then checked), and the window's partitions are swapped for the staged folders
-with ALTER TABLE ... DROP / ADD PARTITION. A failure between the steps leaves
-the watermark where it was, and the next run replaces the same window again.
+"""Table writes that never lose the rows they replace (K1-K9).
+
+Tables are catalog tables in Parquet, partitioned by their window key where
+they have one. There is no transaction log here, so every write has three
+steps: *stage* (the new rows are written once, to a folder of their own inside
+the table's root), *verify* (checks ride along with that write as observed
+metrics; on any failure the staged folder is removed and the table is as it
+was), *switch* (metadata only: ``SET LOCATION`` of the table or of a partition
+to the staged folder). Readers see the old rows or the new ones; a window whose
+days all exist is never empty in between. The watermark moves last, so a run
+that dies between two switches is repeated for the same window.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-
 def table_name(layer: str, name: str, sandbox: str | None = None) -> str:
     """K8: ``{sandbox}_{layer}.{name}`` in a sandbox, else ``{layer}.{name}``."""
     db = f"{sandbox}_{layer}" if sandbox else layer
@@ -38,140 +38,222 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
-                    partition_by: str | None = None) -> int:
-    """K3/K5: replace the whole table (snapshot, full rebuild). Returns rows written."""
+def append_rows(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Append to a table, created from the rows' schema when there is none."""
     ensure_namespace(spark, table)
-    df, obs = counted(df)
-    w = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.saveAsTable(table)
-    return obs.get["rows"]
+    if not spark.catalog.tableExists(table):
+        _create_empty(spark, df, table, [])
+    df.select(*spark.table(table).columns).coalesce(1).write.insertInto(table)
 
 
-def _date_list(start: date, end: date) -> list[date]:
-    return [start + timedelta(days=i) for i in range((end - start).days + 1)]
+def table_location(spark: SparkSession, table: str) -> str:
+    """Folder that the catalog reads a table from (of an unpartitioned table: its current version)."""
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if r["col_name"] == "Location":
+            return r["data_type"].rstrip("/")
+    raise ValueError(f"no location for {table}")
 
 
-def _drop_partitions(spark: SparkSession, table: str, column: str, values: list[str]) -> None:
-    # one statement per chunk of partitions; IF EXISTS makes the drop rerunnable
-    for i in range(0, len(values), 100):
-        specs = ", ".join(f"PARTITION ({column} = '{v}')" for v in values[i:i + 100])
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+def _root(spark: SparkSession, table: str) -> str:
+    """The table's own folder, whatever version of it is current."""
+    where = table_location(spark, table)
+    parent, _, name = where.rpartition("/")
+    return parent if name.startswith("_v-") else where
 
 
-def _append(spark: SparkSession, df: DataFrame, table: str) -> None:
-    cols = spark.table(table).columns
-    df.select(*cols).write.insertInto(table)
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    """Root folder of a catalog table."""
-    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
-        if r["col_name"] == "Location":
-            return r["data_type"].rstrip("/")
-    raise ValueError(f"no location for {table}")
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _literal(value: str) -> str:
+    """A SQL string literal; quotes and backslashes of a file name stay data."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _folder(spark: SparkSession, column: str, value: str) -> str:
+    """Name of a partition's folder as Spark's writer escapes it."""
+    return f"{column}={spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(value))}"
+
+
+def _create_empty(spark: SparkSession, df: DataFrame, table: str, partition_by: list[str]) -> None:
+    w = df.where(F.lit(False)).write.format("parquet")
+    (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(table)
 
 
-def _add_partitions(spark: SparkSession, table: str, column: str, locations: dict[str, str]) -> None:
-    items = sorted(locations.items())
-    for i in range(0, len(items), 100):
-        specs = " ".join(f"PARTITION ({column} = '{v}') LOCATION '{loc}'" for v, loc in items[i:i + 100])
+def _same_columns(spark: SparkSession, df: DataFrame, table: str) -> bool:
+    flat = lambda schema: [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    return sorted(flat(df.schema)) == sorted(flat(spark.table(table).schema))
+
+
+def partition_values(spark: SparkSession, table: str, columns: list[str]) -> set[tuple]:
+    """Values of the table's partitions, from the catalog; no data is read."""
+    from urllib.parse import unquote
+    found = set()
+    for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
+        pairs = dict(part.split("=", 1) for part in r[0].split("/"))
+        found.add(tuple(None if pairs[c] == "__HIVE_DEFAULT_PARTITION__" else unquote(pairs[c]) for c in columns))
+    return found
+
+
+def _spec(columns: list[str], values: tuple) -> str:
+    return "PARTITION (" + ", ".join(f"{c} = {'NULL' if v is None else _literal(v)}" for c, v in zip(columns, values)) + ")"
+
+
+def _switch_partitions(spark: SparkSession, table: str, columns: list[str], staged: dict[tuple, str], gone: set[tuple]) -> None:
+    """Point existing partitions at their staged folders, attach new ones, then drop those without rows."""
+    there = partition_values(spark, table, columns)
+    new = sorted((v for v in staged if v not in there), key=str)
+    for v in sorted((v for v in staged if v in there), key=str):
+        spark.sql(f"ALTER TABLE {table} {_spec(columns, v)} SET LOCATION {_literal(staged[v])}")
+    for i in range(0, len(new), 100):
+        specs = " ".join(f"{_spec(columns, v)} LOCATION {_literal(staged[v])}" for v in new[i:i + 100])
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+    drop = sorted(gone & there - set(staged), key=str)
+    for i in range(0, len(drop), 100):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(_spec(columns, v) for v in drop[i:i + 100])}")
+    spark.catalog.refreshTable(table)
+
+
+def _staged_partitions(spark: SparkSession, stage: str, columns: list[str], days: list) -> dict[tuple, str]:
+    out = {}
+    for values in days:
+        values = tuple(values)
+        names = [_folder(spark, c, "__HIVE_DEFAULT_PARTITION__" if v is None else v) for c, v in zip(columns, values)]
+        out[values] = "/".join([stage, *names])
+    return out
+
+
+def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
+                    partition_by: str | None = None) -> int:
+    """K3/K5: replace the whole table (snapshot, full rebuild). Returns rows written.
+
+    The old rows stay readable until the new ones are written in full. The
+    version before the one replaced is removed, the replaced one is kept for
+    readers that are still on it.
+    """
+    ensure_namespace(spark, table)
+    parts = [partition_by] if partition_by else []
+    if spark.catalog.tableExists(table) and not _same_columns(spark, df, table):
+        # other columns: the new rows are complete in a table of their own before the old one goes
+        fresh = f"{table}_new_{uuid.uuid4().hex[:8]}"
+        rows = overwrite_table(spark, df, fresh, partition_by)
+        roots = _root(spark, table), _root(spark, fresh)
+        spark.sql(f"DROP TABLE {table}")
+        _remove(spark, roots[0])
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+        if not table_location(spark, table).startswith(roots[1]):
+            _remove(spark, roots[1])
+        return rows
+    if not spark.catalog.tableExists(table):
+        _create_empty(spark, df, table, parts)
+    root = _root(spark, table)
+    stage = f"{root}/_v-{uuid.uuid4().hex}"
+    df, obs = counted(df.select(*spark.table(table).columns))
+    if parts:
+        df = df.observe(days := Observation("days"), F.collect_set(F.struct(*[F.col(c).cast("string") for c in parts])).alias("days"))
+    try:
+        (df.write.format("parquet").partitionBy(*parts) if parts else df.write.format("parquet")).save(stage)
+    except Exception:
+        _remove(spark, stage)
+        raise
+    if parts:
+        staged = _staged_partitions(spark, stage, parts, days.get["days"])
+        _switch_partitions(spark, table, parts, staged, partition_values(spark, table, parts))
+    else:
+        before = table_location(spark, table)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(stage)}")
+        spark.catalog.refreshTable(table)
+        fs, p = _fs(spark, root)
+        for old in fs.listStatus(p):
+            path = old.getPath()
+            if path.getName().startswith("_v-") and path.getName() not in (stage.rpartition("/")[2], before.rpartition("/")[2]):
+                fs.delete(path, True)
+    return obs.get["rows"]
 
 
 def replace_window(spark: SparkSession, df: DataFrame, table: str, start, end,
                    partition_col: str = "event_date") -> int:
     """K4: make the table's rows with ``partition_col`` in [start, end] equal ``df``.
 
-    The result is written once, partitioned, into a staging folder inside the
-    table's own directory (hidden by its leading underscore). Then every row is
-    checked to be inside the window, the window's partitions are dropped and
-    the staged day folders are attached as the new partitions - a metadata
-    swap, no second copy. Days of the window without new rows end up empty;
-    days outside it are untouched; a failed check leaves the table as it was.
-    On first use an empty partitioned table is created from ``df``'s schema.
+    Every row is checked to be inside the window while it is staged. Days that
+    had rows and have new ones change over in place, new days are attached,
+    days without new rows are dropped last; days outside the window are
+    untouched, and a failed check or write leaves the table as it was. On first
+    use an empty partitioned table is created from ``df``'s schema.
     """
     start = start if isinstance(start, date) else date.fromisoformat(str(start))
     end = end if isinstance(end, date) else date.fromisoformat(str(end))
     ensure_namespace(spark, table)
     if not spark.catalog.tableExists(table):
-        df.where(F.lit(False)).write.format("parquet").partitionBy(partition_col).saveAsTable(table)
-    stage_dir = f"{table_location(spark, table)}/_stage-{uuid.uuid4().hex}"
+        _create_empty(spark, df, table, [partition_col])
+    stage = f"{_root(spark, table)}/_stage-{uuid.uuid4().hex}"
     # the checks ride along with the single write as observed metrics
     key = F.col(partition_col)
     obs = Observation("replace-window")
     observed = df.observe(
         obs, F.count(F.lit(1)).alias("rows"),
         F.count_if(key.isNull() | ~key.between(F.lit(start), F.lit(end))).alias("outside"),
-        F.collect_set(key.cast("string")).alias("days"))
-    observed.write.format("parquet").partitionBy(partition_col).save(stage_dir)
-    m = obs.get
-    if m["outside"]:
-        raise ValueError(f"rows outside [{start}, {end}] in the result for {table}")
-    rows = m["rows"]
-    staged_days = {v: f"{stage_dir}/{partition_col}={v}" for v in m["days"]}
-    _drop_partitions(spark, table, partition_col, [d.isoformat() for d in _date_list(start, end)])
-    _add_partitions(spark, table, partition_col, staged_days)
-    spark.catalog.refreshTable(table)
-    return rows
+        F.collect_set(F.struct(key.cast("string"))).alias("days"))
+    try:
+        observed.write.format("parquet").partitionBy(partition_col).save(stage)
+        m = obs.get
+        if m["outside"]:
+            raise ValueError(f"rows outside [{start}, {end}] in the result for {table}")
+    except Exception:
+        _remove(spark, stage)
+        raise
+    window = {((start + timedelta(days=i)).isoformat(),) for i in range((end - start).days + 1)}
+    _switch_partitions(spark, table, [partition_col], _staged_partitions(spark, stage, [partition_col], m["days"]), window)
+    return m["rows"]
 
 
 def replace_files(spark: SparkSession, df: DataFrame, table: str, files: list[str],
-                  partition_col: str = "_source_file", per_file: dict | None = None) -> int:
+                  partition_cols: list[str] | None = None, per_file: dict | None = None) -> int:
     """K2: idempotent re-ingest: the table's rows of ``files`` become ``df``'s.
 
+    The last of ``partition_cols`` (default: ``_source_file``) names the file.
     Returns the rows written; with ``per_file`` (a dict) also fills in the rows
-    of each file. Both are observed metrics of the write itself (one
+    of each file. Both are observed metrics of the staging write (one
     ``count_if`` per file of the batch, no second scan).
     """
     ensure_namespace(spark, table)
+    cols = partition_cols or ["_source_file"]
     files = list(files)
-    key = F.col(partition_col)
-    obs = Observation("replace-files")
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                    *[F.count_if(key == F.lit(f)).alias(f"f{i}") for i, f in enumerate(files)])
+    key = F.col(cols[-1])
     if not spark.catalog.tableExists(table):
-        df.write.format("parquet").partitionBy(partition_col).saveAsTable(table)
-    else:
-        _drop_partitions(spark, table, partition_col, files)
-        _append(spark, df, table)
-    m = obs.get
+        _create_empty(spark, df, table, cols)
+    stage = f"{_root(spark, table)}/_stage-{uuid.uuid4().hex}"
+    obs = Observation("replace-files")
+    df = df.select(*spark.table(table).columns).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(*[F.col(c).cast("string") for c in cols])).alias("parts"),
+        *[F.count_if(key == F.lit(f)).alias(f"f{i}") for i, f in enumerate(files)])
+    try:
+        df.write.format("parquet").partitionBy(*cols).save(stage)
+        m = obs.get
+        if strange := {p[len(cols) - 1] for p in m["parts"]} - set(files):
+            raise ValueError(f"rows of files that are not being replaced: {sorted(map(str, strange))[:3]}")
+    except Exception:
+        _remove(spark, stage)
+        raise
+    gone = {v for v in partition_values(spark, table, cols) if v[-1] in set(files)}
+    _switch_partitions(spark, table, cols, _staged_partitions(spark, stage, cols, m["parts"]), gone)
     if per_file is not None:
         per_file.update({f: m[f"f{i}"] for i, f in enumerate(files)})
     return m["rows"]
 
 
-def overwrite_partitions(spark: SparkSession, df: DataFrame, table: str, partition_col: str) -> int:
-    """Replace exactly the partitions present in ``df`` (dynamic partition overwrite).
-
-    Right when the partition key identifies the unit being replaced (a source
-    file); wrong for date windows, where a day without new rows must be
-    emptied - that is :func:`replace_window`.
-    """
-    ensure_namespace(spark, table)
-    df, obs = counted(df)
-    if not spark.catalog.tableExists(table):
-        df.write.format("parquet").partitionBy(partition_col).saveAsTable(table)
-    else:
-        cols = spark.table(table).columns
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            df.select(*cols).write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(key, before)
-    return obs.get["rows"]
-
-
 def commit_watermark(spark: SparkSession, table: str, window) -> bool:
     """Write ``last_end`` only for an advancing window; returns whether it did."""
     if window is None or not getattr(window, "advance", False) or not window.end:
         return False
-    ensure_namespace(spark, table)
     state = (spark.createDataFrame([(window.end,)], "last_end date")
                   .withColumn("_updated_at", F.current_timestamp()))
-    state.write.mode("overwrite").format("parquet").saveAsTable(table)
+    overwrite_table(spark, state, table)
     return True

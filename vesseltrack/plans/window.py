@@ -1,10 +1,10 @@
 """Processing-window control.
 
-Two windows move through the year: the ingest window (next days after the
-newest ingested file) and the transform window (next days after the committed
-watermark). Both are a handful of dates; the file listing they start from is
-a DataFrame, reduced on the executors to one row before anything reaches the
-driver.
+Two windows move through time: the ingest window (the days after the newest
+loaded file) and the transform window (the days after the committed watermark,
+never past the newest loaded day). Both are a handful of dates; the listing
+they start from is a DataFrame, reduced to one row before anything reaches the
+driver. The end of the schedule is open unless a caller sets one.
 """
 
 from __future__ import annotations
@@ -12,14 +12,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vesseltrack.functions.filenames import date_from_filename
 
-# Fixed values of the schedule: the year processed and the window length.
-START_DEFAULT = date(2024, 1, 1)
-END_DATE = date(2024, 12, 31)
+# Fixed values of the original schedule: its first and last day, its window length.
+SCHEDULE_START = date(2024, 1, 1)
+SCHEDULE_END = date(2024, 12, 31)
 WINDOW_DAYS = 7
 
 
@@ -36,78 +36,52 @@ class ProcessingWindow:
         return [self.start + timedelta(days=i) for i in range((self.end - self.start).days + 1)]
 
 
-def parse_date_from_filename(filename: str) -> date | None:
-    """Driver-side twin of :func:`date_from_filename` for single names (same rule)."""
-    digits = filename[4:8] + filename[9:11] + filename[12:14]
-    if len(digits) != 8 or not digits.isascii() or not digits.isdigit():
-        return None
-    try:
-        return date(int(digits[:4]), int(digits[4:6]), int(digits[6:]))
-    except ValueError:
-        return None
+def _following(last: Column, window_days: int, end_date: date | None, default_start: date | None) -> tuple[Column, Column]:
+    """Start and end columns of the window after a day; null where none is left."""
+    start = F.coalesce(F.date_add(last, 1), F.lit(default_start).cast("date"))
+    end = F.date_add(start, window_days - 1)
+    if end_date is None:
+        return start, end
+    left = start <= F.lit(end_date)
+    return F.when(left, start), F.when(left, F.least(end, F.lit(end_date)))
 
 
-def _bounded(start: date, window_days: int, end_date: date) -> tuple[date, date] | None:
-    if start > end_date:
-        return None
-    return start, min(start + timedelta(days=window_days - 1), end_date)
+def next_window_frame(files: DataFrame, column: str = "_source_file", window_days: int = WINDOW_DAYS,
+                      end_date: date | None = None, default_start: date | None = SCHEDULE_START) -> DataFrame:
+    """One row (window_start, window_end) after the newest dated name, or no row when complete.
 
+    Names that do not encode a date are ignored.
+    """
+    newest = files.select(F.max(date_from_filename(F.col(column))).alias("newest"))
+    start, end = _following(F.col("newest"), window_days, end_date, default_start)
+    return newest.select(start.alias("window_start"), end.alias("window_end")).where("window_start is not null")
 
-def next_window_after(last: date | None, window_days: int = WINDOW_DAYS, end_date: date = END_DATE,
-                      default_start: date = START_DEFAULT) -> tuple[date, date] | None:
-    """[last + 1, last + window_days] clamped to ``end_date``; None when done."""
-    start = default_start if last is None else last + timedelta(days=1)
-    return _bounded(start, window_days, end_date)
 
+def window_state_frame(state: DataFrame, window_days: int = WINDOW_DAYS, end_date: date | None = None,
+                       default_start: date | None = SCHEDULE_START) -> DataFrame:
+    """W3 over a state table (``last_end``): one row (window_start, window_end, advance)."""
+    start, end = _following(F.max("last_end"), window_days, end_date, default_start)
+    return state.select(start.alias("window_start"), end.alias("window_end"), start.isNotNull().alias("advance"))
 
-def next_window_frame(files: DataFrame, column: str = "_source_file", window_days: int = WINDOW_DAYS,
-                      end_date: date = END_DATE, default_start: date = START_DEFAULT) -> DataFrame:
-    """W2 as a DataFrame: one row (window_start, window_end), or no row when complete.
 
-    Names that do not encode a date are ignored.
-    """
-    last = files.agg(F.max(date_from_filename(F.col(column))).alias("last"))
-    start = F.coalesce(F.date_add("last", 1), F.lit(default_start))
-    end = F.least(F.date_add(start, window_days - 1), F.lit(end_date))
-    return (last.select(start.alias("window_start"), end.alias("window_end"))
-                .where(F.col("window_start") <= F.lit(end_date)))
-
-
-def compute_window(ingested_files, window_days: int = WINDOW_DAYS, end_date: date = END_DATE,
-                   default_start: date = START_DEFAULT, column: str = "_source_file"):
-    """Next ingest window from already-ingested file names (a DataFrame or a set)."""
-    if isinstance(ingested_files, DataFrame):
-        row = next_window_frame(ingested_files, column, window_days, end_date, default_start).first()
-        return None if row is None else (row["window_start"], row["window_end"])
-    dates = [d for f in ingested_files if (d := parse_date_from_filename(f)) is not None]
-    return next_window_after(max(dates) if dates else None, window_days, end_date, default_start)
-
-
-def resolve_window(start: str | date | None = None, end: str | date | None = None,
-                   last_end: date | None = None, window_days: int = WINDOW_DAYS,
-                   end_date: date = END_DATE, default_start: date = START_DEFAULT) -> ProcessingWindow | None:
+def resolve_window(start: str | date | None = None, end: str | date | None = None, last_end: date | None = None,
+                   window_days: int = WINDOW_DAYS, end_date: date | None = None, default_start: date | None = SCHEDULE_START,
+                   newest: date | None = None) -> ProcessingWindow | None:
     """The window of the next transform run.
 
     An explicit start *and* end is used verbatim and never moves the
     watermark; only one of the two counts as none. Otherwise the window
-    follows the committed ``last_end``. None means nothing to do (past the end).
+    follows the committed ``last_end`` and ends with ``newest``, the newest
+    loaded day, at the latest: days that have not landed are never passed over.
+    None means nothing to do.
     """
     if start and end:
         return ProcessingWindow(_as_date(start), _as_date(end), advance=False)
-    nxt = next_window_after(last_end, window_days, end_date, default_start)
-    return None if nxt is None else ProcessingWindow(nxt[0], nxt[1], advance=True)
-
-
-def window_state_frame(state: DataFrame, window_days: int = WINDOW_DAYS, end_date: date = END_DATE,
-                       default_start: date = START_DEFAULT) -> DataFrame:
-    """W3 over a state table (``last_end``): one row (window_start, window_end, advance)."""
-    last = state.agg(F.max("last_end").alias("last"))
-    start = F.coalesce(F.date_add("last", 1), F.lit(default_start))
-    end = F.least(F.date_add(start, window_days - 1), F.lit(end_date))
-    done = start > F.lit(end_date)
-    return last.select(F.when(~done, start).alias("window_start"),
-                       F.when(~done, end).alias("window_end"),
-                       (~done).alias("advance"))
+    first = default_start if last_end is None else last_end + timedelta(days=1)
+    if first is None:
+        return None
+    stop = min([first + timedelta(days=window_days - 1), *(d for d in (end_date, newest) if d is not None)])
+    return ProcessingWindow(first, stop) if first <= stop else None
 
 
 def window_mode(window: ProcessingWindow | None, table_exists: bool, full_refresh: bool = False) -> str:

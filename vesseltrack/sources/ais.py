@@ -21,27 +21,42 @@ NA_TOKENS = [
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def read_ais(spark: SparkSession, paths: str | Sequence[str], source_file: bool = True) -> DataFrame:
+TEXT_SCHEMA = T.StructType([T.StructField(f.name, T.StringType()) for f in AIS_SCHEMA])
+# Columns compared with the missing tokens after trimming; text columns keep blanks as data.
+NUMERIC = {f.name for f in AIS_SCHEMA.fields if not isinstance(f.dataType, T.StringType)}
+
+
+def with_csv_options(reader):
+    """The options of every AIS scan, batch or stream: all columns as text, the header checked against the schema."""
+    return (reader.schema(TEXT_SCHEMA).option("header", True).option("enforceSchema", False)
+            .option("mode", "PERMISSIVE"))
+
+
+def source_file_name() -> Column:
+    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+
+
+def read_ais(spark: SparkSession, paths: str | Sequence[str], source_file: bool = True, spread: int = 0) -> DataFrame:
     """Scan daily position files with the declared schema.
 
     Files are read by Spark's CSV source in parallel (``.zst`` is decoded by the
     Hadoop codec; a compressed file is a single split, so one day is one scan
-    task and the shuffles that follow spread the work). Every column is read as
+    task; with ``spread`` the text rows of a file are dealt out to that many
+    tasks before they are typed and written). Every column is read as
     text first so that pandas-style missing tokens can be nulled before the
     cast; unparsable numbers and timestamps become null instead of failing the
-    file. With ``source_file`` the file's base name is kept as ``_source_file``.
+    file. A header whose names or order differ from the schema fails the read.
+    With ``source_file`` the file's base name is kept as ``_source_file``.
     """
     if isinstance(paths, str):
         paths = [paths]
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in AIS_SCHEMA])
-    raw = (spark.read.schema(text_schema)
-           .option("header", True)
-           .option("enforceSchema", False)
-           .option("mode", "PERMISSIVE")
-           .csv(list(paths)))
+    raw = with_csv_options(spark.read).csv(list(paths))
     extra = []
-    if source_file:
-        extra = [F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("_source_file")]
+    if source_file or spread:
+        raw = raw.select(*TEXT_SCHEMA.names, source_file_name().alias("_source_file"))
+        extra = ["_source_file"] if source_file else []
+    if spread:
+        raw = raw.repartition(F.col("_source_file"), F.pmod(F.hash("mmsi", "base_date_time"), F.lit(spread)))
     return raw.select(*typed_ais_columns(), *extra)
 
 
@@ -49,7 +64,7 @@ def typed_ais_columns() -> list[Column]:
     """Casts from all-text AIS columns to the declared schema, missing tokens nulled."""
     cols = []
     for field in AIS_SCHEMA.fields:
-        c = normalise_missing(F.col(field.name))
+        c = normalise_missing(F.col(field.name), trimmed=field.name in NUMERIC)
         if isinstance(field.dataType, T.TimestampType):
             c = F.try_to_timestamp(c, F.lit(TIMESTAMP_FORMAT))
         elif isinstance(field.dataType, T.IntegerType):
@@ -62,9 +77,9 @@ def typed_ais_columns() -> list[Column]:
     return cols
 
 
-def normalise_missing(c: Column) -> Column:
-    """Null the pandas default missing tokens (compared after trimming), keep other text."""
-    return F.when(~F.trim(c).isin(NA_TOKENS), c)
+def normalise_missing(c: Column, trimmed: bool = True) -> Column:
+    """Null the pandas default missing tokens, keep other text; text columns are compared untrimmed."""
+    return F.when(~(F.trim(c) if trimmed else c).isin(NA_TOKENS), c)
 
 
 def nan_to_null(c: Column) -> Column:

@@ -11,11 +11,14 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def ingested_files(spark: SparkSession, table: str) -> DataFrame:
-    """Distinct ``_source_file`` values of a table; an empty frame if it does not exist."""
-    if not table_exists(spark, table):
+def ingested_files(spark: SparkSession, log: str) -> DataFrame:
+    """Distinct ``_source_file`` values of the load log; an empty frame if there is none.
+
+    The log has a few rows per file; bronze itself is not read.
+    """
+    if not table_exists(spark, log):
         return spark.createDataFrame([], T.StructType([T.StructField("_source_file", T.StringType())]))
-    return spark.table(table).select("_source_file").distinct()
+    return spark.table(log).select(F.col("file").alias("_source_file")).distinct()
 
 
 def read_watermark(spark: SparkSession, table: str):

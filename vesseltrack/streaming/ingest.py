@@ -3,11 +3,10 @@
 The file source's own log remembers which files were processed (no listing
 anti-join, no date arithmetic to find the next window, and a day that lands
 late is still picked up). Each micro-batch holds at most
-``max_files_per_trigger`` files and is written with the same per-file
-partition replace as the batch ingest (dynamic overwrite of the batch's
-file partitions), so a retried batch replaces its files' rows instead of
-duplicating them: the sink is idempotent and the stream
-exactly-once in effect. ``available_now`` processes what has landed and stops
+``max_files_per_trigger`` files and is written with the same reader options
+(header check included), per-file replace and load log as the batch ingest, so
+a retried batch replaces its files' rows instead of duplicating them: the sink
+is idempotent and the stream exactly-once in effect. ``available_now`` processes what has landed and stops
 (a scheduled run); without it the query keeps watching the folder.
 """
 
@@ -16,14 +15,11 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from vesseltrack.plans import store
-from vesseltrack.schemas import AIS_SCHEMA
+from vesseltrack.plans import bronze
 from vesseltrack.session import ensure_checkpoint_dir, pin_utc
-from vesseltrack.sources.ais import typed_ais_columns, with_lineage
+from vesseltrack.sources.ais import source_file_name, typed_ais_columns, with_csv_options, with_lineage
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
@@ -33,23 +29,19 @@ def stream_checkpoint(spark: SparkSession, name: str) -> str:
 
 
 def ingest_stream(spark: SparkSession, landing_dir: str, table: str = "bronze.ais_raw",
-                  checkpoint: str | None = None, max_files_per_trigger: int = 7,
+                  log: str = "bronze.ais_files", checkpoint: str | None = None, max_files_per_trigger: int = 7,
                   available_now: bool = True, pattern: str = "*.csv.zst") -> StreamingQuery:
     """Start the stream: landed files -> typed rows + lineage -> ``table``."""
     pin_utc(spark)
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in AIS_SCHEMA])
-    src = (spark.readStream.schema(text_schema)
-           .option("header", True)
-           .option("mode", "PERMISSIVE")
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("pathGlobFilter", pattern)
-           .csv(landing_dir))
-    rows = src.select(*typed_ais_columns(),
-                      F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("_source_file"))
+    src = with_csv_options(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+                           .option("pathGlobFilter", pattern)).csv(landing_dir)
+    rows = src.select(*typed_ais_columns(), source_file_name().alias("_source_file"))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        # each file is its own partition: a retried batch overwrites the same partitions
-        store.overwrite_partitions(batch.sparkSession, with_lineage(batch), table, "_source_file")
+        # a retried batch replaces the same files' rows; at most maxFilesPerTrigger names
+        names = [r[0] for r in batch.select("_source_file").distinct().collect()]
+        if names:
+            bronze.load_files(batch.sparkSession, with_lineage(batch), names, table, log)
 
     writer = (rows.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint or stream_checkpoint(spark, f"ingest-{table}")))
