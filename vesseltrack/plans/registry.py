@@ -247,14 +247,14 @@ ORACLE: dict[str, str] = {
     "dark_gaps_window": O.gold(WINDOW) + O.DARK_GAP_SELECT,
     "impossible_speed_window": O.gold(WINDOW) + O.SPEED_SELECT,
     "anomaly_cues_window": O.gold(WINDOW, cues=True) + O.CUE_SELECT,
-    "vessel_names": O.gold(features=True) + "SELECT mmsi, vessel_name FROM names",
-    "vessels_any": O.gold(features=True) + "SELECT mmsi FROM vessels",
+    "vessel_names": O.gold(features=True) + "SELECT mmsi, vessel_name FROM profile",
+    "vessels_any": O.gold(features=True) + "SELECT mmsi FROM profile WHERE n_dark_gaps + n_impossible_speed > 0",
     "gap_profile": O.gold(features=True) + "SELECT mmsi, n_dark_gaps, " + O.r6("avg_gap_hours")
-                   + ", max_gap_hours, " + O.r6("max_dark_score") + " FROM dark",
+                   + ", max_gap_hours, " + O.r6("max_dark_score") + " FROM profile WHERE n_dark_gaps > 0",
     "jump_profile": O.gold(features=True) + "SELECT mmsi, n_impossible_speed, "
-                    + O.r6("max_implied_speed", "max_jump_nm", "max_speed_score") + " FROM speed",
-    "sanctions_match": O.gold(features=True) + "SELECT mmsi, CAST(is_sanctioned AS INTEGER) AS is_sanctioned, "
-                       "CAST(sanctions_mmsi_only_hit AS INTEGER) AS sanctions_mmsi_only_hit FROM sanctioned",
+                    + O.r6("max_implied_speed", "max_jump_nm", "max_speed_score") + " FROM profile WHERE n_impossible_speed > 0",
+    "sanctions_match": O.gold(features=True) + "SELECT mmsi, is_sanctioned, sanctions_mmsi_only_hit FROM listed "
+                       "WHERE sanctions_mmsi_only_hit = 1",
     "vessel_features": O.gold(features=True) + O.FEATURE_SELECT,
     "vessel_features_partials": O.gold(features=True) + O.FEATURE_SELECT,
     "dark_gaps_hot_vessel": O.gold(hot=True) + O.DARK_GAP_SELECT,
