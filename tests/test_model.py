@@ -74,7 +74,7 @@ def test_exact_quantile_matches_numpy(spark, q):
     rng = np.random.default_rng(3)
     vals = np.concatenate([rng.exponential(1.0, 5000), np.full(300, 2.0)])
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    got = exact_quantile(df, "x", q, bins=16, fetch=100)
+    got = exact_quantile(df, "x", q, bins=16)
     assert got == pytest.approx(float(np.percentile(vals, q * 100)), rel=0, abs=1e-12)
 
 

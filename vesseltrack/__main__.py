@@ -67,7 +67,7 @@ def main(argv=None) -> int:
         out = {"scored": P.score_vessels(spark, tables)}
     elif args.cmd == "alert":
         from vesseltrack.operators.report import report_lines
-        lines = report_lines(P.alert_rows(spark, tables, args.threshold, args.top)).orderBy("rank").collect()
+        lines = report_lines(P.alert_rows(spark, tables, args.threshold, args.top), n=args.top).orderBy("rank").collect()
         out = {"vessels": len(lines), "lines": [r["line"] for r in lines]}
     else:
         from vesseltrack.operators.quality import RULES, run_checks

@@ -1,12 +1,12 @@
-"""Exact quantile without gathering a column into one task.
+"""Exact quantiles without gathering a column into one task.
 
 ``percentile`` over a global group holds every distinct value in one buffer.
-Here the rank is located by repeated histogram passes: each pass counts the
-rows per bin of the current value range on the executors (a fixed number of
-bins comes back to the driver), narrows the range to the bin that holds the
-wanted rank, and stops once the range holds few enough rows to fetch them, or
-a single value. Linear interpolation between the two neighbouring ranks, as
-numpy's default percentile.
+Here ranks are located by repeated histogram passes: each pass counts the rows,
+with their least and greatest value, per bin of the current value ranges on the
+executors (a fixed number of bins comes back to the driver) and narrows every
+range to the values of the bin that holds the wanted rank, until a range is a
+single value. All columns and both neighbouring ranks of each share a pass.
+Linear interpolation between the two ranks, as numpy's default percentile.
 """
 
 from __future__ import annotations
@@ -17,61 +17,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BINS = 1024
-DEFAULT_FETCH = 50_000
 
 
-def _value_at_rank(x: DataFrame, rank: int, lo: float, hi: float, below: int,
-                   count: int, bins: int, fetch: int) -> float:
-    """Value with 0-based ascending ``rank``; [lo, hi] holds ``count`` rows, ``below`` rows are < lo."""
-    v = F.col("x")
-    while True:
-        if lo == hi:
-            return lo
-        if count <= fetch:
-            vals = sorted(r["x"] for r in x.where(v.between(lo, hi)).select("x").collect())
-            return vals[rank - below]
-        b = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1)).cast("int")
-        hist = {r["b"]: r["n"] for r in
-                x.where(v.between(lo, hi)).groupBy(b.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        acc = below
-        for i in range(bins):
-            n = hist.get(i, 0)
-            if rank < acc + n:
-                # narrow to the real values of that bin (same bin expression, no float drift)
-                inside = x.where(v.between(lo, hi) & (b == i))
-                mm = inside.agg(F.min("x").alias("a"), F.max("x").alias("z")).first()
-                lo, hi, below, count = mm["a"], mm["z"], acc, n
-                break
-            acc += n
-        else:  # pragma: no cover - rank outside the data
-            raise ValueError("rank outside the data")
+def exact_quantiles(df: DataFrame, cols: list[str], q: float, bins: int = DEFAULT_BINS,
+                    stats: dict[str, tuple] | None = None) -> dict[str, float | None]:
+    """Exact q-quantile of each numeric column over its non-null, non-NaN values; None where there are none.
 
-
-def exact_quantile(df: DataFrame, col: str, q: float, bins: int = DEFAULT_BINS,
-                   fetch: int = DEFAULT_FETCH, stats: tuple | None = None) -> float | None:
-    """Exact q-quantile (linear interpolation) of a numeric column; None if empty.
-
-    ``stats`` = (count, min, max) of the non-null, non-NaN values when the
-    caller already has them (saves a pass).
+    ``stats``: (count, min, max) per column when the caller already has them (saves a pass).
     """
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     if stats is None:
-        r = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-        stats = (r["n"], r["lo"], r["hi"])
-    n, lo, hi = stats
-    if not n:
-        return None
+        r = df.agg(*[f(value[c]).alias(f"{k}{i}") for i, c in enumerate(cols)
+                     for k, f in (("n", F.count), ("a", F.min), ("z", F.max))]).first()
+        stats = {c: (r[f"n{i}"], r[f"a{i}"], r[f"z{i}"]) for i, c in enumerate(cols)}
+    ranges: dict[tuple[str, int], list] = {}  # (column, rank) to least value, greatest value, rows below
+    for c, (n, lo, hi) in stats.items():
+        if n:
+            first = math.floor(q * (n - 1))
+            for rank in {first, min(first + 1, n - 1)}:
+                ranges[c, rank] = [lo, hi, 0]
+    while todo := [k for k, (lo, hi, _) in ranges.items() if lo < hi]:
+        rows = df.select(F.explode(F.array(*[
+            F.struct(F.lit(t).alias("t"), value[c].alias("x"), F.lit(float(ranges[c, r][0])).alias("lo"), F.lit(float(ranges[c, r][1])).alias("hi"))
+            for t, (c, r) in enumerate(todo)])).alias("s")).select("s.*").where("x between lo and hi")
+        part = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
+        found = rows.groupBy("t", part.alias("b")).agg(F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("z")).collect()
+        for t, key in enumerate(todo):
+            below = ranges[key][2]
+            for r in sorted((r for r in found if r["t"] == t), key=lambda r: r["b"]):
+                if key[1] < below + r["n"]:
+                    ranges[key] = [r["a"], r["z"], below]
+                    break
+                below += r["n"]
+    return {c: _between(stats[c][0], q, lambda rank, c=c: ranges[c, rank][0]) if stats[c][0] else None for c in cols}
+
+
+def _between(n: int, q: float, at) -> float:
     pos = q * (n - 1)
-    r0 = int(math.floor(pos))
-    r1 = min(r0 + 1, n - 1)
-    frac = pos - r0
-    if n <= fetch:  # small: one fetch serves both ranks
-        vals = sorted(r["x"] for r in x.collect())
-        v0, v1 = vals[r0], vals[r1]
-    else:
-        v0 = _value_at_rank(x, r0, lo, hi, 0, n, bins, fetch)
-        v1 = v0 if (frac == 0 or r1 == r0) else _value_at_rank(x, r1, lo, hi, 0, n, bins, fetch)
-    if frac == 0 or r1 == r0:
-        return v0
+    first = math.floor(pos)
+    frac = pos - first
+    if frac == 0 or first + 1 > n - 1:
+        return at(first)
+    v0, v1 = at(first), at(first + 1)
     # numpy's linear interpolation, including its form for the upper half
     return v0 + (v1 - v0) * frac if frac < 0.5 else v1 - (v1 - v0) * (1 - frac)
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, bins: int = DEFAULT_BINS,
+                   stats: tuple | None = None) -> float | None:
+    """:func:`exact_quantiles` of one column."""
+    return exact_quantiles(df, [col], q, bins, None if stats is None else {col: stats})[col]

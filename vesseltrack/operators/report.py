@@ -69,13 +69,13 @@ def report_cells(score_col: str = "risk_score") -> list[Column]:
     ]
 
 
-def report_lines(top: DataFrame, score_col: str = "risk_score") -> DataFrame:
-    """One text line per watchlist vessel, with its rank (1 = highest)."""
+def report_lines(top: DataFrame, score_col: str = "risk_score", n: int = TOP_N) -> DataFrame:
+    """One text line per vessel for the ``n`` highest scores, with its rank (1 = highest)."""
     from pyspark.sql import Window
 
     w = Window.orderBy(F.col(score_col).desc_nulls_last(), F.col("mmsi").asc())
-    # ``top`` is already limited to n rows, so this global window is over n rows
-    return top.select(F.row_number().over(w).alias("rank"), report_line(score_col).alias("line"))
+    # the global window is over the n rows of the limit, whatever the input holds
+    return top_k(top, score_col, n).select(F.row_number().over(w).alias("rank"), report_line(score_col).alias("line"))
 
 
 def report_table(top: DataFrame, score_col: str = "risk_score") -> DataFrame:

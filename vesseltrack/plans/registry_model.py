@@ -8,7 +8,7 @@ from vesseltrack import oracle as O
 from vesseltrack.operators.features import vessel_features
 from vesseltrack.operators.iforest import CAPS, model_column, model_inputs, risk_scores, standardise
 from vesseltrack.operators.quality import RULES, run_checks
-from vesseltrack.operators.quantile import exact_quantile
+from vesseltrack.operators.quantile import exact_quantiles
 from vesseltrack.operators.report import report_lines, report_table, scoring_summary, top_k, top_scored, watchlist
 from vesseltrack.schemas import MODEL_FEATURES
 from vesseltrack.session import materialize
@@ -111,7 +111,8 @@ def _q_p95(spark, d):
     """Exact 95th percentile (linear) of every capped model input, from executors."""
     f, _ = _features(spark, d)
     x = materialize(model_inputs(f), "p95-inputs")
-    rows = [(c, exact_quantile(x, model_column(c), 0.95, bins=64, fetch=32)) for c in MODEL_FEATURES]
+    found = exact_quantiles(x, [model_column(c) for c in MODEL_FEATURES], 0.95, bins=64)  # all columns in each pass
+    rows = [(c, found[model_column(c)]) for c in MODEL_FEATURES]
     return spark.createDataFrame(rows, "feature string, p95 double").select(
         "feature", F.round("p95", 6).alias("p95"))
 

@@ -66,8 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system; it is read
-    from the session and never replaced. Only an unset session (unit tests,
-    a laptop) gets a fresh local folder.
+    from the session and never replaced; a session on a cluster without one is
+    an error, as each executor would write to its own disk. Only an unset
+    local session (unit tests, a laptop) gets a fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +76,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="vt-checkpoint-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
