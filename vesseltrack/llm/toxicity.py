@@ -13,8 +13,8 @@ million), are the features. The machine
 adds to the linear weights a learned interaction of every pair of features
 (``factors`` numbers each), so that two terms harmless alone can be toxic
 together. It is fitted by full-batch Adam steps on a bounded sample of the
-training rows (``max_train_rows``, expected number, taken by a hash of the
-text); each step's gradient is summed by Spark tasks over the cached sample.
+training rows (``max_train_rows``, expected number, taken by a hash of id and
+text, so that copies of one text are drawn one by one); each step's gradient is summed by Spark tasks over the cached sample.
 Scoring is a map over whole texts with the model (``n_buckets`` x (factors + 1)
 numbers, a fixed bound) in the closure.
 
@@ -135,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, n_buckets: int = N_BUCKETS, factors:
     """Learn from the labelled rows of ``docs`` that are not held out."""
     y = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id"), (F.col("toxic") == 1).cast("int").alias("y"))
-    rows = docs.select("doc_id", "text").join(y.hint("merge"), "doc_id").select("text", "y", F.xxhash64("text").alias("draw"))
+    rows = docs.select("doc_id", "text").join(y.hint("merge"), "doc_id").select("text", "y", F.xxhash64("doc_id", "text").alias("draw"))
     ship_package(docs.sparkSession)
     total, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not toxic or toxic == total:
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, n_buckets: int = N_BUCKETS, factors:
     machine = Machine(buckets, float(np.log(toxic / (total - toxic))), np.zeros(len(buckets)),
                       np.random.default_rng(7).normal(0, 0.01, (len(buckets), factors)))
     share = min(1.0, max_train_rows / total)
-    sample = rows.where(F.pmod("draw", F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = rows.where(F.pmod("draw", F.lit(10**12)) < int(share * 10**12))
     return descend(sample, machine, steps)
 
 
@@ -196,7 +196,10 @@ def descend(sample: DataFrame, m: Machine, steps: int) -> Machine:
                     total = g if total is None else total + g
             if total is not None:
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], type=pa.binary())], ["g"])
-        g = sum(np.frombuffer(r.g) for r in packed.mapInArrow(run, "g binary").toLocalIterator())
+        parts = [np.frombuffer(r.g) for r in packed.mapInArrow(run, "g binary").collect()]  # one vector per task
+        if not parts:  # no row was drawn
+            return m
+        g = sum(parts)
         g = g[:-1] / g[-1]
         flat = np.concatenate([[m.w0], m.w, m.v.ravel()])
         mean, sq = 0.9 * mean + 0.1 * g, 0.99 * sq + 0.01 * g * g
