@@ -50,6 +50,7 @@ MAX_TRAIN_ROWS = 20_000
 STEPS = 60
 RATE = 0.15
 DECAY = 1e-4
+SAMPLE_PARTS = 16
 THRESHOLD = 0.7
 MIN_ROWS = 3
 MIN_CHI_SQUARE = 24.0
@@ -184,7 +185,8 @@ def descend(sample: DataFrame, m: Machine, steps: int) -> Machine:
     """Adam steps; each gradient is summed by tasks over their part of the sample."""
     spark = sample.sparkSession
     ship_package(spark)
-    packed = materialize(_packed(sample, m), "toxicity-sample")
+    # few parts, as each sends a vector to the driver at every step; the sample's size is bounded
+    packed = materialize(_packed(sample.repartition(SAMPLE_PARTS), m), "toxicity-sample")
     k = m.v.shape[1]
     mean = sq = 0.0
     for t in range(1, steps + 1):
