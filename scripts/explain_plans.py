@@ -15,12 +15,14 @@ from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from vesseltrack.operators.clean import clean  # noqa: E402
 from vesseltrack.operators.cues import anomaly_cues  # noqa: E402
 from vesseltrack.operators.detect import dark_gaps, impossible_speed  # noqa: E402
 from vesseltrack.operators.features import vessel_features  # noqa: E402
 from vesseltrack.operators.timeline import daily_last_ping, timeline  # noqa: E402
-from vesseltrack.plans import store  # noqa: E402
+from vesseltrack.plans import bronze, store  # noqa: E402
 from vesseltrack.session import get_session, scratch_path  # noqa: E402
 from vesseltrack.sources.fixtures import ais_raw_from_events, sanctions_from_supplier  # noqa: E402
 
@@ -48,11 +50,16 @@ def main(sf_dir: str) -> None:
     silver = spark.table(f"{db}.ais_clean")
     w = ("2024-01-08", "2024-01-14")
     tl_w = timeline(silver, w, lookback=spark.table(f"{db}.last_ping"))
-    g, j = dark_gaps(timeline(c)), impossible_speed(timeline(c))
+    files = [r[0] for r in raw.select("_source_file").distinct().collect()]  # one per day
+    bronze.load_files(spark, raw, files, f"{db}.ais_raw", f"{db}.ais_files")
+    days = spark.table(f"{db}.ais_raw").where(F.col("_event_date").between(*(F.lit(d).cast("date") for d in w)))
+    tl = timeline(silver)
+    g, j = dark_gaps(tl), impossible_speed(tl)
     sections = [
         ("Clean (dedup with partial WindowGroupLimit, validation)", clean(raw)),
+        ("Clean of one window from bronze (partition filter on the event day)", clean(days.drop("_event_date"), w)),
         ("Dark gaps, full build (split lag: hot-hour check, bucket tails, context window, main window)",
-         dark_gaps(timeline(c))),
+         g),
         ("Dark gaps for one window from partitioned silver + vessel-day lookback table", dark_gaps(tl_w, w)),
         ("Anomaly cues (sanctions broadcast after a size check)", anomaly_cues(g, j, sanc)),
         ("Vessel features (one union + one aggregation; sanctions name sets broadcast)",
