@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from vesseltrack.llm import ngram_join as N
 from vesseltrack.llm.part_enum import PartEnum
@@ -69,6 +70,18 @@ def test_one_of_each_group_stays(spark):
     assert sorted(ids) == sorted(want)
 
 
+def test_null_ids_and_texts_under_one_id_stay(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    stay = [(None, None), (None, ""), (None, ""), (None, " \t"), (None, b), (None, "quite other words in this one here"),
+            (5, a), (5, c), (8, ""), (8, " "), (8, None), (1, d + " end"), (9, "its own text")]
+    go = [(None, a), (None, a + " end"), (5, a), (None, b), (8, ""), (9, d), (9, "its own text")]
+    docs = spark.createDataFrame(stay + go, "doc_id long, text string")
+    for rows in (docs, docs.select(F.col("doc_id").cast("string"), "text")):
+        got = [(r.doc_id and int(r.doc_id), r.text) for r in N.keep_one_each(rows.repartition(3)).collect()]
+        assert sorted(got, key=str) == sorted(stay, key=str)
+    assert N.keep_one_each(docs.limit(0)).count() == 0
+
+
 def test_empty_table(spark):
     assert N.jaccard_components(documents(spark, ["x"]).limit(0)).count() == 0
 

@@ -30,7 +30,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vesseltrack.session import materialize, ship_package
@@ -44,6 +44,7 @@ PERCENT = 80
 BLOCK_SIGNATURES = 2_000_000
 GROUP_SHINGLES = 1_000_000
 BROADCAST_NODES = 1_000_000
+SPACES = " \t\n\x0b\x0c\r"  # between words, as shingles() splits
 
 
 def node_of(a: np.ndarray, seed: int = 0) -> tuple[int, int]:
@@ -53,8 +54,9 @@ def node_of(a: np.ndarray, seed: int = 0) -> tuple[int, int]:
 
 
 def document_sets(docs: DataFrame, seed: int) -> DataFrame:
-    """doc_id, n_shingles, node, check; node is null for an empty set."""
+    """doc_id, n_shingles, node, check and the columns after doc_id and text; node is null for an empty set."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    more = docs.columns[2:]
 
     def run(batches):
         for b in batches:
@@ -62,9 +64,10 @@ def document_sets(docs: DataFrame, seed: int) -> DataFrame:
             names = [node_of(s, seed) if len(s) else (None, None) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], type=pa.int64()), pa.array([n for n, _ in names], type=pa.int64()),
-                 pa.array([c for _, c in names], type=pa.int64())], ["doc_id", "n_shingles", "node", "check"])
+                 pa.array([c for _, c in names], type=pa.int64()), *b.columns[2:]], ["doc_id", "n_shingles", "node", "check", *more])
 
-    return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, n_shingles bigint, node bigint, check bigint")
+    schema = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in more)
+    return map_arrow(docs, run, f"doc_id {kind}, n_shingles bigint, node bigint, check bigint{schema}")
 
 
 def _pack64(a: np.ndarray) -> bytes:
@@ -316,10 +319,14 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, group_shingles: int = GROUP_SHINGLES,
-                       broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
-    docs = docs.select("doc_id", "text")
+def linked_rows(docs: DataFrame, percent: int = PERCENT, group_shingles: int = GROUP_SHINGLES,
+                broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text, more): doc_id, n_shingles, root, component_id and the further columns.
+
+    ``root`` is a node that names the component whatever its ids; it is null for
+    texts without words.
+    """
+    more = docs.columns[2:]
     for seed in range(16):
         rows = materialize(document_sets(docs, seed), "shingle-sets")
         classes = rows.where("node is not null").groupBy("node").agg(
@@ -335,24 +342,49 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, group_shingles:
     roots = components(verified_links(groups, sets, percent, group_shingles))
     named = classes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_node = named.join(ids, "root").select("node", "component_id")
+    of_node = named.join(ids, "root").select("node", "root", "component_id")
     # texts without words stay out of the join: they would be one hot null key
-    linked = rows.where("node is not null").join(of_node, "node").select("doc_id", "n_shingles", "component_id")
-    alone = rows.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    linked = rows.where("node is not null").join(of_node, "node").select("doc_id", "n_shingles", "root", "component_id", *more)
+    alone = rows.where("node is null").select(
+        "doc_id", "n_shingles", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id"), *more)
     return linked.unionByName(alone)
 
 
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, group_shingles: int = GROUP_SHINGLES,
+                       broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
+    found = linked_rows(docs.select("doc_id", "text"), percent, group_shingles, broadcast_nodes)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def document_key(doc_id: Column, text: Column) -> Column:
+    """Digest of an id and a text, either of which may be null."""
+    name = doc_id.cast("string")
+    named = F.when(doc_id.isNull(), F.lit("-")).otherwise(F.concat(F.length(name).cast("string"), F.lit(":"), name))
+    return F.unhex(F.sha2(F.concat(named, F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), text))), 256))
+
+
 def keep_one_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row for each group of linked documents: that of the smallest doc_id.
 
-    Rows repeated under that id are one row. Documents without words all stay
-    (rows with null ids, which no group is named after, only if their whole
-    group has none).
+    Groups are told apart by their sets, not by ids: different texts under one
+    id, or under null ids, stay as far as their own groups go. A null id is
+    chosen only where its whole group has none. Under one id the choice among
+    linked texts is by a digest. Documents without words all stay; rows that
+    repeat such a text under the same id are one row, those with null ids are
+    documents of their own.
     """
-    found = jaccard_components(docs, percent)
-    keep, number = fresh(docs, "kept_id", "nth")
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(keep)).distinct()
-    rows = docs.join(first, F.col("doc_id").eqNullSafe(F.col(keep)), "left_semi")
+    keep, number, key = fresh(docs, "kept_id", "nth", "document_key")
+    named = docs.withColumn(key, document_key(F.col("doc_id"), F.col("text")))
+    no_words = F.length(F.translate(F.coalesce("text", F.lit("")), SPACES, "")) == 0
+    unnamed = F.col("doc_id").isNull() & no_words
+    found = linked_rows(named.where(~unnamed).select("doc_id", "text", F.col(key).alias("key")), percent)
+    first = found.where("root is not null").groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")).select(F.col("first.key").alias(keep))
+    first = first.unionByName(found.where("root is null").select(F.col("key").alias(keep)).distinct())
+    rows = named.where(~unnamed).join(first, F.col(key) == F.col(keep), "left_semi")
     others = [c for c in docs.columns if c != "doc_id"]
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in others]))
-    return rows.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1).select(*[f"`{c}`" for c in docs.columns])
+    order = Window.partitionBy(key).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in others]))
+    rows = rows.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1)
+    columns = [f"`{c}`" for c in docs.columns]
+    return rows.select(*columns).unionByName(docs.where(unnamed).select(*columns))
