@@ -29,6 +29,23 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+LINKS = "<div>\n      <a href=1>one, two</a>\n      <a href=2>three, four</a>\n</div>"
+LONG = ["a long paragraph, " * 40 + str(i) for i in range(10)]
+BODY = "".join(f"<p>{p}</p>" for p in LONG)
+
+
+@pytest.mark.parametrize("page,before,after", [
+    (f"<body><div><div>{BODY}</div><div>A short end.</div></div></body>", [], ["A short end."]),
+    (f"<body><section>Lead.</section><section>{BODY}</section><section><h2>End</h2><p>Short.</p></section></body>", ["Lead."], ["End", "Short."]),
+    (f"<body><div>Own text <a href=x>with</a> a link in it.<div>{BODY}</div>and behind it</div></body>", ["Own text with a link in it."], ["and behind it"]),
+    (f"<body><div>Far up.</div>{LINKS}<div><div><div>{BODY}</div></div>inner</div>outer{LINKS}</body>", ["Far up."], ["inner", "outer"]),
+    (f"<body><div><a href=1>Home</a> | <a href=2>All pages</a><div>{BODY}</div><a href=3>Next page</a></div></body>", [], []),
+    (f"<body><div>{BODY}</div><div class='comments'><p>no, no</p></div><div><p>Short.</p></div></body>", [], ["Short."]),
+])
+def test_pages_of_divs_and_sections_lose_nothing(page, before, after):
+    assert main_text(page).split("\n\n") == before + LONG + after
+
+
 def test_no_recursion_and_no_cap():
     deep = "<div>" * 5000 + "<p>deep, text</p>" + "</div>" * 5000
     assert main_text(deep) == "deep, text"

@@ -6,10 +6,10 @@ class, id or role says advert, menu, comment, notice and the like. Every
 paragraph then passes points (one per comma, one per hundred characters) to
 its parent, half to its grandparent, a third to the next, and so on; a
 container's sum is discounted by its link density (share of its text inside
-links). The best container stands for the article, or the article element it
-lies in; siblings are kept too where their own sum is a fifth of the best's or
-they are headings, or text with few links. Its text is cut into blocks at
-block-level elements.
+links). The article or main element that the best container lies in is the
+article; without one, everything on the page is, but for furniture and for
+blocks and stretches of text beside the way up from the best container that
+are mostly links. Its text is cut into blocks at block-level elements.
 
 One map over pages, no shuffle; a page is handled on its own.
 
@@ -38,7 +38,6 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FURNITURE = frozenset("head nav footer aside form button select option input object svg canvas audio video dialog menu "
                       "map datalist meter progress link meta base".split())
-TEXTUAL = frozenset("p pre blockquote ul ol dl table figure".split())
 JUNK = frozenset("ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored sponsors promo promos promotion "
                  "banner banners sidebar menu menus nav navbar navigation breadcrumb breadcrumbs footer comment comments "
                  "commentlist disqus replies respond cookie cookies consent gdpr notice notices popup popups modal overlay "
@@ -184,7 +183,7 @@ def score(root: Element) -> Element | None:
             if c.tag not in BLOCK:  # inline text belongs to the paragraph around it
                 n, commas = n + own[c][0], commas + own[c][1]
         own[e] = n, commas
-        e.chars = len(text) + sum(c.chars for c in kept)
+        e.chars = len(" ".join(text.split())) + sum(c.chars for c in kept)
         e.linked = e.chars if e.tag == "a" else sum(c.linked for c in kept)
         if (e.tag in BLOCK or e.tag in ("td", "th", "#")) and n > 0:
             points, up, share = commas + n / 100, e if e.tag in CONTAINERS else e.parent, 1
@@ -203,20 +202,36 @@ def weighed(e: Element) -> float:
 
 
 def kept_parts(best: Element) -> list[Element]:
-    """The article around the best container, or it and those siblings that look like text of it."""
+    """The article around the best container, or the page less what is mostly links beside the way up to its root."""
     around = best.inside(("article",)) or best.inside(("main",))
     if around is not None:
         return [around]
-    if best.parent is None or best.tag == "body":
-        return [best]
-    least = weighed(best) / 5
-    out = []
-    for e in best.parent.children:
-        if isinstance(e, str) or e.junk:
+    e = best
+    while e.parent is not None:
+        e.parent.children = beside(e)
+        e = e.parent
+    return [e]
+
+
+def beside(way: Element) -> list:
+    """The children of the parent of ``way``: blocks of links are emptied, stretches of inline links left out."""
+    out, run = [], []
+
+    def flush():
+        linked = sum(c.linked for c in run if not isinstance(c, str))
+        if linked <= 0.3 * sum(len(" ".join(c.split())) if isinstance(c, str) else c.chars for c in run):
+            out.extend(run)
+        run.clear()
+
+    for c in way.parent.children:
+        if c is not way and (isinstance(c, str) or c.tag not in BLOCK and c.tag not in ("td", "th")):
+            run.append(c)
             continue
-        few_links = e.linked <= 0.3 * e.chars
-        if e is best or e.tag in HEADINGS or few_links and e.chars and (weighed(e) >= least or e.tag in TEXTUAL):
-            out.append(e)
+        flush()
+        if c is not way and c.tag not in HEADINGS and c.linked > 0.3 * c.chars:
+            c.children = []
+        out.append(c)
+    flush()
     return out
 
 
