@@ -42,6 +42,30 @@ def test_windows_against_brute_force(spark, max_words):
             assert item_words(got.clean) == [w for k, w in enumerate(words) if k not in hit]
 
 
+def test_one_group_of_items_is_held_at_a_time(spark, monkeypatch):
+    """Groups are broadcast one by one, and what several groups find in a text, or in its copies, comes together."""
+    from pyspark import SparkContext
+    live, most, made = set(), [0], SparkContext.broadcast
+
+    def broadcast(self, value):
+        held = made(self, value)
+        live.add(id(held))
+        most.append(len(live))
+        gone = held.destroy
+        held.destroy = lambda *a: (live.discard(id(held)), gone(*a))
+        return held
+
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    passages = [" ".join(f"p{k}x{i}" for i in range(12)) for k in range(6)]
+    bench = spark.createDataFrame(list(enumerate(passages)), "item_id long, text string")
+    whole = " and then ".join(passages)
+    docs = documents(spark, [whole, whole, None, "", "no such words", passages[4]], extra=True)
+    marked, hits = D.mark(docs, bench, max_words=40)
+    rows = {r.doc_id: r[hits] for r in marked.collect()}
+    assert max(most) == 1 and len(most) > 2
+    assert [(rows[i].n_hit, rows[i]["items"]) for i in range(6)] == [(72, list("012345"))] * 2 + [(0, [])] * 3 + [(12, ["4"])]
+
+
 def test_spans_go_and_mostly_copied_documents_go(spark):
     passage = " ".join(f"p{i}" for i in range(12))
     bench = spark.createDataFrame([(1, passage)], "item_id long, text string")

@@ -10,8 +10,11 @@ a window are hit.
 Scale: documents are read once, in a map without a shuffle. An automaton holds
 at most ``max_words`` item words (a documented bound on what is broadcast);
 larger item tables are dealt into groups, each group's automaton is built in a
-task, and the document map is chained over the groups. The number of groups
-follows the item table, not the documents.
+task and written to the shared checkpoint folder. The groups are then broadcast
+one after the other, never two at a time; the hit spans and items that a pass
+finds are written by digest of the text, and all passes are merged and joined
+to the document rows at the end. The number of groups follows the item table,
+not the documents.
 
 Edge cases: null or wordless texts have no words and no hits; null or wordless
 items have no windows; items with equal words are all reported; an item row
@@ -28,12 +31,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vesseltrack.session import ship_package
+from vesseltrack.session import materialize, ship_package
 
-from .common import fresh, with_field
+from .common import fresh, map_arrow, with_field
 
 WINDOW = 10
 MAX_WORDS = 200_000
@@ -160,9 +163,8 @@ class ItemAutomaton:
         return hit, found
 
 
-def item_automata(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> list:
-    """Broadcast automata of the item table, each over at most about ``max_words`` words."""
-    spark = benchmark.sparkSession
+def item_automata(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> tuple[DataFrame, int]:
+    """part, blob: pickled automata of the item table, each over at most about ``max_words`` words; the number of parts."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text"))
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     groups = max(1, -(-chars // (2 * max_words)))  # a word and its gap are two characters at least
@@ -170,12 +172,47 @@ def item_automata(benchmark: DataFrame, window: int = WINDOW, max_words: int = M
     def build(pdf):
         import pandas as pd
         built = ItemAutomaton([(i, normalised_words(t)) for i, t in zip(pdf["item"], pdf["text"])], window)
-        return pd.DataFrame({"blob": [pickle.dumps(built)]})
+        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "blob": [pickle.dumps(built)]})
 
-    ship_package(spark)
+    ship_package(benchmark.sparkSession)
     dealt = items.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(groups)))
-    blobs = dealt.groupBy("part").applyInPandas(build, "blob binary").toLocalIterator()
-    return [spark.sparkContext.broadcast(pickle.loads(row.blob)) for row in blobs]
+    return dealt.groupBy("part").applyInPandas(build, "part bigint, blob binary"), groups
+
+
+def group_hits(docs: DataFrame, text: str, blobs: DataFrame, groups: int) -> DataFrame:
+    """digest, found: for each different text with hits, the hit spans and items by group; one group is held at a time."""
+    spark = docs.sparkSession
+    blobs = materialize(blobs, "item-automata")
+    texts = docs.select(text_digest(F.col(f"`{text}`")).alias("digest"), F.col(f"`{text}`"))
+    passes = None
+    for part in range(groups):
+        row = blobs.where(F.col("part") == part).select("blob").first()
+        if row is None:
+            continue
+        held = spark.sparkContext.broadcast(pickle.loads(row.blob))
+
+        def run(batches, held=held):
+            for b in batches:
+                rows = []
+                for d, t in zip(b.column(0), b.column(1)):
+                    hit, found = held.value.scan(normalised_words(t.as_py()))
+                    if found:
+                        rows.append((d.as_py(), np.packbits(hit).tobytes(), sorted(found)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[i] for r in rows], type=k) for i, k in enumerate((pa.binary(), pa.binary(), pa.list_(pa.string())))],
+                    ["digest", "bits", "items"])
+
+        one = map_arrow(texts, run, "digest binary, bits binary, items array<string>").dropDuplicates(["digest"])
+        one = materialize(one, "group-hits")
+        held.destroy()
+        passes = one if passes is None else passes.unionByName(one)
+    if passes is None:
+        return spark.createDataFrame([], "digest binary, found array<struct<bits: binary, items: array<string>>>")
+    return passes.groupBy("digest").agg(F.collect_list(F.struct("bits", "items")).alias("found"))
+
+
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW,
@@ -185,30 +222,40 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int
     ``items`` are the sorted ids of items with occurring windows; ``clean`` is
     the text without its hit words (null where nothing was hit).
     """
-    automata = item_automata(benchmark, window, max_words)
-    (out,) = fresh(docs, "hits")
-    at = docs.columns.index(text)
+    blobs, groups = item_automata(benchmark, window, max_words)
+    out, digest, found_by = fresh(docs, "hits", "text_digest", "found")
+    at, width = docs.columns.index(text), len(docs.columns)
     kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
                       ("clean", pa.string())])
+    if groups == 1:
+        row, rows_in = blobs.select("blob").first(), docs
+        held = docs.sparkSession.sparkContext.broadcast(pickle.loads(row.blob) if row else ItemAutomaton([], window))
+    else:
+        held = None
+        merged = group_hits(docs, text, blobs, groups).select(F.col("digest").alias(digest), F.col("found").alias(found_by))
+        rows_in = docs.join(merged, text_digest(F.col(f"`{text}`")) == F.col(digest), "left").select(
+            *[f"`{c}`" for c in docs.columns], f"`{found_by}`")
 
     def run(batches):
         for b in batches:
             rows = []
-            for t in b.column(at):
+            for i, t in enumerate(b.column(at)):
                 t = t.as_py()
                 words = normalised_words(t)
-                hit, found = np.zeros(len(words), dtype=bool), set()
-                for a in automata:
-                    h, f = a.value.scan(words)
-                    hit |= h
-                    found |= f
+                if held is not None:
+                    hit, found = held.value.scan(words)
+                else:
+                    hit, found = np.zeros(len(words), dtype=bool), set()
+                    for g in b.column(width)[i].as_py() or ():
+                        hit |= np.unpackbits(np.frombuffer(g["bits"], dtype=np.uint8), count=len(words)).astype(bool)
+                        found |= set(g["items"])
                 rows.append({"n_words": len(words), "n_hit": int(hit.sum()), "items": sorted(found),
                              "clean": without(t, hit) if found else None})
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, type=kind)], [*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(rows, type=kind)], [*b.schema.names[:width], out])
 
     schema = with_field(docs, out, "n_words bigint, n_hit bigint, items array<string>, clean string")
     ship_package(docs.sparkSession)
-    return docs.mapInArrow(run, schema), out
+    return rows_in.mapInArrow(run, schema), out
 
 
 def without(text: str, hit: np.ndarray) -> str:
