@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 
 from . import bpe as B
+from . import burst_trie as BT
 from . import decontaminate as D
 from . import html_main as H
 from . import ngram_join as N
 from . import quality_rules as Q
 from . import ring_shards as RS
+from . import spelling_variants as V
 from . import token_count as TC
 from . import toxicity as X
 from . import url_rules as UR
@@ -90,3 +92,19 @@ def op10_ngram_jaccard_join(spark, sf_dir):
 
 
 QUERIES["op10_ngram_jaccard_join"] = op10_ngram_jaccard_join
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return V.variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op12_spelling_variants"] = op12_spelling_variants
+ORACLE["op12_spelling_variants"] = V.ORACLE_VARIANTS
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return BT.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+QUERIES["op13_prefix_trie"] = op13_prefix_trie
+ORACLE["op13_prefix_trie"] = BT.ORACLE_TRIE
