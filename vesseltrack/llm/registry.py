@@ -11,6 +11,7 @@ from . import html_main as H
 from . import ngram_join as N
 from . import quality_rules as Q
 from . import ring_shards as RS
+from . import secret_scan as SS
 from . import spelling_variants as V
 from . import token_count as TC
 from . import toxicity as X
@@ -94,6 +95,13 @@ def op10_ngram_jaccard_join(spark, sf_dir):
 QUERIES["op10_ngram_jaccard_join"] = op10_ngram_jaccard_join
 
 
+def op11_secret_scan(spark, sf_dir):
+    return SS.secrets(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op11_secret_scan"] = op11_secret_scan
+
+
 def op12_spelling_variants(spark, sf_dir):
     return V.variants(table(spark, sf_dir, "documents"))
 
