@@ -39,7 +39,7 @@ from .common import map_arrow
 
 WIDTH = 20
 BORROWED = 8  # most turns taken from another conversation
-CONTAINER_SEQUENCES = 1_000
+CONTAINER_SEQUENCES = 200
 NODE = "conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string"
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 
