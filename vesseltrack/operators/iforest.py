@@ -8,23 +8,29 @@ limit ceil(log2(sample_size)) is hit. A row's anomaly score is
 that still holds n rows). Higher = easier to isolate = more anomalous.
 
 Distribution:
-* sampling - every (row, tree) pair gets a hash rank; per tree the
-  ``sample_size`` lowest ranks form its sample (uniform without replacement).
-  Only pairs under a rank threshold that keeps ~4x the needed rows are
-  generated, and a top-k window (partial on the map side) trims them; a tree
-  that still falls short is re-drawn with no threshold, so samples are exact.
-* growing - ``groupBy(tree).applyInPandas``: one small numpy job per tree.
+* sampling - a digest of the vessel gives two numbers a and b; its rank in tree
+  t is (a + t * b) modulo a prime, so ranks are uniform and independent between
+  vessels. Per tree the ``sample_size`` lowest ranks form its sample (uniform
+  without replacement). Only pairs under a rank threshold that keeps ~4x the
+  needed rows are generated, and a top-k window (partial on the map side) trims
+  them; a tree that still falls short is re-drawn with no threshold, so samples
+  are exact.
+* growing - ``groupBy(tree).applyInPandas``: one small numpy job per tree. A
+  node's feature and threshold are drawn from a digest of (seed, node, tree),
+  nodes numbered as in a heap, so any engine can grow the same trees again: the
+  SQL twin does, by a recursive query.
 * scoring - the forest (bounded by trees x 2^(depth+1) nodes) is shipped to
   ``mapInPandas``, which walks all trees vectorised over each Arrow batch.
 * labels - min/max for the 0-1 risk score and the exact contamination
   quantile come from distributed aggregations (no collect of the table).
 
-Results are reproducible for a seed, independent of partitioning. They are not
-bit-equal to other implementations' random streams.
+Results are reproducible for a seed, independent of partitioning and of the
+order in which nodes are grown.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -33,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vesseltrack.operators.quantile import exact_quantile
+from vesseltrack.operators.quantile import bracket, exact_quantile
 from vesseltrack.schemas import MODEL_FEATURES
 from vesseltrack.session import keep, ship_package
 
@@ -105,8 +111,28 @@ def standardise(x: DataFrame, cols=MODEL_COLUMNS, stats=None) -> DataFrame:
 # ---------------------------------------------------------------- sampling
 
 
-def _rank(tree: F.Column, seed: int) -> F.Column:
-    return F.xxhash64(F.col("mmsi"), tree, F.lit(seed))
+PRIME = 4503599627370449  # the largest below 2 ** 52
+DRAW = 2.0 ** 52
+
+
+def _digits(digest: F.Column, part: int) -> F.Column:
+    """One of two 52-bit numbers in a hexadecimal digest."""
+    return F.conv(F.substring(digest, 1 + 13 * part, 13), 16, 10).cast("long")
+
+
+def with_rank_numbers(x: DataFrame, seed: int) -> DataFrame:
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col("mmsi")))
+    return x.withColumn("_a", _digits(digest, 0) % PRIME).withColumn("_b", _digits(digest, 1) % PRIME)
+
+
+def _rank(tree: F.Column) -> F.Column:
+    return (F.col("_a") + tree * F.col("_b")) % PRIME
+
+
+def node_draws(seed: int, tree: int, node: int) -> tuple[float, float]:
+    """Two uniform numbers in [0, 1) for the feature and the threshold of a node."""
+    digest = hashlib.md5(f"{seed}:{node}:{tree}".encode()).hexdigest()
+    return int(digest[:13], 16) / DRAW, int(digest[13:26], 16) / DRAW
 
 
 def tree_samples(x: DataFrame, n_rows: int, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE,
@@ -114,13 +140,13 @@ def tree_samples(x: DataFrame, n_rows: int, n_trees: int = N_TREES, sample_size:
     """(tree, rank, mmsi, features...) with exactly min(sample_size, n_rows) rows per tree."""
     need = min(sample_size, n_rows)
     p = min(1.0, OVERSAMPLE * sample_size / max(n_rows, 1))
-    # rank is a signed 64-bit hash; keep ranks in the lowest fraction p of its range
-    threshold = int(-(2 ** 63) + p * (2 ** 64)) if p < 1.0 else None
+    threshold = int(p * PRIME) if p < 1.0 else None
+    x = with_rank_numbers(x, seed)
 
     def draw(trees: F.Column, limit) -> DataFrame:
         if limit is not None:  # trees are chosen inside the row: only the drawn (vessel, tree) pairs are generated
-            trees = F.filter(trees, lambda t: F.xxhash64(F.col("mmsi"), t, F.lit(seed)) < F.lit(limit))
-        pairs = x.withColumn("tree", F.explode(trees)).withColumn("rank", _rank(F.col("tree"), seed))
+            trees = F.filter(trees, lambda t: _rank(t) < F.lit(limit))
+        pairs = x.withColumn("tree", F.explode(trees)).withColumn("rank", _rank(F.col("tree"))).drop("_a", "_b")
         w = Window.partitionBy("tree").orderBy("rank", "mmsi")
         return pairs.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= need).drop("_k")
 
@@ -151,7 +177,7 @@ TREE_SCHEMA = T.StructType([
 ])
 
 
-def grow_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int):
+def grow_tree(X: np.ndarray, seed: int, tree: int, max_depth: int):
     """One isolation tree as flat node arrays (feature -1 marks a leaf)."""
     feature, threshold, left, right, leaf = [], [], [], [], []
 
@@ -160,41 +186,35 @@ def grow_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int):
             arr.append(v)
         return len(feature) - 1
 
-    root = new_node()
-    stack = [(root, np.arange(X.shape[0]), 0)]
+    stack = [(new_node(), 1, np.arange(X.shape[0]), 0)]  # place, number (children of i: 2 i and 2 i + 1), rows, depth
     while stack:
-        node, idx, depth = stack.pop()
+        node, number, idx, depth = stack.pop()
         n = idx.size
-        split = None
+        candidates = ()
         if depth < max_depth and n > 1:
             sub = X[idx]
             lo, hi = sub.min(axis=0), sub.max(axis=0)
             candidates = np.flatnonzero(hi > lo)
-            if candidates.size:
-                f = int(rng.choice(candidates))
-                t = float(rng.uniform(lo[f], hi[f]))
-                if t >= hi[f]:
-                    t = float(lo[f])
-                split = (f, t)
-        if split is None:
+        if not len(candidates):
             leaf[node] = depth + float(average_path_length([n])[0])
             continue
-        f, t = split
+        which, where = node_draws(seed, tree, number)
+        f = int(candidates[int(which * len(candidates))])
+        t = float(lo[f] + where * (hi[f] - lo[f]))
+        if t >= hi[f]:
+            t = float(lo[f])
         go_left = X[idx, f] <= t
         li, ri = new_node(), new_node()
         feature[node], threshold[node], left[node], right[node] = f, t, li, ri
-        stack.append((ri, idx[~go_left], depth + 1))
-        stack.append((li, idx[go_left], depth + 1))
+        stack.append((ri, 2 * number + 1, idx[~go_left], depth + 1))
+        stack.append((li, 2 * number, idx[go_left], depth + 1))
     return feature, threshold, left, right, leaf
 
 
 def _grower(cols, seed: int, max_depth: int):
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["rank", "mmsi"], kind="mergesort")
         tree = int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree])
-        X = pdf[list(cols)].to_numpy(dtype=float)
-        feat, thr, lft, rgt, leaf = grow_tree(X, rng, max_depth)
+        feat, thr, lft, rgt, leaf = grow_tree(pdf[list(cols)].to_numpy(dtype=float), seed, tree, max_depth)
         return pd.DataFrame({
             "tree": tree, "node": np.arange(len(feat), dtype=np.int32),
             "feature": np.asarray(feat, dtype=np.int32), "threshold": np.asarray(thr, dtype=float),
@@ -294,10 +314,10 @@ def risk_scores(spark, features: DataFrame, n_trees: int = N_TREES, sample_size:
     x = standardise(inputs, stats=params)
     forest = fit_forest(x, n_trees=n_trees, sample_size=sample_size, seed=seed, n_rows=n_rows, scratch=scratch)
     raw = keep(score_frame(x, forest).drop(*MODEL_COLUMNS), "forest_scores", scratch)
-    mm = raw.agg(F.count(F.lit(1)).alias("n"), F.min("raw_score").alias("lo"),
-                 F.max("raw_score").alias("hi")).first()
-    span = mm["hi"] - mm["lo"]
-    cut = exact_quantile(raw, "raw_score", 1.0 - contamination, stats=(mm["n"], mm["lo"], mm["hi"]))
-    risk = (F.col("raw_score") - F.lit(mm["lo"])) / F.lit(span) if span > 0 else F.lit(0.0)
+    # one pass gives the least and greatest score and brackets the quantile
+    brackets = bracket(raw, ["raw_score"], 1.0 - contamination)
+    _, lo, hi, *_ = brackets["raw_score"]
+    cut = exact_quantile(raw, "raw_score", 1.0 - contamination, brackets=brackets)
+    risk = (F.col("raw_score") - F.lit(lo)) / F.lit(hi - lo) if hi > lo else F.lit(0.0)
     return raw.select(*cols_kept, risk.alias("risk_score"),
                       (F.col("raw_score") > F.lit(cut)).alias("is_outlier"))

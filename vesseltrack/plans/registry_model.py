@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from vesseltrack import oracle as O
 from vesseltrack.operators.features import vessel_features
-from vesseltrack.operators.iforest import CAPS, model_column, model_inputs, risk_scores, standardise
+from vesseltrack.operators.iforest import (
+    CAPS, CONTAMINATION, N_TREES, SAMPLE_SIZE, SEED, model_column, model_inputs, risk_scores, standardise,
+)
 from vesseltrack.operators.quality import RULES, run_checks
 from vesseltrack.operators.quantile import exact_quantiles
 from vesseltrack.operators.report import report_lines, report_table, scoring_summary, top_k, top_scored, watchlist
@@ -88,12 +90,17 @@ def _scores(spark, d):
     return risk_scores(spark, f)
 
 
+SCORE_ROUNDED = ("risk_score", "avg_gap_hours", "max_implied_speed", "max_jump_nm", "max_anomaly_score")
+
+
 def _q_risk_scores(spark, d):
-    return _scores(spark, d)
+    from vesseltrack.plans.registry import for_compare
+    return for_compare(_scores(spark, d), SCORE_ROUNDED)
 
 
 def _q_watchlist(spark, d):
-    return watchlist(_scores(spark, d))
+    from vesseltrack.plans.registry import for_compare
+    return for_compare(watchlist(_scores(spark, d)), ("risk_score", "max_implied_speed"))
 
 
 def _q_report_lines(spark, d):
@@ -111,18 +118,20 @@ def _q_p95(spark, d):
     """Exact 95th percentile (linear) of every capped model input, from executors."""
     f, _ = _features(spark, d)
     x = materialize(model_inputs(f), "p95-inputs")
-    found = exact_quantiles(x, [model_column(c) for c in MODEL_FEATURES], 0.95, bins=64)  # all columns in each pass
+    found = exact_quantiles(x, [model_column(c) for c in MODEL_FEATURES], 0.95)  # all columns in both scans
     rows = [(c, found[model_column(c)]) for c in MODEL_FEATURES]
     return spark.createDataFrame(rows, "feature string, p95 double").select(
         "feature", F.round("p95", 6).alias("p95"))
 
 
 def _q_score_summary(spark, d):
-    return scoring_summary(_scores(spark, d))
+    from vesseltrack.plans.registry import for_compare
+    return for_compare(scoring_summary(_scores(spark, d)), ("flagged_share",))
 
 
 def _q_top_scored(spark, d):
-    return top_scored(_scores(spark, d))
+    from vesseltrack.plans.registry import for_compare
+    return for_compare(top_scored(_scores(spark, d)), ("risk_score",))
 
 
 QUERIES = {
@@ -205,12 +214,78 @@ def _int_sql(c: str) -> str:
     return f"coalesce(CAST(CAST(trunc(CAST({c} AS DOUBLE)) AS BIGINT) AS VARCHAR), '—')"
 
 
+def _forest_sql(seed: int = SEED, trees: int = N_TREES, sample: int = SAMPLE_SIZE, share: float = CONTAMINATION) -> str:
+    """The forest grown and walked by a recursive query.
+
+    Every vessel walks down every tree; only those drawn for the tree (``picked``)
+    decide its splits. The draws are those of the operator, by definition of the
+    model: ranks (a + t b) mod p, and digests of seed, node and tree. Splits are
+    taken on the capped inputs as they are: scaling a column moves its thresholds
+    along, so the path lengths stay.
+    """
+    digest = "md5(concat_ws(':', {0}))"
+
+    def number(text: str, part: int) -> str:
+        return f"('0x' || substr({digest.format(text)}, {1 + 13 * part}, 13))::BIGINT"
+
+    xs = ", ".join(f"CAST({c} AS DOUBLE)" for c in MODEL_FEATURES)
+    spread = ", ".join(f"{f}(x[{i + 1}]) FILTER (picked) OVER w AS {f}{i + 1}" for i in range(len(MODEL_FEATURES)) for f in ("min", "max"))
+    lows, highs = (", ".join(f"{f}{i + 1}" for i in range(len(MODEL_FEATURES))) for f in ("min", "max"))
+    mean_path = "CASE WHEN {0} > 2 THEN 2 * (ln({0} - 1.0) + 0.5772156649015329) - 2 * ({0} - 1.0) / {0} WHEN {0} = 2 THEN 1.0 ELSE 0.0 END"
+    return _FEAT + ", " + _CAPPED + f""",
+sizes AS (SELECT count(*) AS rows, least(count(*), {sample}) AS need FROM capped),
+deepest AS (SELECT greatest(1, CAST(ceil(log2(greatest(need, 2))) AS INT)) AS depth FROM sizes),
+ranked AS (
+  SELECT mmsi, [{xs}] AS x, t.t AS tree, row_number() OVER (
+    PARTITION BY t.t ORDER BY ({number(f"{seed}, mmsi", 0)} % 4503599627370449 + t.t * ({number(f"{seed}, mmsi", 1)} % 4503599627370449)) % 4503599627370449, mmsi) AS nth
+  FROM capped, range({trees}) t(t)),
+walk AS (WITH RECURSIVE step AS (
+  SELECT mmsi, x, tree, nth <= need AS picked, 1 AS node, 0 AS depth, CAST(NULL AS DOUBLE) AS path FROM ranked, sizes
+  UNION ALL
+  SELECT mmsi, x, tree, picked, CASE WHEN f IS NULL THEN node WHEN x[f] <= cut THEN 2 * node ELSE 2 * node + 1 END, depth + 1,
+         CASE WHEN f IS NULL THEN depth + {mean_path.format('n')} END
+  FROM (
+    SELECT *, CASE WHEN lows[f] + share * (highs[f] - lows[f]) >= highs[f] THEN lows[f] ELSE lows[f] + share * (highs[f] - lows[f]) END AS cut
+    FROM (
+      SELECT *, CASE WHEN depth < most AND n > 1 THEN open[1 + CAST(floor({number(f"{seed}, node, tree", 0)} / 4503599627370496.0 * len(open)) AS INT)] END AS f,
+             {number(f"{seed}, node, tree", 1)} / 4503599627370496.0 AS share
+      FROM (
+        SELECT *, list_filter(range(1, {len(MODEL_FEATURES) + 1}), lambda i: highs[i] > lows[i]) AS open
+        FROM (
+          SELECT *, [{lows}] AS lows, [{highs}] AS highs FROM (
+            SELECT mmsi, x, tree, picked, node, step.depth, deepest.depth AS most, count(*) FILTER (picked) OVER w AS n, {spread}
+            FROM step, deepest WHERE path IS NULL WINDOW w AS (PARTITION BY tree, node)))))))
+  SELECT * FROM step),
+raw AS (SELECT mmsi, pow(2, -(sum(path) / {trees}) / CASE WHEN any_value(need) > 1 THEN {mean_path.format('any_value(need)')} ELSE 1 END) AS raw
+        FROM walk, sizes WHERE path IS NOT NULL GROUP BY mmsi),
+ends AS (SELECT min(raw) AS lo, max(raw) AS hi, quantile_cont(raw, {1 - share}) AS cut FROM raw),
+scores AS (
+  SELECT f.*, CASE WHEN hi > lo THEN (raw - lo) / (hi - lo) ELSE 0 END AS risk_score, raw > cut AS is_outlier
+  FROM vessel_features f JOIN raw USING (mmsi), ends),
+watchlist AS (SELECT * FROM scores WHERE is_outlier AND risk_score >= 0.7 ORDER BY risk_score DESC, mmsi LIMIT 20)
+"""
+
+
+_SCORES = _forest_sql()
+
 _WIN_NOT_NULL = " UNION ALL ".join(
     _count_rule("not_null", c, f"{c} IS NULL", "win")
     for c in ["mmsi", "base_date_time", "latitude", "longitude", "sog", "event_date"]) + " UNION ALL " + \
     _count_rule("is_null", "quality_flag", "quality_flag IS NOT NULL", "win")
 
 ORACLE = {
+    "risk_scores": _SCORES + "SELECT mmsi, vessel_name, total_anomalies, is_outlier, "
+                   + ", ".join(f"round({c}, 6) AS {c}" if c in SCORE_ROUNDED else c for c in (*MODEL_FEATURES, "risk_score")) + " FROM scores",
+    "watchlist": _SCORES + "SELECT mmsi, vessel_name, round(risk_score, 6) AS risk_score, n_dark_gaps, max_gap_hours, n_impossible_speed, "
+                 "round(max_implied_speed, 6) AS max_implied_speed, total_anomalies, is_sanctioned FROM watchlist",
+    "report_lines": _SCORES + (
+        "SELECT CAST(row_number() OVER (ORDER BY risk_score DESC, mmsi) AS INTEGER) AS rank, "
+        f"{_NAME} || ' | ' || mmsi || ' | risk ' || printf('%.3f', risk_score) || ' | ' || CAST(total_anomalies AS VARCHAR) || ' anomalies' "
+        "|| CASE WHEN is_sanctioned = 1 THEN ' | SANCTIONED' ELSE '' END AS line FROM watchlist"),
+    "score_summary": _SCORES + "SELECT count(*) AS vessels, count(*) FILTER (is_outlier) AS flagged, "
+                     "round(avg(CAST(is_outlier AS INT)), 6) AS flagged_share FROM scores",
+    "top_scored": _SCORES + "SELECT mmsi, vessel_name, round(risk_score, 6) AS risk_score, total_anomalies, is_sanctioned FROM scores "
+                  "ORDER BY scores.risk_score DESC, mmsi LIMIT 10",
     "check_window": O.with_ctes(O.AIS_RAW, O.clean_ctes()) + ", win AS (SELECT * FROM ais_clean WHERE event_date "
                     f"BETWEEN DATE '{O.WINDOW[0]}' AND DATE '{O.WINDOW[1]}') " + _WIN_NOT_NULL,
     "features_p95": _FEAT + ", " + _CAPPED + " " + " UNION ALL ".join(
