@@ -1,5 +1,6 @@
 """Plain Python versions of the operators and shared rows, for comparison."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -71,14 +72,21 @@ def quality_verdicts(rows):
     hosts = {}
     for _, s, f in fails:
         hosts.setdefault(s, []).append(f)
-    rejected = set()
-    for r in range(5):
+    granted = {}
+    for r in range(2, 5):
         rates = {s: (sum(f[r] for f in fs), len(fs)) for s, fs in hosts.items()}
         m = sum(a / b for a, b in rates.values()) / max(1, len(rates))
-        v = sum((a / b - m) ** 2 for a, b in rates.values()) / max(1, len(rates))
+        v = sum((a / b - m) ** 2 - m * (1 - m) / b for a, b in rates.values()) / max(1, len(rates))
         k = max(1.0, m * (1 - m) / v - 1) if v > 0 else 1e9 if 0 < m < 1 else 1.0
-        rejected |= {(s, r) for s, (a, b) in rates.items() if (a + m * k) / (b + k) > 0.5}
-    return {i: not (f[0] or f[1]) and not any(f[r] and (s, r) in rejected for r in range(5)) for i, s, f in fails}
+        for s, (a, b) in rates.items():
+            granted[s, r] = math.floor(100 * (3 - 2 * min(1.0, 2 * (a + m * k) / (b + k)))) / 100
+    out = {}
+    for (i, m, s), (_, _, f) in zip(measured, fails):
+        n = m["n_words"]
+        far = (m["n_symbols"] > 0.1 * n * granted[s, 2] + 1e-9, m["n_dup_lines"] > 0.3 * m["n_lines"] * granted[s, 3] + 1e-9,
+               n > 0 and (m["word_chars"] < 3 * n / granted[s, 4] - 1e-9 or m["word_chars"] > 12 * n * granted[s, 4] + 1e-9))
+        out[i] = not (f[0] or f[1]) and not any(far)
+    return out
 
 
 def shingle_set(text):

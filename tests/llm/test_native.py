@@ -144,3 +144,28 @@ def test_walk_keeps_to_the_bounds():
     per = [sum(b - a for _, a, b, s, _ in taken if s == k) for k in range(3)]
     assert sum(per) == 12 and max(per) <= 4
     assert taken[0] == (0, 0, 4, 0, 0)  # home first
+
+
+def test_a_host_with_failures_grants_its_documents_less(spark):
+    """Two documents alike, with a tenth and a half of symbols to words: what differs is how their hosts' other documents do."""
+    rng = random.Random(6)
+
+    def noted(share):
+        words = prose(rng, 100).split(" ")
+        return " ".join(w + "#" if i < share * 100 else w for i, w in enumerate(words))
+
+    rows = [("sound", noted(0)) for _ in range(60)] + [("failing", noted(0.6)) for _ in range(60)] + [("sound", noted(0.15)), ("failing", noted(0.15))]
+    rows += [("sound", noted(0.9)), ("failing", noted(0.05))]
+    docs = spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")
+    kept = {r.doc_id: r.kept for r in Q.quality(docs).collect()}
+    assert kept == quality_verdicts([(i, t, h) for i, (h, t) in enumerate(rows)])
+    assert [kept[i] for i in range(120, 124)] == [True, False, False, True]
+
+
+def test_prior_without_the_noise_of_small_hosts(spark):
+    """Hosts that differ by chance alone are all shrunk to the mean."""
+    rng = random.Random(9)
+    rows = [(f"h{h}", rng.random() < 0.3) for h in range(200) for _ in range(10)]
+    fails = spark.createDataFrame(rows, "h string, x boolean").select("h", F.struct(*[F.col("x").alias(r) for r in Q.RULES]).alias("s"))
+    rates = [r.symbols_rate for r in Q.host_verdicts(fails, "s", F.col("h")).collect()]
+    assert max(rates) - min(rates) < 0.1  # unshrunk they lie between 0 and 0.7

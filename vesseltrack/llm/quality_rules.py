@@ -3,10 +3,17 @@
 Document rules are counted on whole texts: too few words, repeated 3-word
 windows, symbols, repeated lines, odd mean word length. Failures are then
 counted per host (``source``); a host's failure rate of a rule is shrunk with a
-beta prior fitted to all hosts by moments (mean and variance of the rates
-between hosts), so hosts with few documents stay near the mean. A host whose
-shrunk rate of a rule passes ``host_limit`` is rejected for that rule, and its
-documents that fail the rule go. A document that fails no rule always stays.
+beta prior fitted to all hosts by moments (mean of the rates, and their variance
+less what chance alone gives hosts of their sizes), so hosts with few documents
+stay near the mean, and all do where they don't differ beyond chance.
+
+The shrunk rate is the host's verdict: it sets how far its documents may pass
+the limits of the symbol, line and word-length rules. From a rate of
+``host_limit`` on nothing is tolerated; towards a rate of nought up to
+``LENIENT`` times the limit is (a table or a poem from a host that is otherwise
+sound). A document beyond what its host is granted goes. A document that fails
+no rule always stays, and one that breaks a limit many times over goes whatever
+its host.
 
 Scale: one scan; counters per host are summed map-side (a hot host is a few
 numbers per task); the only shuffles carry one row per host and task. Host
@@ -35,6 +42,7 @@ MAX_SYMBOL_PERCENT = 10   # of words
 MAX_DUP_LINE_PERCENT = 30  # of lines with a word
 MEAN_WORD = (3, 12)
 HOST_LIMIT = 0.5
+LENIENT = 3
 MAX_HOSTS = 100_000
 RULES = ("few_words", "repeats", "symbols", "dup_lines", "word_length")
 
@@ -108,24 +116,37 @@ def with_measures(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     return docs.withColumn(name, done)
 
 
+def beyond(m: Column, tolerance: Column) -> Column:
+    """Whether a document passes a limit by more than its host is granted."""
+    n = m["n_words"]
+    return ((100 * 100 * m["n_symbols"] > MAX_SYMBOL_PERCENT * n * tolerance["symbols"])
+            | (100 * 100 * m["n_dup_lines"] > MAX_DUP_LINE_PERCENT * m["n_lines"] * tolerance["dup_lines"])
+            | ((n > 0) & ((m["word_chars"] * tolerance["word_length"] < 100 * MEAN_WORD[0] * n)
+                          | (100 * m["word_chars"] > MEAN_WORD[1] * n * tolerance["word_length"]))))
+
+
 def host_verdicts(measured: DataFrame, name: str, host: Column, host_limit: float = HOST_LIMIT) -> DataFrame:
-    """One row per host: host, docs, and per rule its shrunk failure rate and whether the host is rejected for it.
+    """One row per host: host, docs, and per rule its shrunk failure rate, its tolerance and whether that is none at all.
 
-    Prior of a rule: Beta(a, b) with the mean m and variance v between hosts
-    (each host one observation), a + b = m (1 - m) / v - 1, at least 1; the
-    shrunk rate is (failures + a) / (documents + a + b).
+    Prior of a rule: Beta(a, b) with the mean m of the hosts' rates and their
+    variance v less the mean of m (1 - m) / documents, a + b = m (1 - m) / v - 1,
+    at least 1; the shrunk rate is (failures + a) / (documents + a + b). The
+    tolerance is in hundredths: 100 keeps a limit as it is.
     """
     s = F.col(f"`{name}`")
     per = measured.groupBy(host.alias("host")).agg(
         F.count("*").alias("docs"), *[F.sum(s[r].cast("long")).alias(f"{r}_n") for r in RULES])
-    moments = per.agg(*[f(F.col(f"{r}_n") / F.col("docs")).alias(f"{r}_{k}") for r in RULES for k, f in (("m", F.avg), ("v", F.var_pop))])
+    moments = per.agg(F.avg(1 / F.col("docs")).alias("per_doc"), *[
+        f(F.col(f"{r}_n") / F.col("docs")).alias(f"{r}_{k}") for r in RULES for k, f in (("m", F.avg), ("v", F.var_pop))])
     prior = moments.first()
     cols = []
     for r in RULES:
-        m, v = prior[f"{r}_m"] or 0.0, prior[f"{r}_v"] or 0.0
+        m = prior[f"{r}_m"] or 0.0
+        v = (prior[f"{r}_v"] or 0.0) - m * (1 - m) * (prior["per_doc"] or 0.0)
         weight = max(1.0, m * (1 - m) / v - 1) if v > 0 else 1e9 if 0 < m < 1 else 1.0
         rate = (F.col(f"{r}_n") + F.lit(m * weight)) / (F.col("docs") + F.lit(weight))
-        cols += [rate.alias(f"{r}_rate"), (rate > F.lit(host_limit)).alias(f"{r}_bad")]
+        tolerance = F.floor(100 * (1 + (LENIENT - 1) * (1 - F.least(F.lit(1.0), rate / host_limit)))).cast("long")
+        cols += [rate.alias(f"{r}_rate"), tolerance.alias(f"{r}_tolerance"), (tolerance == 100).alias(f"{r}_bad")]
     return per.select("host", "docs", *cols)
 
 
@@ -142,17 +163,13 @@ def judged(docs: DataFrame, keep: list[str], host: str = "source", host_limit: f
     rows = materialize(rows, "quality-measures")
     s = F.col(f"`{name}`")
     verdicts = materialize(host_verdicts(rows, name, F.col(f"`{key}`"), host_limit), "host-verdicts")
-    host_name, bad_name = fresh(rows, "host", "bad")
-    bad = verdicts.select(F.col("host").alias(host_name),
-                          F.struct(*[F.col(f"{r}_bad").alias(r) for r in RULES]).alias(bad_name))
+    host_name, granted = fresh(rows, "host", "granted")
+    verdict = verdicts.select(F.col("host").alias(host_name), F.struct(*[F.col(f"{r}_tolerance").alias(r) for r in RULES]).alias(granted))
     if verdicts.limit(max_hosts + 1).count() <= max_hosts:
-        bad = F.broadcast(bad)
-    both = rows.join(bad, F.col(f"`{key}`").eqNullSafe(F.col(f"`{host_name}`")), "left")
+        verdict = F.broadcast(verdict)
+    both = rows.join(verdict, F.col(f"`{key}`").eqNullSafe(F.col(f"`{host_name}`")), "left")
     base = s["few_words"] | s["repeats"]
-    by_host = F.lit(False)
-    for r in RULES:
-        by_host = by_host | (s[r] & F.coalesce(F.col(f"`{bad_name}`")[r], F.lit(False)))
-    out = both.withColumn(name, s.withField("base_failed", base).withField("kept", ~base & ~by_host))
+    out = both.withColumn(name, s.withField("base_failed", base).withField("kept", ~base & ~beyond(s, F.col(f"`{granted}`"))))
     return out.select(*quoted, f"`{name}`"), name
 
 
@@ -182,11 +199,14 @@ f AS (SELECT *, n_words < 50 AS r1, 100 * n_repeat_words > 50 * n_words AS r2, 1
              100 * n_dup_lines > 30 * n_lines AS r4, n_words > 0 AND (word_chars < 3 * n_words OR word_chars > 12 * n_words) AS r5 FROM m),
 c AS (SELECT coalesce(source, '') AS host, rule, count(*) AS docs, sum(CAST(bad AS INT)) AS n FROM (
         SELECT source, unnest(['1', '2', '3', '4', '5']) AS rule, unnest([r1, r2, r3, r4, r5]) AS bad FROM f) GROUP BY source, rule),
-mo AS (SELECT rule, avg(n / docs) AS m, var_pop(n / docs) AS v FROM c GROUP BY rule),
-pr AS (SELECT rule, m, CASE WHEN v > 0 THEN greatest(1.0, m * (1 - m) / v - 1) WHEN m > 0 AND m < 1 THEN 1e9 ELSE 1.0 END AS k FROM mo),
-bad AS (SELECT host, list(rule) AS rules FROM c JOIN pr USING (rule) WHERE (n + m * k) / (docs + k) > 0.5 GROUP BY host)
+mo AS (SELECT rule, avg(n / docs) AS m, var_pop(n / docs) AS spread, avg(1 / docs) AS per_doc FROM c GROUP BY rule),
+v AS (SELECT rule, m, spread - m * (1 - m) * per_doc AS v FROM mo),
+pr AS (SELECT rule, m, CASE WHEN v > 0 THEN greatest(1.0, m * (1 - m) / v - 1) WHEN m > 0 AND m < 1 THEN 1e9 ELSE 1.0 END AS k FROM v),
+g AS (SELECT host, rule, CAST(floor(100 * (1 + 2 * (1 - least(1.0, (n + m * k) / (docs + k) / 0.5)))) AS BIGINT) AS g FROM c JOIN pr USING (rule)),
+h AS (SELECT host, max(g) FILTER (rule = '3') AS g3, max(g) FILTER (rule = '4') AS g4, max(g) FILTER (rule = '5') AS g5 FROM g GROUP BY host)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, r1 OR r2 AS base_failed,
-       NOT (r1 OR r2) AND NOT coalesce(r3 AND list_contains(rules, '3') OR r4 AND list_contains(rules, '4') OR r5 AND list_contains(rules, '5'), false) AS kept
-FROM f LEFT JOIN bad ON bad.host = coalesce(f.source, '')
+       NOT (r1 OR r2) AND NOT (n_symbols * 1000 > n_words * g3 OR n_dup_lines * 10000 > 30 * n_lines * g4
+                               OR n_words > 0 AND (word_chars * g5 < 300 * n_words OR word_chars * 100 > 12 * n_words * g5)) AS kept
+FROM f JOIN h ON h.host = coalesce(f.source, '')
 """
