@@ -46,6 +46,70 @@ def test_pages_of_divs_and_sections_lose_nothing(page, before, after):
     assert main_text(page).split("\n\n") == before + LONG + after
 
 
+@pytest.mark.parametrize("page,expected", [
+    (f"<div class='content no-sidebar'>{BODY}</div>", LONG),
+    (f"<div class='site has-sidebar'><article>{BODY}</article></div>", LONG),
+    (f"<div class='sidebar'><main>{BODY}</main></div>", LONG),  # a name never removes what holds the main element
+    (f"<div class='widget'>{BODY}</div><div>Tail.</div>", LONG + ["Tail."]),  # nor nearly all of the text
+    (f"<div class='elementor-widget elementor-widget-text-editor'>{BODY}</div>", LONG),
+    (f"<article><div class='article-banner'><h1>Head</h1></div><div class='social-science'><p>On science.</p></div>{BODY}</article>",
+     ["Head", "On science."] + LONG),
+    (f"<article>{BODY}<div class='related-posts'><p>Read this, too</p></div><div id='userComments'><p>I, me, mine</p></div>"
+     "<div class='share-buttons bottom'>Share</div><div class='ad-slot-2'>Buy</div></article>", LONG),
+    (f"<article>{BODY}<article class='comment'><p>First, first</p></article></article>", LONG),
+    (f"<article>{BODY}</article><section class='comments'><article><p>{LONG[0]}</p></article></section>", LONG),
+    (f"<main><article>{BODY}</article><article><p>A second one.</p></article><article><a href=1>Teaser</a></article></main>", LONG + ["A second one."]),
+    (f"<article><p>First, short.</p></article><article>{BODY}</article><aside><article><p>Aside.</p></article></aside>", ["First, short."] + LONG),
+    (f"<article class='comment-free'>{BODY}</article>", LONG),
+    ("<div class='comments'><p>only, comments</p></div>", ["only, comments"]),  # the page is nothing else
+])
+def test_names_of_blocks(page, expected):
+    assert main_text(page).split("\n\n") == expected
+
+
+def plain_article(page):
+    """Texts of headings and paragraphs of the articles by the standard library's parser."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.depth, self.out, self.open = 0, [], None
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            if self.depth and tag in ("p", "h1", "h2", "li"):
+                self.flush()
+                self.open = []
+            elif tag == "br" and self.open is not None:
+                self.open.append(" ")
+
+        def handle_endtag(self, tag):
+            self.depth -= tag == "article"
+            if tag in ("p", "h1", "h2", "li", "article"):
+                self.flush()
+
+        def flush(self):
+            if self.open is not None:
+                self.out.append(" ".join("".join(self.open).split()))
+            self.open = None
+
+        def handle_data(self, data):
+            if self.open is not None:
+                self.open.append(data)
+
+    reader = Reader()
+    reader.feed(page)
+    return "\n\n".join(x for x in reader.out if x)
+
+
+def test_given_pages_against_the_library_parser(spark):
+    for sf in ("sf0.001", "sf0.01"):
+        pages = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet")
+        texts = {r.page_id: r.text for r in extract(pages).collect()}
+        assert texts == {r.page_id: plain_article(r.html) for r in pages.collect()}
+
+
 def test_no_recursion_and_no_cap():
     deep = "<div>" * 5000 + "<p>deep, text</p>" + "</div>" * 5000
     assert main_text(deep) == "deep, text"

@@ -1,8 +1,12 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a small tree of elements. Page furniture goes first: scripts,
-styles, forms, navigation, asides, footers, page headers, and elements whose
-class, id or role says advert, menu, comment, notice and the like. Every
+styles, forms, navigation, asides, footers, page headers, and blocks *named* as
+advert, menu, comment, notice and the like: a class, id or role whose words are
+all such words or neutral ones (``related-posts``, ``userComments``,
+``site-header``; not ``no-sidebar``, ``elementor-widget`` or ``social-science``). A
+name never removes what holds an article or main element, nor, where most of the
+text would go with named blocks, the way up from the best container. Every
 paragraph then passes points (one per comma, one per hundred characters) to
 its parent, half to its grandparent, a third to the next, and so on; a
 container's sum is discounted by its link density (share of its text inside
@@ -44,6 +48,11 @@ JUNK = frozenset("ad ads adv advert adverts advertisement advertising adsense ad
                  "newsletter subscribe subscription signup share sharing social related recommended recommendations widget "
                  "widgets toolbar pagination pager login masthead outbrain taboola contentinfo complementary "
                  "alert alertdialog search skip".split())
+COMMENTS = frozenset("comment comments commentlist disqus replies respond".split())
+# words that change nothing about what a name says
+NEUTRAL = frozenset("site page main top bottom left right primary secondary global sticky mobile user list box block bar container "
+                    "wrapper wrap section area slot unit link links button buttons form post posts articles story stories item items "
+                    "inner outer header title bar row column group reader readers visitor discussion thread tree".split())
 CONTAINERS = frozenset("# body main article section div".split())  # their direct text is scored as their own paragraph
 KEEP = frozenset("html body article main".split())
 CLOSES_P = BLOCK - {"html", "body", "tbody", "thead", "tfoot", "tr", "caption", "legend"}
@@ -55,14 +64,15 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-_TOKEN = re.compile(r"[a-z0-9]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+REST = 0.25  # share of the text that must be left without named blocks
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "junk", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "junk", "named", "points", "chars", "linked")
 
-    def __init__(self, tag: str, parent=None, junk: bool = False):
-        self.tag, self.parent, self.children, self.junk = tag, parent, [], junk
+    def __init__(self, tag: str, parent=None, junk: bool = False, named: str = ""):
+        self.tag, self.parent, self.children, self.junk, self.named = tag, parent, [], junk, named
         self.points, self.chars, self.linked = 0.0, 0, 0
 
     def inside(self, tags) -> "Element | None":
@@ -72,25 +82,75 @@ class Element:
         return e
 
 
-def is_junk(tag: str, attributes: str, parent: Element) -> bool:
+def says(name: str, words: frozenset) -> bool:
+    """Whether a class name consists of some of ``words``, and neutral words and numbers."""
+    found = [w.lower() for w in _WORD.findall(name)]
+    return any(w in words for w in found) and all(w in words or w in NEUTRAL or w.isdigit() for w in found)
+
+
+def is_junk(tag: str, attributes: str, parent: Element) -> tuple[bool, str]:
+    """Whether an element is furniture or hidden, and what beside the article it is named as: comments, other or nothing."""
     if tag in FURNITURE:
-        return True
-    if tag in KEEP:
-        return False
+        return True, ""
     in_article = parent.inside(("article", "main")) is not None
     if tag == "header" and not in_article:
-        return True
+        return True, ""
+    words = COMMENTS if tag in KEEP else JUNK if in_article else JUNK | {"header"}
+    named = ""
     for name, a, b, c in _ATTR.findall(attributes) if attributes.strip() else ():
         name, value = name.lower(), a or b or c
         if name in ("class", "id", "role"):
-            tokens = set(_TOKEN.findall(unescape(value).lower()))
-            if tokens & JUNK or not in_article and "header" in tokens:
-                return True
+            for n in unescape(value).split() if tag not in ("html", "body", "main") else ():
+                if says(n, words):
+                    named = "comments" if named == "comments" or says(n, COMMENTS) else "other"
+        elif tag in KEEP:
+            continue
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, ""
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
-            return True
-    return False
+            return True, ""
+    return False, named
+
+
+def _in_comments(e: Element) -> bool:
+    while e is not None and e.named != "comments":
+        e = e.parent
+    return e is not None
+
+
+def inner(e: Element):
+    """The elements below, parents first."""
+    stack = [c for c in e.children if not isinstance(c, str)]
+    while stack:
+        c = stack.pop()
+        yield c
+        stack.extend(d for d in c.children if not isinstance(d, str))
+
+
+def settle(root: Element) -> None:
+    """Decides which names count, and marks all that lies in junk."""
+    elements = list(inner(root))
+    for e in elements:  # furniture covers what it holds
+        e.junk = e.junk or e.parent.junk
+    for e in elements:
+        if e.tag in ("article", "main") and not e.junk and not e.named and not _in_comments(e):
+            up = e.parent
+            while up is not None:
+                up.named, up = "", up.parent
+    if any(e.named for e in elements):
+        best = score(root)
+        total, left, stack = best.chars and root.chars if best is not None else 0, 0, [root]
+        while stack:
+            e = stack.pop()
+            left += len(" ".join("".join(c for c in e.children if isinstance(c, str)).split()))
+            stack.extend(c for c in e.children if not isinstance(c, str) and not c.junk and not c.named)
+        if total and left < REST * total:
+            while best is not None:
+                best.named, best = "", best.parent
+    for e in elements:
+        e.junk = e.junk or e.named != "" or e.parent.junk
+    for e in (root, *elements):
+        e.points = 0.0
 
 
 def parse(page: str) -> Element:
@@ -143,7 +203,7 @@ def parse(page: str) -> Element:
             close = page.find(">", at)
             at = len(page) if close < 0 else close + 1
             continue
-        e = Element(tag, node, node.junk or is_junk(tag, m[3], node))
+        e = Element(tag, node, *is_junk(tag, m[3], node))
         node.children.append(e)
         if not m[3].endswith("/") or tag in BLOCK:
             node = e
@@ -203,7 +263,16 @@ def weighed(e: Element) -> float:
 
 def kept_parts(best: Element) -> list[Element]:
     """The article around the best container, or the page less what is mostly links beside the way up to its root."""
-    around = best.inside(("article",)) or best.inside(("main",))
+    around = best.inside(("article",))
+    if around is not None:
+        while (outer := around.parent.inside(("article",))) is not None:
+            around = outer
+        scope = around.inside(("main",)) or around.parent
+        found = [e for e in inner(scope) if e.tag == "article" and not e.junk and e.parent.inside(("article",)) is None
+                 and (e is around or e.parent is around.parent or scope.tag == "main") and (e is around or e.linked <= 0.5 * e.chars)]
+        place = {id(e): i for i, e in enumerate(_in_page_order(scope))}
+        return sorted(found, key=lambda e: place[id(e)])
+    around = best.inside(("main",))
     if around is not None:
         return [around]
     e = best
@@ -213,6 +282,14 @@ def kept_parts(best: Element) -> list[Element]:
     return [e]
 
 
+def _in_page_order(e: Element):
+    stack = [e]
+    while stack:
+        c = stack.pop()
+        yield c
+        stack.extend(d for d in reversed(c.children) if not isinstance(d, str))
+
+
 def beside(way: Element) -> list:
     """The children of the parent of ``way``: blocks of links are emptied, stretches of inline links left out."""
     out, run = [], []
@@ -269,6 +346,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    settle(root)
     best = score(root)
     return "\n\n".join(blocks(kept_parts(best))) if best is not None else ""
 
