@@ -44,6 +44,26 @@ def identity_risk(silver: DataFrame) -> DataFrame:
         "without_imo > 0")
 
 
+def imo_number(imo: Column) -> Column:
+    """The seven digits of a well-formed IMO number with the right check digit, else null.
+
+    The first six digits, weighted 7 down to 2, sum to a number that ends in the
+    seventh. The prefix and blanks around it are optional.
+    """
+    digits = F.regexp_extract(F.upper(F.trim(imo)), r"^(?:IMO)?\s*([0-9]{7})$", 1)
+    weighted = sum((F.substring(digits, i + 1, 1).cast("int") * (7 - i) for i in range(6)), F.lit(0))
+    return F.when((digits != "") & (digits != "0000000") & (weighted % 10 == F.substring(digits, 7, 1).cast("int")), digits)
+
+
+def identity_check(silver: DataFrame) -> DataFrame:
+    """Vessels by what is wrong with their IMO numbers: none given, or one that cannot be right; and how many right ones they used."""
+    imo = F.col("imo")
+    return silver.groupBy("mmsi").agg(
+        F.count("*").alias("pings"), F.count_if(no_imo(imo)).alias("without_imo"),
+        F.count_if(~no_imo(imo) & imo_number(imo).isNull()).alias("false_imo"), F.count_distinct(imo_number(imo)).alias("numbers_used")).where(
+        "without_imo > 0 or false_imo > 0 or numbers_used > 1")
+
+
 def tanker_on_class_b(silver: DataFrame) -> DataFrame:
     """Tanker types on a class B transceiver."""
     return silver.where(F.col("vessel_type").between(*TANKERS) & (F.col("transceiver") == "B")).select(
@@ -72,6 +92,36 @@ def cargo_against_type(silver: DataFrame) -> DataFrame:
     return silver.where(F.floor(F.col("cargo") / 10) != F.floor(F.col("vessel_type") / 10)).select(*PING, "vessel_type", "cargo")
 
 
+def code_table(spark) -> DataFrame:
+    """Type and cargo codes 20 to 99: their kind, and the hazard category where the code names one.
+
+    Fixed values: the decades 30 and 50 hold a kind of vessel per code. In the
+    others the decade is the kind and the second digit 1 to 4 a hazard category;
+    0 and 5 to 9 say nothing about it. Other codes are not in use.
+    """
+    code = F.col("id").cast("int")
+    decade, digit = F.floor(code / 10), code % 10
+    return spark.range(20, 100).select(
+        code.alias("code"), F.when(decade.isin(3, 5), code).otherwise(decade * 10).cast("int").alias("kind"),
+        F.when(~decade.isin(3, 5) & digit.between(1, 4), digit).alias("hazard"))
+
+
+def cargo_conflicts(silver: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """Pings whose cargo code does not go with the vessel type, by a table of codes: another kind, or another hazard category.
+
+    A code that the table lacks is reported as such (verdict ``unknown code``).
+    The table is broadcast after a check of its size.
+    """
+    codes = maybe_broadcast(codes if codes is not None else code_table(silver.sparkSession))
+    of = lambda side: codes.select(F.col("code").alias(f"{side}_code"), F.col("kind").alias(f"{side}_kind"), F.col("hazard").alias(f"{side}_hazard"))
+    both = (silver.where("cargo is not null and vessel_type is not null").select(*PING, "vessel_type", "cargo")
+            .join(of("type"), F.col("vessel_type") == F.col("type_code"), "left").join(of("cargo"), F.col("cargo") == F.col("cargo_code"), "left"))
+    verdict = (F.when(F.col("type_code").isNull() | F.col("cargo_code").isNull(), "unknown code")
+               .when(F.col("type_kind") != F.col("cargo_kind"), "other kind")
+               .when(F.col("type_hazard") != F.col("cargo_hazard"), "other hazard"))
+    return both.select(*PING, "vessel_type", "cargo", verdict.alias("verdict")).where("verdict is not null")
+
+
 def cell(lat: Column, lon: Column, size: float) -> list[Column]:
     return [F.floor(lat / F.lit(size)).cast("int").alias("cell_lat"), F.floor(lon / F.lit(size)).cast("int").alias("cell_lon")]
 
@@ -101,6 +151,13 @@ def sanctions_by_imo(silver: DataFrame, sanctions: DataFrame) -> DataFrame:
     return vessels.join(maybe_broadcast(entries), "imo_key")
 
 
+def sanctions_by_checked_imo(silver: DataFrame, sanctions: DataFrame) -> DataFrame:
+    """Vessels whose IMO number, right by its check digit, is on a sanctions entry. Other numbers join nothing."""
+    vessels = silver.select("mmsi", imo_number(F.col("imo")).alias("imo")).where("imo is not null").distinct()
+    entries = sanctions.select(imo_number(F.col("imo_number")).alias("imo"), "entity_id", "entity_name").where("imo is not null")
+    return vessels.join(maybe_broadcast(entries), "imo")
+
+
 def two_tier_ranking(scores: DataFrame, score: str, n: int = 20) -> DataFrame:
     """Confirmed sanctions first, then behaviour; the first ``n`` (a top-n report)."""
     return scores.orderBy(F.col("is_sanctioned").desc_nulls_last(), F.col(score).desc_nulls_last(), F.col("mmsi")).limit(n)

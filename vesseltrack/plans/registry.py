@@ -278,8 +278,8 @@ FROM ev GROUP BY mmsi, event_date""",
 
 
 def _merge() -> None:
-    from vesseltrack.plans import registry_control, registry_extensions, registry_landing, registry_live, registry_model
-    for mod in (registry_control, registry_extensions, registry_landing, registry_live, registry_model):
+    from vesseltrack.plans import registry_control, registry_extensions, registry_landing, registry_live, registry_model, registry_situations
+    for mod in (registry_control, registry_extensions, registry_landing, registry_live, registry_model, registry_situations):
         QUERIES.update(mod.QUERIES)
         ORACLE.update(mod.ORACLE)
 
