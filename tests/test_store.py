@@ -148,3 +148,71 @@ def test_scratch_tables_are_dropped(spark):
         assert spark.catalog.tableExists(name)
     assert not spark.catalog.tableExists(name)
     assert SCRATCH_DB in [d.name for d in spark.catalog.listDatabases()]
+
+
+def _watched(spark, monkeypatch, look):
+    """Every statement is followed by a look at the table."""
+    run, seen = type(spark).sql, []
+
+    def sql(self, text, *a, **k):
+        out = run(self, text, *a, **k)
+        if text.startswith(("ALTER", "CREATE", "DROP")):
+            seen.append((text.split("(")[0][:40], look()))
+        return out
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    return seen
+
+
+def test_a_window_changes_over_in_one_statement(spark, monkeypatch):
+    t = _t("atomic")
+    old = [(i, D[i]) for i in range(7)]
+    store.replace_window(spark, _rows(spark, old), t, D[0], D[6])
+    new = [(0, D[0]), (11, D[1]), (12, D[2]), (13, D[2]), (5, D[5]), (6, D[6])]  # day 2 to 5: two days change, two end empty
+    new.sort()
+    seen = _watched(spark, monkeypatch, lambda: tuple(sorted((r["v"], r["event_date"]) for r in spark.read.table(t).collect())))
+    store.replace_window(spark, _rows(spark, [x for x in new if D[1] <= x[1] <= D[4]]), t, D[1], D[4])
+    states = [s for _, s in seen]
+    assert len(states) >= 2 and set(states) == {tuple(old), tuple(new)}
+    switch = states.index(tuple(new))
+    assert seen[switch][0].startswith("ALTER VIEW") and all(s == tuple(old) for s in states[:switch]) and all(s == tuple(new) for s in states[switch:])
+
+
+def test_a_reader_keeps_its_version_and_old_ones_are_removed(spark):
+    t = _t("versions")
+    store.replace_window(spark, _rows(spark, [(1, D[0]), (2, D[1])]), t, D[0], D[1])
+    reader = spark.table(t)
+    store.replace_window(spark, _rows(spark, [(20, D[1])]), t, D[1], D[1])
+    assert sorted(r["v"] for r in reader.collect()) == [1, 2]  # planned on the view of before
+    assert _state(spark, t) == [(1, D[0]), (20, D[1])]
+    for v in (30, 40, 50):
+        store.replace_window(spark, _rows(spark, [(v, D[1])]), t, D[1], D[1])
+    assert _state(spark, t) == [(1, D[0]), (50, D[1])]
+    assert len([n for n in _files_below(spark, t) if n.startswith("_stage-")]) == 3  # the first day's, the last two of the second
+    assert store.partition_values(spark, t, ["event_date"]) == {(str(D[0]),), (str(D[1]),)}
+    store.overwrite_table(spark, _rows(spark, [(7, D[3]), (8, None)]), t, "event_date")
+    assert sorted(r["v"] for r in spark.table(t).collect()) == [7, 8]
+    store.replace_window(spark, _rows(spark, [(9, D[3])]), t, D[3], D[4])
+    assert sorted(r["v"] for r in spark.table(t).collect()) == [8, 9]  # a row without a day is in no window
+    wider = _rows(spark, [(1, D[0])]).selectExpr("v", "'x' as name", "event_date")
+    store.overwrite_table(spark, wider, t, "event_date")
+    assert spark.table(t).columns == ["v", "name", "event_date"] and spark.table(t).count() == 1
+
+
+def test_only_the_asked_days_are_read(spark):
+    t = _t("pruned")
+    store.replace_window(spark, _rows(spark, [(i, D[i]) for i in range(7)]), t, D[0], D[6])
+    store.replace_window(spark, _rows(spark, [(30, D[3])]), t, D[3], D[3])
+    day = spark.table(t).where(f"event_date = DATE'{D[3]}'")
+    assert [r["v"] for r in day.collect()] == [30]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(day.inputFiles()) <= 2 + len(spark.table(t).inputFiles())
+
+
+def test_stretches_of_days():
+    from vesseltrack.plans.versions import without
+    assert without([["2024-01-01", "2024-01-07"]], D[2], D[4]) == [["2024-01-01", "2024-01-02"], ["2024-01-06", "2024-01-07"]]
+    assert without([[None, None]], D[0], D[0]) == [[None, "2023-12-31"], ["2024-01-02", None]]
+    assert without([["2024-01-02", "2024-01-03"]], D[0], D[6]) == []
+    assert without([["2024-01-02", "2024-01-03"]], D[4], D[6]) == [["2024-01-02", "2024-01-03"]]

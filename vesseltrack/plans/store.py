@@ -6,15 +6,16 @@ steps: *stage* (the new rows are written once, to a folder of their own inside
 the table's root), *verify* (checks ride along with that write as observed
 metrics; on any failure the staged folder is removed and the table is as it
 was), *switch* (metadata only: ``SET LOCATION`` of the table or of a partition
-to the staged folder). Readers see the old rows or the new ones; a window whose
-days all exist is never empty in between. The watermark moves last, so a run
-that dies between two switches is repeated for the same window.
+to the staged folder). Readers see the old rows or the new ones. Tables of days
+change over in one statement, whatever the number of days (``versions``). The
+watermark moves last, so a run that dies between two tables is repeated for the
+same window.
 """
 
 from __future__ import annotations
 
 import uuid
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,9 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 def _root(spark: SparkSession, table: str) -> str:
     """The table's own folder, whatever version of it is current."""
+    from vesseltrack.plans import versions
+    if versions.is_view(spark, table):
+        table = versions.data_table(spark, table)
     where = table_location(spark, table)
     parent, _, name = where.rpartition("/")
     return parent if name.startswith("_v-") else where
@@ -95,6 +99,10 @@ def _same_columns(spark: SparkSession, df: DataFrame, table: str) -> bool:
 def partition_values(spark: SparkSession, table: str, columns: list[str]) -> set[tuple]:
     """Values of the table's partitions, from the catalog; no data is read."""
     from urllib.parse import unquote
+
+    from vesseltrack.plans import versions
+    if versions.is_view(spark, table):
+        return versions.days_of(spark, table)
     found = set()
     for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
         pairs = dict(part.split("=", 1) for part in r[0].split("/"))
@@ -136,14 +144,17 @@ def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
 
     The old rows stay readable until the new ones are written in full. The
     version before the one replaced is removed, the replaced one is kept for
-    readers that are still on it.
+    readers that are still on it. With ``partition_by`` (a column of days) the
+    table is a view over versioned days (``versions``).
     """
+    from vesseltrack.plans import versions
     ensure_namespace(spark, table)
-    parts = [partition_by] if partition_by else []
+    if partition_by:
+        return versions.change(spark, df, table, partition_by, None, ([], lambda found: None))
     if spark.catalog.tableExists(table) and not _same_columns(spark, df, table):
         # other columns: the new rows are complete in a table of their own before the old one goes
         fresh = f"{table}_new_{uuid.uuid4().hex[:8]}"
-        rows = overwrite_table(spark, df, fresh, partition_by)
+        rows = overwrite_table(spark, df, fresh)
         roots = _root(spark, table), _root(spark, fresh)
         spark.sql(f"DROP TABLE {table}")
         _remove(spark, roots[0])
@@ -152,29 +163,23 @@ def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
             _remove(spark, roots[1])
         return rows
     if not spark.catalog.tableExists(table):
-        _create_empty(spark, df, table, parts)
+        _create_empty(spark, df, table, [])
     root = _root(spark, table)
     stage = f"{root}/_v-{uuid.uuid4().hex}"
     df, obs = counted(df.select(*spark.table(table).columns))
-    if parts:
-        df = df.observe(days := Observation("days"), F.collect_set(F.struct(*[F.col(c).cast("string") for c in parts])).alias("days"))
     try:
-        (df.write.format("parquet").partitionBy(*parts) if parts else df.write.format("parquet")).save(stage)
+        df.write.format("parquet").save(stage)
     except Exception:
         _remove(spark, stage)
         raise
-    if parts:
-        staged = _staged_partitions(spark, stage, parts, days.get["days"])
-        _switch_partitions(spark, table, parts, staged, partition_values(spark, table, parts))
-    else:
-        before = table_location(spark, table)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(stage)}")
-        spark.catalog.refreshTable(table)
-        fs, p = _fs(spark, root)
-        for old in fs.listStatus(p):
-            path = old.getPath()
-            if path.getName().startswith("_v-") and path.getName() not in (stage.rpartition("/")[2], before.rpartition("/")[2]):
-                fs.delete(path, True)
+    before = table_location(spark, table)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(stage)}")
+    spark.catalog.refreshTable(table)
+    fs, p = _fs(spark, root)
+    for old in fs.listStatus(p):
+        path = old.getPath()
+        if path.getName().startswith("_v-") and path.getName() not in (stage.rpartition("/")[2], before.rpartition("/")[2]):
+            fs.delete(path, True)
     return obs.get["rows"]
 
 
@@ -182,36 +187,22 @@ def replace_window(spark: SparkSession, df: DataFrame, table: str, start, end,
                    partition_col: str = "event_date") -> int:
     """K4: make the table's rows with ``partition_col`` in [start, end] equal ``df``.
 
-    Every row is checked to be inside the window while it is staged. Days that
-    had rows and have new ones change over in place, new days are attached,
-    days without new rows are dropped last; days outside the window are
-    untouched, and a failed check or write leaves the table as it was. On first
-    use an empty partitioned table is created from ``df``'s schema.
+    Every row is checked to be inside the window while it is staged; a failed
+    check or write leaves the table as it was. Then all days of the window change
+    over in one statement, those without new rows included; other days are
+    untouched. On first use an empty table is created from ``df``'s schema.
     """
+    from vesseltrack.plans import versions
     start = start if isinstance(start, date) else date.fromisoformat(str(start))
     end = end if isinstance(end, date) else date.fromisoformat(str(end))
-    ensure_namespace(spark, table)
-    if not spark.catalog.tableExists(table):
-        _create_empty(spark, df, table, [partition_col])
-    stage = f"{_root(spark, table)}/_stage-{uuid.uuid4().hex}"
-    # the checks ride along with the single write as observed metrics
     key = F.col(partition_col)
-    obs = Observation("replace-window")
-    observed = df.observe(
-        obs, F.count(F.lit(1)).alias("rows"),
-        F.count_if(key.isNull() | ~key.between(F.lit(start), F.lit(end))).alias("outside"),
-        F.collect_set(F.struct(key.cast("string"))).alias("days"))
-    try:
-        observed.write.format("parquet").partitionBy(partition_col).save(stage)
-        m = obs.get
-        if m["outside"]:
+
+    def judge(found) -> None:
+        if found["outside"]:
             raise ValueError(f"rows outside [{start}, {end}] in the result for {table}")
-    except Exception:
-        _remove(spark, stage)
-        raise
-    window = {((start + timedelta(days=i)).isoformat(),) for i in range((end - start).days + 1)}
-    _switch_partitions(spark, table, [partition_col], _staged_partitions(spark, stage, [partition_col], m["days"]), window)
-    return m["rows"]
+
+    outside = F.count_if(key.isNull() | ~key.between(F.lit(start), F.lit(end))).alias("outside")
+    return versions.change(spark, df, table, partition_col, (start, end), ([outside], judge))
 
 
 def replace_files(spark: SparkSession, df: DataFrame, table: str, files: list[str],
