@@ -90,3 +90,75 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(7, 7)]
     got = {r.node: r.root for r in N.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{x: 100 for x in range(100, 160)}}
+
+
+def parts_of(links, m):
+    root = list(range(m))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in links:
+        assert find(i) != find(j)  # a forest
+        root[find(j)] = find(i)
+    return {frozenset(x for x in range(m) if find(x) == r) for r in {find(x) for x in range(m)}}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**32), st.integers(1, 60), st.sampled_from([1, 50, 4_000_000]))
+def test_links_within_a_task_against_all_pairs(seed, m, budget):
+    rng = np.random.default_rng(seed)
+    template = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    sets = []
+    for _ in range(m):
+        a = template[:rng.integers(1, 41)].copy()
+        a[rng.random(len(a)) < rng.choice((0.0, 0.05, 0.2, 0.5))] = rng.integers(0, 30)
+        sets.append(np.unique(a))
+    want = [(i, j) for i in range(m) for j in range(i) if
+            100 * (c := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - c)]
+    joined = []  # a forest of all links
+    root = {i: i for i in range(m)}
+    for i, j in want:
+        a, b = i, j
+        while root[a] != a:
+            a = root[a]
+        while root[b] != b:
+            b = root[b]
+        if a != b:
+            root[a] = b
+            joined.append((i, j))
+    got = N.similar_links(np.array([len(s) for s in sets]), np.concatenate(sets), 80, budget)
+    assert parts_of(got, m) == parts_of(joined, m)
+
+
+def test_fifty_thousand_near_copies_in_one_task_within_a_minute():
+    import time
+    rng = np.random.default_rng(1)
+    m, n = 50_000, 20
+    template = rng.integers(0, 2**63, n, dtype=np.uint64)
+    sets = np.tile(template, (m, 1))
+    sets[np.arange(m), rng.integers(0, n, m)] = rng.integers(0, 2**63, m, dtype=np.uint64)  # each differs in a place of its own
+    others = rng.integers(0, 2**63, (2000, n), dtype=np.uint64)
+    others[:, :10] = template[:10]  # share half of it: under the same pivot, but not similar
+    began = time.time()
+    links = N.similar_links(np.full(m + 2000, n), np.concatenate((sets.ravel(), others.ravel())), 80)
+    assert time.time() - began < 60
+    assert len(links) == m - 1 and {x for link in links for x in link} == set(range(m))
+
+
+def test_many_buckets_to_a_partition(spark, monkeypatch):
+    texts = near_copies(11, 20)
+    monkeypatch.setattr(N, "BUCKET_SHINGLES", 40)
+    monkeypatch.setattr(N, "BLOCK_SIGNATURES", 500)
+    docs = N.materialize(documents(spark, texts), "t")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in N.jaccard_components(docs).collect()}
+    assert got == jaccard_components(list(enumerate(texts)))
+
+
+def test_columns_that_have_no_hash(spark):
+    docs = documents(spark, ["a b c d e f", "a b c d e f", "other words here"]).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id"))).withColumn(
+        "a", F.array(F.struct(F.create_map(F.lit(1), F.lit("x")).alias("in"))))
+    kept = N.keep_one_each(docs.unionAll(docs))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2] and kept.columns == docs.columns

@@ -9,8 +9,9 @@
    signatures of two nodes or more and tells each block their smallest node,
    the *pivot*; the block, brought to the same partitions by the same exchange,
    then lists its own nodes under the pivots.
-3. *Verification*: all sets under a pivot meet in a task, which counts the
-   shingles they share with an inverted index and links those similar enough.
+3. *Verification*: all sets under a pivot meet in a task, which grows components
+   from an inverted index of rare shingles and compares a set only while it is
+   in none.
    Two sets with a common signature are both under its pivot, so no link is
    lost. Where the sets under one pivot have more than ``group_shingles``
    shingles they are dealt into chunks and every pair of chunks is a task.
@@ -42,6 +43,7 @@ from .shingles import shingles
 
 PERCENT = 80
 BLOCK_SIGNATURES = 2_000_000
+BUCKET_SHINGLES = 2_000_000
 GROUP_SHINGLES = 1_000_000
 BROADCAST_NODES = 1_000_000
 SPACES = " \t\n\x0b\x0c\r"  # between words, as shingles() splits
@@ -141,37 +143,43 @@ def _signature_blocks(docs: DataFrame, percent: int, seed: int, buckets: int) ->
 
 
 def _pivots(blocks: DataFrame) -> DataFrame:
-    """Per block and bucket: the places of shared signatures in the block's list and their pivots."""
+    """Per block and bucket: the places of shared signatures in the block's list and their pivots. ``blocks`` are sorted by route."""
+    def of_bucket(bucket, rows):
+        sigs, nodes, many, source, place = [], [], [], [], []
+        for i, (_, a, b, c) in enumerate(rows):
+            s, at = np.cumsum(_unpack64(a), dtype=np.uint64), unpack(b)
+            sigs.append(s)
+            nodes.append(_unpack64(c).view(np.int64)[at >> 1])
+            many.append((at & 1).astype(bool))
+            source.append(np.full(len(s), i))
+            place.append(np.arange(len(s)))
+        sig = np.concatenate(sigs)
+        by = np.argsort(sig, kind="stable")
+        start, length = _runs(sig[by])
+        node, many = np.concatenate(nodes)[by], np.concatenate(many)[by]
+        low = np.minimum.reduceat(node, start)
+        shared = (low != np.maximum.reduceat(node, start)) | np.logical_or.reduceat(many, start)
+        keep = np.repeat(shared, length)
+        src, plc, piv = np.concatenate(source)[by][keep], np.concatenate(place)[by][keep], np.repeat(low, length)[keep]
+        for i in np.unique(src):
+            mine = src == i
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([rows[i][0]], type=pa.int64()), pa.array([bucket], type=pa.int64()),
+                 pa.array([pack(plc[mine])], type=pa.binary()), pa.array([_pack64(piv[mine])], type=pa.binary())],
+                ["route", "bucket", "places", "pivots"])
+
     def run(batches):
-        held: dict[int, list] = {}
+        route, held = None, []  # one bucket at a time
         for b in batches:
             for r in b.to_pylist():
-                if r["route"] < 0:
-                    held.setdefault(-1 - r["route"], []).append((r["block"], r["a"], r["b"], r["c"]))
-        for bucket in sorted(held):
-            rows = held.pop(bucket)
-            sigs, nodes, many, source, place = [], [], [], [], []
-            for i, (_, a, b, c) in enumerate(rows):
-                s, at = np.cumsum(_unpack64(a), dtype=np.uint64), unpack(b)
-                sigs.append(s)
-                nodes.append(_unpack64(c).view(np.int64)[at >> 1])
-                many.append((at & 1).astype(bool))
-                source.append(np.full(len(s), i))
-                place.append(np.arange(len(s)))
-            sig = np.concatenate(sigs)
-            by = np.argsort(sig, kind="stable")
-            start, length = _runs(sig[by])
-            node, many = np.concatenate(nodes)[by], np.concatenate(many)[by]
-            low = np.minimum.reduceat(node, start)
-            shared = (low != np.maximum.reduceat(node, start)) | np.logical_or.reduceat(many, start)
-            keep = np.repeat(shared, length)
-            src, plc, piv = np.concatenate(source)[by][keep], np.concatenate(place)[by][keep], np.repeat(low, length)[keep]
-            for i in np.unique(src):
-                mine = src == i
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([rows[i][0]], type=pa.int64()), pa.array([bucket], type=pa.int64()),
-                     pa.array([pack(plc[mine])], type=pa.binary()), pa.array([_pack64(piv[mine])], type=pa.binary())],
-                    ["route", "bucket", "places", "pivots"])
+                if held and r["route"] != route:
+                    yield from of_bucket(-1 - route, held)
+                    held = []
+                route = r["route"]
+                if route < 0:
+                    held.append((r["block"], r["a"], r["b"], r["c"]))
+        if held:
+            yield from of_bucket(-1 - route, held)
 
     return map_arrow(blocks, run, "route bigint, bucket bigint, places binary, pivots binary")
 
@@ -199,54 +207,99 @@ def _members(joined: DataFrame) -> DataFrame:
     return map_arrow(joined, run, "pivot bigint, node bigint")
 
 
-def candidate_groups(docs: DataFrame, percent: int, seed: int) -> DataFrame:
-    """pivot, node: nodes that share a signature are under a common pivot (which is under itself)."""
+def candidate_groups(docs: DataFrame, percent: int, seed: int, shingles_in_all: int = 0) -> DataFrame:
+    """pivot, node: nodes that share a signature are under a common pivot (which is under itself).
+
+    The buckets follow the number of shingles, so one bucket's signatures fit a
+    task whatever the input; a task goes through its buckets one by one.
+    """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = _signature_blocks(docs, percent, seed, parts).repartition(parts, "route")
-    found = _pivots(blocks).groupBy("route").agg(F.collect_list(F.struct("bucket", "places", "pivots")).alias("parts"))
+    buckets = max(parts, -(-shingles_in_all // BUCKET_SHINGLES))
+    blocks = _signature_blocks(docs, percent, seed, buckets).repartition(parts, "route")
+    found = _pivots(blocks.sortWithinPartitions("route")).groupBy("route").agg(F.collect_list(F.struct("bucket", "places", "pivots")).alias("parts"))
     # both uses of ``blocks`` read all of its columns and rows, so that one exchange serves both
     return _members(blocks.join(found, "route", "left")).distinct()
 
 
 def similar_links(sizes: np.ndarray, elements: np.ndarray, percent: int, budget: int = 4_000_000):
-    """(i, j) of a forest that joins all sets whose similarity reaches the percentage."""
+    """(i, j) of a forest that joins all sets whose similarity reaches the percentage.
+
+    Rare elements come first in a set; two similar sets share one of the first
+    ``size * (100 - percent) // 100 + 1`` of either, so only those are indexed. A
+    component grows from one set: the sets still free that share such an element
+    are compared, the similar ones join and are asked in their turn. What has
+    joined is never compared again and leaves the index once the entries read in
+    vain outnumber it; with no set left free the rest need not be asked.
+    """
     m = len(sizes)
     owner = np.repeat(np.arange(m), sizes)
     by = np.argsort(elements, kind="stable")
     start, length = _runs(elements[by])
+    rank = np.empty(len(start), dtype=np.int64)
+    rank[np.argsort(length, kind="stable")] = np.arange(len(start))
     number = np.empty(len(elements), dtype=np.int64)
-    number[by] = np.repeat(np.arange(len(start)), length)
-    posting = owner[by]  # ascending within an element
+    number[by] = np.repeat(rank, length)
+    number = number[np.lexsort((number, owner))]  # rare first within a set
     first = np.cumsum(sizes) - sizes
-    root = list(range(m))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    out = []
-    for i in range(m):
-        mine = number[first[i]:first[i] + sizes[i]]
-        mine = mine[length[mine] > 1]
-        common = np.zeros(m, dtype=np.int64)
-        n = length[mine]
-        ends = np.cumsum(n)
-        lo = 0
-        while lo < len(mine):  # the postings of a set in bounded parts
+    head = sizes * (100 - percent) // 100 + 1
+    heads = np.flatnonzero(np.arange(len(elements)) - np.repeat(first, sizes) < np.repeat(head, sizes))
+
+    def index(free):
+        at = heads[free[owner[heads]]]
+        at = at[np.argsort(number[at], kind="stable")]
+        return np.append(0, np.cumsum(np.bincount(number[at], minlength=len(start)))), owner[at]
+
+    def rows(begin, n):
+        return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+    def parts(n):
+        """Slices of about ``budget`` rows."""
+        ends, lo = np.cumsum(n), 0
+        while lo < len(n):
             hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + budget, side="right")))
-            k = n[lo:hi]
-            rows = np.repeat(start[mine[lo:hi]] - (np.cumsum(k) - k), k) + np.arange(k.sum())
-            common += np.bincount(posting[rows], minlength=m)
+            yield slice(lo, hi)
             lo = hi
-        like = np.flatnonzero(100 * common >= percent * (sizes + sizes[i] - common))
-        for j in like[like > i].tolist():
-            a, b = find(i), find(j)
-            if a != b:
-                root[b] = a
-                out.append((i, j))
-    return out
+
+    free, left, mark, links = np.ones(m, dtype=bool), m, np.zeros(len(start), dtype=bool), []
+    begin, holder = index(free)
+    vain = 0
+    for seed in range(m):
+        if not free[seed]:
+            continue
+        free[seed], left, queue = False, left - 1, [seed]
+        while queue and left:
+            i = queue.pop()
+            mine = number[first[i]:first[i] + sizes[i]]
+            near = mine[:head[i]]
+            n = begin[near + 1] - begin[near]
+            seen = np.zeros(m, dtype=bool) if n.sum() > m else None
+            some = []
+            for part in parts(n):
+                them = holder[rows(begin[near[part]], n[part])]
+                vain += len(them)
+                them = them[free[them]]
+                vain -= len(them)
+                if seen is not None:
+                    seen[them] = True
+                else:
+                    some.append(them)
+            them = np.flatnonzero(seen) if seen is not None else np.unique(np.concatenate(some))
+            them = them[(100 * sizes[them] >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes[them])]
+            mark[mine] = True
+            for part in parts(sizes[them]):
+                some = them[part]
+                size = sizes[some]
+                common = np.add.reduceat(mark[number[rows(first[some], size)]].astype(np.int64), np.cumsum(size) - size)
+                joined = some[100 * common >= percent * (size + sizes[i] - common)]
+                free[joined] = False
+                left -= len(joined)
+                links += [(i, j) for j in joined.tolist()]
+                queue += joined.tolist()
+            mark[mine] = False
+            if vain > len(holder):
+                begin, holder = index(free)
+                vain = 0
+    return links
 
 
 def verified_links(groups: DataFrame, sets: DataFrame, percent: int, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
@@ -330,13 +383,14 @@ def linked_rows(docs: DataFrame, percent: int = PERCENT, group_shingles: int = G
     for seed in range(16):
         rows = materialize(document_sets(docs, seed), "shingle-sets")
         classes = rows.where("node is not null").groupBy("node").agg(
-            F.min("doc_id").alias("rep"), F.min("check").alias("lo"), F.max("check").alias("hi"))
+            F.min("doc_id").alias("rep"), F.min("check").alias("lo"), F.max("check").alias("hi"), F.min("n_shingles").alias("n"))
         classes = materialize(classes, "shingle-classes")
         if classes.where("lo <> hi").isEmpty():
             break
     else:
         raise ValueError("set names collide")
-    groups = materialize(candidate_groups(docs, percent, seed), "candidate-groups")
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    groups = materialize(candidate_groups(docs, percent, seed, total), "candidate-groups")
     wanted = groups.select("node").distinct()
     sets = materialize(sets_of(docs, wanted, classes, seed, broadcast_nodes), "candidate-sets")
     roots = components(verified_links(groups, sets, percent, group_shingles))
@@ -364,6 +418,12 @@ def document_key(doc_id: Column, text: Column) -> Column:
     return F.unhex(F.sha2(F.concat(named, F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), text))), 256))
 
 
+def _hashable(df: DataFrame, name: str) -> Column:
+    """A column, or its JSON where it holds a map, which has no hash."""
+    column = F.col(f"`{name}`")
+    return F.to_json(F.struct(column)) if "map<" in df.schema[name].dataType.simpleString() else column
+
+
 def keep_one_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row for each group of linked documents: that of the smallest doc_id.
 
@@ -384,7 +444,7 @@ def keep_one_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = first.unionByName(found.where("root is null").select(F.col("key").alias(keep)).distinct())
     rows = named.where(~unnamed).join(first, F.col(key) == F.col(keep), "left_semi")
     others = [c for c in docs.columns if c != "doc_id"]
-    order = Window.partitionBy(key).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in others]))
+    order = Window.partitionBy(key).orderBy(F.xxhash64(*[_hashable(docs, c) for c in others]))
     rows = rows.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1)
     columns = [f"`{c}`" for c in docs.columns]
     return rows.select(*columns).unionByName(docs.where(unnamed).select(*columns))
