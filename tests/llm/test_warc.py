@@ -78,3 +78,57 @@ def test_files_roll(spark, tmpdir_fresh):
 def test_empty_table(spark, tmpdir_fresh):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert W.round_trip(empty, f"{tmpdir_fresh}/archive").count() == 0
+
+
+def cut_archive(folder, name, keep):
+    """Two records of 300 bytes; the second one's file ends after ``keep`` of its bytes."""
+    os.makedirs(folder, exist_ok=True)
+    one, two = (W.record_bytes({"record_type": "response", "record_id": f"<urn:page:{i}>", "payload": os.urandom(300)}, "2020") for i in (1, 2))
+    data = one + two[:keep if keep >= 0 else len(two) + keep]
+    with (gzip.open if name.endswith(".gz") else open)(f"{folder}/{name}", "wb") as f:
+        f.write(data)
+    return len(two)
+
+
+@pytest.mark.parametrize("name,keep", [("a.warc", 3), ("a.warc", 40), ("a.warc", 200), ("a.warc", -100), ("a.warc", -5), ("a.warc.gz", 40), ("a.warc.gz", -100)])
+@pytest.mark.parametrize("columns", [None, ["record_type", "record_id"]])
+def test_a_cut_record_is_an_error_or_marked(spark, tmpdir_fresh, name, keep, columns):
+    cut_archive(tmpdir_fresh, name, keep)
+    with pytest.raises(Exception, match="cut off|of a block's"):
+        W.read_archive(spark, tmpdir_fresh, columns).collect()
+    assert [r.record_id for r in W.read_archive(spark, tmpdir_fresh, columns, "skip").collect()] == ["<urn:page:1>"]
+    marked = W.read_archive(spark, tmpdir_fresh, columns, "mark").collect()
+    assert sorted(r.record_type for r in marked) == ["response", "truncated"]
+    assert [r.target_uri.endswith(name) for r in W.truncated_records(spark, tmpdir_fresh).collect()] == [True]
+
+
+def test_a_cut_compressed_file(spark, tmpdir_fresh):
+    cut_archive(tmpdir_fresh, "whole.warc.gz", -1)
+    with open(f"{tmpdir_fresh}/whole.warc.gz", "rb") as f:
+        data = f.read()
+    os.remove(f"{tmpdir_fresh}/whole.warc.gz")
+    with open(f"{tmpdir_fresh}/cut.warc.gz", "wb") as f:
+        f.write(data[:len(data) // 2])
+    for columns in (None, ["record_type"]):
+        with pytest.raises(Exception, match="ended before"):
+            W.read_archive(spark, tmpdir_fresh, columns).collect()
+        assert W.read_archive(spark, tmpdir_fresh, columns, "skip").count() <= 1
+    assert W.truncated_records(spark, tmpdir_fresh).count() == 1
+
+
+def test_whole_files_have_no_cut_records(spark, pages, tmpdir_fresh):
+    W.write_archive(pages, f"{tmpdir_fresh}/a")
+    assert W.truncated_records(spark, f"{tmpdir_fresh}/a").count() == 0
+    cut_archive(f"{tmpdir_fresh}/b", "no-end.warc", -4)  # the empty lines behind the last block may be missing
+    assert W.read_archive(spark, f"{tmpdir_fresh}/b").count() == 2
+
+
+def test_bodies_in_chunks():
+    head = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n"
+    body = b"4;x=y\r\nWiki\r\n6\r\npedia \r\nE\r\nin \r\n\r\nchunks.\r\n0\r\n\r\n"
+    assert W.payload_of(head + b"\r\n" + body) == b"Wikipedia in \r\n\r\nchunks."
+    packed = gzip.compress(b"text " * 50)
+    assert W.payload_of(head + b"Content-Encoding: gzip\r\n\r\n" + b"%x\r\n" % len(packed) + packed + b"\r\n0\r\n\r\n") == b"text " * 50
+    for cut in (body[:-5], body[:20]):
+        with pytest.raises(ValueError, match="chunk"):
+            W.payload_of(head + b"\r\n" + cut)

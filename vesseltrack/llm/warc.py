@@ -15,6 +15,12 @@ the schema asks for ``payload``, else it is skipped by a seek (a gzipped
 
 Paths go through ``pyarrow.fs``: local files, HDFS and object stores alike.
 
+A record that the end of its file cuts off (in its headers, in its block, or in
+the compressed stream) is an error, whether its block is read or skipped. With
+the option ``truncated`` = ``mark`` it comes as a row of record type ``truncated``
+without a payload instead (see ``truncated_records``), with ``skip`` it is left out.
+Bodies sent in chunks are put together.
+
 Edge cases: null or empty payloads are records with an empty body; null ids,
 uris and digests leave the header out and read back as null; line breaks in a
 uri are percent-encoded; an empty table makes an archive without records.
@@ -84,10 +90,34 @@ def record_bytes(row: dict, date: str) -> bytes:
     return ("WARC/1.1\r\n" + "\r\n".join(lines) + "\r\n\r\n").encode("utf-8", "surrogatepass") + block + b"\r\n\r\n"
 
 
+def unchunked(body: bytes) -> bytes:
+    """A body sent in chunks (hexadecimal length, line end, bytes, line end; a chunk of no bytes ends it)."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        if end < 0:
+            raise ValueError("chunked body without a last chunk")
+        size = int(body[at:end].split(b";")[0], 16)
+        if size == 0:
+            return b"".join(out)
+        at = end + 2 + size
+        if at > len(body):
+            raise ValueError("chunked body cut off")
+        out.append(body[end + 2:at])
+        at += 2
+
+
 def payload_of(block: bytes) -> bytes:
-    """The body of an HTTP response block, its content encoding undone."""
+    """The body of an HTTP response block, its transfer and content encodings undone."""
     head, _, body = block.partition(b"\r\n\r\n")
-    return zlib.decompress(body, 47) if b"content-encoding: gzip" in head.lower() else body
+    fields = {n.strip().lower(): v.strip().lower() for n, _, v in (x.partition(b":") for x in head.split(b"\r\n")[1:])}
+    if fields.get(b"transfer-encoding", b"").endswith(b"chunked"):
+        body = unchunked(body)
+    return zlib.decompress(body, 47) if fields.get(b"content-encoding") in (b"gzip", b"x-gzip", b"deflate") else body
+
+
+class Truncated(Exception):
+    """A record that the end of its file cuts off."""
 
 
 @dataclass
@@ -188,6 +218,9 @@ def parse_headers(lines: list[bytes]) -> dict:
 class WarcReader(DataSourceReader):
     def __init__(self, schema, options):
         self.schema, self.path, self.filters = schema, options["path"].rstrip("/"), []
+        self.truncated = options.get("truncated", "fail")
+        if self.truncated not in ("fail", "mark", "skip"):
+            raise ValueError(f"truncated: fail, mark or skip, not {self.truncated}")
 
     def pushFilters(self, filters):
         for f in filters:
@@ -222,39 +255,69 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     def records(self, path: str):
+        """Rows of one file; a record that its end cuts off is dealt with as the option says."""
+        row: dict = {}
+        try:
+            for row in self._whole_records(path):
+                yield row
+        except Truncated as e:
+            if self.truncated == "fail":
+                raise ValueError(f"{path}: {e}") from e
+            mark = {**dict.fromkeys(HEADERS), "record_type": "truncated", "target_uri": path}
+            if self.truncated == "mark" and all(passes(mark, f) for f in self.filters):
+                yield mark
+
+    def _whole_records(self, path: str):
         where, _ = filesystem(self.path)
         wanted = any(f.name == "payload" for f in self.schema.fields)
-        if path.endswith(".gz"):
-            source = gzip.GzipFile(fileobj=where.open_input_file(path), mode="rb")
+        packed = path.endswith(".gz")
+        if packed:
+            source, size = gzip.GzipFile(fileobj=where.open_input_file(path), mode="rb"), None
         else:
             import io
-            source = io.BufferedReader(where.open_input_file(path), 1 << 18)
+            source, size = io.BufferedReader(where.open_input_file(path), 1 << 18), where.get_file_info(path).size
+
+        def skipped(length: int) -> None:
+            to = source.tell() + length
+            if source.seek(length, 1) < to or size is not None and to > size:  # a seek beyond the end is no error by itself
+                raise Truncated(f"a block of {length} bytes is cut off")
+
         with source:
-            while True:
-                line = source.readline()
-                while line in (b"\r\n", b"\n"):
+            try:
+                while True:
                     line = source.readline()
-                if not line:
-                    return
-                if not line.startswith(b"WARC/"):
-                    raise ValueError(f"{path}: no record at {source.tell() - len(line)}")
-                lines = []
-                while (line := source.readline().rstrip(b"\r\n")):
-                    lines.append(line)
-                row = parse_headers(lines)
-                length = row["content_length"] or 0
-                if not all(passes(row, f) for f in self.filters):
-                    source.seek(length, 1)
-                    continue
-                if wanted and row["record_type"] != "revisit":
-                    row["payload"] = payload_of(source.read(length))
-                else:
-                    source.seek(length, 1)
-                yield row
+                    while line in (b"\r\n", b"\n"):
+                        line = source.readline()
+                    if not line:
+                        return
+                    if not line.startswith(b"WARC/"):
+                        if b"WARC/".startswith(line):
+                            raise Truncated("a record's first line is cut off")
+                        raise ValueError(f"{path}: no record at {source.tell() - len(line)}")
+                    lines = []
+                    while (line := source.readline()) not in (b"\r\n", b"\n"):
+                        if not line.endswith(b"\n"):
+                            raise Truncated("a record's headers are cut off")
+                        lines.append(line.rstrip(b"\r\n"))
+                    row = parse_headers(lines)
+                    length = row["content_length"] or 0
+                    if not all(passes(row, f) for f in self.filters):
+                        skipped(length)
+                        continue
+                    if wanted and row["record_type"] != "revisit":
+                        block = source.read(length)
+                        if len(block) < length:
+                            raise Truncated(f"{len(block)} of a block's {length} bytes")
+                        row["payload"] = payload_of(block)
+                    else:
+                        skipped(length)
+                    yield row
+            except EOFError as e:  # the compressed stream ends early
+                raise Truncated(str(e)) from e
 
 
 class WarcSource(DataSource):
-    """Options: path; for writing rollBytes and date."""
+    """Options: path; for writing rollBytes and date; for reading truncated (fail, mark or skip)."""
 
     @classmethod
     def name(cls):
@@ -307,11 +370,16 @@ def write_archive(pages: DataFrame, path: str) -> None:
     archive_rows(pages).write.format("warc").mode("append").save(path)
 
 
-def read_archive(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, columns: list[str] | None = None, truncated: str = "fail") -> DataFrame:
     """Records of an archive; only the named columns (without ``payload`` no block is read)."""
     register(spark)
     fields = [f for f in SCHEMA.split(", ") if columns is None or f.split()[0] in columns]
-    return spark.read.format("warc").schema(", ".join(fields)).load(path)
+    return spark.read.format("warc").schema(", ".join(fields)).option("truncated", truncated).load(path)
+
+
+def truncated_records(spark: SparkSession, path: str) -> DataFrame:
+    """target_uri: the files of an archive that end inside a record, by their headers and lengths alone."""
+    return read_archive(spark, path, ["record_type", "target_uri"], "mark").where("record_type = 'truncated'").select("target_uri")
 
 
 def page_number(urn: Column) -> Column:
