@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from vesseltrack.llm import token_count as TC
-from vesseltrack.llm.cuts import all_blanks_stable, pieces, stable
+from vesseltrack.llm.cuts import all_blanks_stable, class_border, pieces, stable
 
 from .helpers import ODD_TEXTS, documents
 
@@ -52,5 +52,62 @@ def test_pieces_are_independent(text):
         assert all(stable(text, i) for i, c in enumerate(text) if c == " ")
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab1 9\n\t.é漢，。' ​(s'tll-Жカ가٣½", max_size=40))
+def test_class_borders_are_independent(text):
+    cuts = [0, *(p for p in range(len(text)) if stable(text, p) or class_border(text, p)), len(text)]
+    assert sum(expected(text[a:b]) for a, b in zip(cuts, cuts[1:])) == expected(text)
+
+
+def test_texts_without_blanks_splice_at_the_first_width(spark):
+    import random
+    rng = random.Random(3)
+    chinese = "".join(rng.choice("的一是在不了有和人这中大为上个国我以要他") + ("，" if rng.random() < 0.1 else "") for _ in range(60_000))
+    base64 = "".join(rng.choice("ABCDEFGHIJabcdefghij0123456789+/") for _ in range(60_000))
+    special = ("x1<|endoftext|>2y" * 4000)[:60_000]
+    rows = spark.createDataFrame([("c", chinese), ("b", base64), ("s", special)], "key string, text string")
+    widths = []
+    real = TC.materialize
+
+    def watched(df, name):
+        widths.append(name)
+        return real(df, name)
+
+    TC.materialize = watched
+    try:
+        got = {r.key: r.n_tokens for r in TC.count_long(rows, PATH).collect()}
+    finally:
+        TC.materialize = real
+    assert got == {"c": expected(chinese), "b": expected(base64), "s": expected(special)}
+    assert widths.count("token-splices") == 1  # one round: nothing was widened
+
+
+def test_special_strings_over_chunk_ends(spark):
+    text = "ab1<|endoftext|>c2(d)" * 60
+    rows = spark.createDataFrame([(str(k), text[k:]) for k in range(21)], "key string, text string")
+    for chunk, overlap in ((40, 13), (40, 20), (30, 5)):
+        got = {int(r.key): r.n_tokens for r in TC.count_long(rows, PATH, chunk=chunk, overlap=overlap).collect()}
+        assert got == {k: expected(text[k:]) for k in range(21)}
+
+
+def test_each_chunk_is_encoded_once(spark):
+    rows = spark.createDataFrame([("k", "some words here, " * 5000)], "key string, text string")
+    plans = []
+    real = TC.materialize
+
+    def watched(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+
+    TC.materialize = watched
+    try:
+        TC.count_long(rows, PATH).collect()
+    finally:
+        TC.materialize = real
+    counted = dict(plans)
+    assert counted["token-chunks"].count("MapInArrow") == 2  # cutting and encoding
+    assert "MapInArrow" not in counted["token-splices"]
+
+
 def test_empty_table(spark):
     assert TC.count_tokens(documents(spark, ["x"]).limit(0), PATH).count() == 0

@@ -1,7 +1,9 @@
 """Token counts of whole texts, exactly as the tokenizer library gives them.
 
-A text may be cut at a *stable boundary*, a blank between two visible
-characters (``cuts``): the tokens left and right of it are independent.
+A text may be cut at a *stable boundary* (``cuts``): a blank between two visible
+characters or, inside the chunks of long texts, also a place where a letter, a
+number and a mark of punctuation meet. The tokens left and right of it are
+independent.
 
 * Texts up to ``long_chars``: cut at every stable boundary; a worker has each
   different piece counted by the library once and adds the counts up.
@@ -14,7 +16,8 @@ characters (``cuts``): the tokens left and right of it are independent.
 Edge cases: null and empty texts have no tokens; repeated rows are counted row
 by row (long texts are followed by content hash, not by id, so null or repeated
 ids do no harm); special strings in a text are handled as the library does by
-default (they hold no blank, so no cut falls inside one).
+default (they hold no blank, so no blank inside one is a cut; class borders are
+used only with overlaps that hold the longest of them).
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from vesseltrack.session import materialize
 
 from .common import map_arrow, text_bytes
-from .cuts import all_blanks_stable, pieces, stable
+from .cuts import all_blanks_stable, class_border, pieces, stable
 
 LONG_CHARS = 32_768
 CHUNK_CHARS = 16_384
@@ -121,9 +124,18 @@ def chunks(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
             for i, s in enumerate(starts)]
 
 
-def encode_chunks(parts: DataFrame, path: str) -> DataFrame:
+def longest_special(path: str) -> int:
+    """Characters of the longest string that the library takes as one token wherever it stands."""
+    return max((len(t["content"]) for t in json.loads(_tokenizer(path).to_str())["added_tokens"]), default=0)
+
+
+def encode_chunks(parts: DataFrame, path: str, borders: bool = True) -> DataFrame:
     """One row per chunk: its stable token starts in its head and tail overlap, with the token numbers there.
 
+    ``borders``: class borders count too. They may fall inside a special string, so
+    the overlap must hold the longest of them: one of two neighbours then sees it
+    whole and has no token start there.
+
     ``parts``: key, part, start, stop, head, text (``head``: characters shared with the chunk before).
     Result: key, part, n (tokens), and lists of (place in the document, tokens before it) for
     ``opens`` (in the shared head) and ``closes`` (in the shared tail).
@@ -143,7 +155,7 @@ def encode_chunks(parts: DataFrame, path: str) -> DataFrame:
                 def bounds(lo: int, hi: int) -> list[dict]:
                     out = []
                     for p in range(max(lo, 0), min(hi, len(text))):
-                        if stable(text, p):
+                        if stable(text, p) or borders and class_border(text, p):
                             k = bisect.bisect_left(first, p)
                             if k < len(first) and first[k] == p:
                                 out.append({"at": start + p, "before": k})
@@ -202,12 +214,13 @@ def count_long(texts: DataFrame, path: str, chunk: int = CHUNK_CHARS, overlap: i
                             schema=kind)
         return run
 
-    done = None
+    done, longest = None, longest_special(path)
     width = overlap
     todo = texts
     while True:
         cut = map_arrow(todo, cutter(width), part).repartition("key", "part")
-        counted = materialize(splice(encode_chunks(cut, path)), "token-splices")
+        # encoded once and stored: the splice reads the few numbers of each chunk twice
+        counted = materialize(splice(materialize(encode_chunks(cut, path, width >= longest), "token-chunks")), "token-splices")
         good = counted.where(F.col("n_tokens").isNotNull())
         done = good if done is None else done.unionByName(good)
         failed = counted.where(F.col("n_tokens").isNull()).select("key")
