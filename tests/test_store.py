@@ -216,3 +216,40 @@ def test_stretches_of_days():
     assert without([[None, None]], D[0], D[0]) == [[None, "2023-12-31"], ["2024-01-02", None]]
     assert without([["2024-01-02", "2024-01-03"]], D[0], D[6]) == []
     assert without([["2024-01-02", "2024-01-03"]], D[4], D[6]) == [["2024-01-02", "2024-01-03"]]
+
+
+def _rows_read(df):
+    """Rows that the scan hands on: row groups that its statistics rule out are not among them."""
+    def scans(node):
+        kids = node.children()
+        if "FileSourceScanExec" in node.getClass().getName():
+            yield node.metrics().apply("numOutputRows").value()
+        if "AdaptiveSparkPlanExec" in node.getClass().getName():
+            yield from scans(node.executedPlan())
+        for i in range(kids.size()):
+            yield from scans(kids.apply(i))
+
+    qe = df._jdf.queryExecution()
+    return len(df.collect()), sum(scans(qe.executedPlan()))
+
+
+def test_sorted_files_let_a_reader_skip_row_groups(spark):
+    from pyspark.sql import functions as F
+    n = 200_000
+    rows = spark.range(0, n, 1, 2).selectExpr("concat('2', lpad(cast((id * 7919) % 5000 as string), 8, '0')) as mmsi", "sha2(cast(id as string), 256) as more",
+                                              "id / 1e6 as anomaly_score", "DATE'2024-01-01' as event_date")
+    read = {}
+    before = spark._jsc.hadoopConfiguration().get("parquet.block.size")
+    spark._jsc.hadoopConfiguration().set("parquet.block.size", str(256 * 1024))
+    try:
+        for name, cluster in (("plain", ()), ("by_vessel", ["mmsi"]), ("by_score", [F.col("anomaly_score").desc()])):
+            t = _t(name)
+            store.replace_window(spark, rows, t, D[0], D[0], cluster_by=cluster)
+            assert spark.table(t).count() == n
+            read[name, "vessel"] = _rows_read(spark.table(t).where("mmsi = '200000007'"))
+            read[name, "score"] = _rows_read(spark.table(t).where("anomaly_score > 0.199"))
+    finally:
+        spark._jsc.hadoopConfiguration().set("parquet.block.size", before) if before else spark._jsc.hadoopConfiguration().unset("parquet.block.size")
+    assert {k: v[0] for k, v in read.items()} == {k: 40 if k[1] == "vessel" else 999 for k in read}
+    assert read["by_vessel", "vessel"][1] < read["plain", "vessel"][1] / 10 <= n / 10
+    assert read["by_score", "score"][1] < n / 10

@@ -180,11 +180,16 @@ def _dirty_window(spark: SparkSession, tables: Tables, last: date, window_days:
     return ProcessingWindow(start, stop, advance=False)
 
 
+# Order of rows inside the files of a day; tables of pings and events by vessel, cues by falling score
+SORTED_BY = {"ais_clean": ["mmsi", "base_date_time"], "anomaly_cues": [F.col("anomaly_score").desc(), "mmsi"]}
+
+
 def _write(spark: SparkSession, tables: Tables, df: DataFrame, key: str, span, mode: str) -> None:
+    cluster = SORTED_BY.get(key, ["mmsi"])
     if mode == "replace":
-        store.replace_window(spark, df, tables[key], *span)
+        store.replace_window(spark, df, tables[key], *span, cluster_by=cluster)
     else:  # first build or full refresh: the table becomes exactly this result
-        store.overwrite_table(spark, df, tables[key], partition_by="event_date")
+        store.overwrite_table(spark, df, tables[key], partition_by="event_date", cluster_by=cluster)
 
 
 def _build_silver(spark: SparkSession, tables: Tables, span, mode: str) -> None:

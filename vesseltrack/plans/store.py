@@ -139,18 +139,19 @@ def _staged_partitions(spark: SparkSession, stage: str, columns: list[str], days
 
 
 def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
-                    partition_by: str | None = None) -> int:
+                    partition_by: str | None = None, cluster_by=()) -> int:
     """K3/K5: replace the whole table (snapshot, full rebuild). Returns rows written.
 
     The old rows stay readable until the new ones are written in full. The
     version before the one replaced is removed, the replaced one is kept for
     readers that are still on it. With ``partition_by`` (a column of days) the
-    table is a view over versioned days (``versions``).
+    table is a view over versioned days (``versions``) whose files are sorted by
+    ``cluster_by``.
     """
     from vesseltrack.plans import versions
     ensure_namespace(spark, table)
     if partition_by:
-        return versions.change(spark, df, table, partition_by, None, ([], lambda found: None))
+        return versions.change(spark, df, table, partition_by, None, ([], lambda found: None), cluster_by)
     if spark.catalog.tableExists(table) and not _same_columns(spark, df, table):
         # other columns: the new rows are complete in a table of their own before the old one goes
         fresh = f"{table}_new_{uuid.uuid4().hex[:8]}"
@@ -184,7 +185,7 @@ def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
 
 
 def replace_window(spark: SparkSession, df: DataFrame, table: str, start, end,
-                   partition_col: str = "event_date") -> int:
+                   partition_col: str = "event_date", cluster_by=()) -> int:
     """K4: make the table's rows with ``partition_col`` in [start, end] equal ``df``.
 
     Every row is checked to be inside the window while it is staged; a failed
@@ -202,7 +203,7 @@ def replace_window(spark: SparkSession, df: DataFrame, table: str, start, end,
             raise ValueError(f"rows outside [{start}, {end}] in the result for {table}")
 
     outside = F.count_if(key.isNull() | ~key.between(F.lit(start), F.lit(end))).alias("outside")
-    return versions.change(spark, df, table, partition_col, (start, end), ([outside], judge))
+    return versions.change(spark, df, table, partition_col, (start, end), ([outside], judge), cluster_by)
 
 
 def replace_files(spark: SparkSession, df: DataFrame, table: str, files: list[str],

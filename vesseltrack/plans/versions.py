@@ -97,11 +97,14 @@ def _ensure(spark: SparkSession, df: DataFrame, view: str, column: str) -> dict:
     return layout
 
 
-def change(spark: SparkSession, df: DataFrame, view: str, column: str, window: tuple[date, date] | None, check) -> int:
+def change(spark: SparkSession, df: DataFrame, view: str, column: str, window: tuple[date, date] | None, check, cluster=()) -> int:
     """Makes the rows of ``window`` (None: all rows) equal ``df``. ``check``: observed columns and a function that judges them.
 
     The rows are written once; count, days and the check's columns are observed
-    metrics of that write. Returns the rows written.
+    metrics of that write. ``cluster``: columns by which each file is sorted (T1),
+    inside the tasks and without a shuffle of its own, so that a reader who asks
+    for one vessel, or for high scores, skips the row groups without them.
+    Returns the rows written.
     """
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
@@ -119,6 +122,8 @@ def change(spark: SparkSession, df: DataFrame, view: str, column: str, window: t
     obs = Observation(f"change-{version}")
     df = df.select(*[f"`{c}`" for c in columns]).observe(
         obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(F.col(column).cast("string"))).alias("days"), *observed)
+    if cluster:
+        df = df.sortWithinPartitions(column, *cluster)
     try:
         df.write.format("parquet").partitionBy(column).save(stage)
         found = obs.get
