@@ -181,7 +181,7 @@ def _dirty_window(spark: SparkSession, tables: Tables, last: date, window_days:
 
 
 # Order of rows inside the files of a day; tables of pings and events by vessel, cues by falling score
-SORTED_BY = {"ais_clean": ["mmsi", "base_date_time"], "anomaly_cues": [F.col("anomaly_score").desc(), "mmsi"]}
+SORTED_BY = {"ais_clean": ["mmsi", "base_date_time"], "anomaly_cues": ["-anomaly_score", "mmsi"]}
 
 
 def _write(spark: SparkSession, tables: Tables, df: DataFrame, key: str, span, mode: str) -> None:

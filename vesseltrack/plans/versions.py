@@ -101,7 +101,7 @@ def change(spark: SparkSession, df: DataFrame, view: str, column: str, window: t
     """Makes the rows of ``window`` (None: all rows) equal ``df``. ``check``: observed columns and a function that judges them.
 
     The rows are written once; count, days and the check's columns are observed
-    metrics of that write. ``cluster``: columns by which each file is sorted (T1),
+    metrics of that write. ``cluster``: columns by which each file is sorted (T1; a leading minus for falling order),
     inside the tasks and without a shuffle of its own, so that a reader who asks
     for one vessel, or for high scores, skips the row groups without them.
     Returns the rows written.
@@ -123,7 +123,7 @@ def change(spark: SparkSession, df: DataFrame, view: str, column: str, window: t
     df = df.select(*[f"`{c}`" for c in columns]).observe(
         obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(F.col(column).cast("string"))).alias("days"), *observed)
     if cluster:
-        df = df.sortWithinPartitions(column, *cluster)
+        df = df.sortWithinPartitions(column, *[F.col(c[1:]).desc() if c.startswith("-") else F.col(c) for c in cluster])
     try:
         df.write.format("parquet").partitionBy(column).save(stage)
         found = obs.get
