@@ -87,11 +87,31 @@ def test_urls_against_brute_force(spark):
     urls = [f"http{rng.choice(('', 's'))}://{host(6)}{rng.choice(paths)}{rng.choice(('', '?q=/en/', '#://x'))}" for _ in range(500)]
     urls += [None, "", "no scheme", "://", "x://NET/en/?a#b", "http://a.net", "http://é.net/", "http://a..net/", "http://net:80/", "a://b://c/d"]
     pages = spark.createDataFrame([(i % 400, u) for i, u in enumerate(urls)], "page_id long, url string").withColumn("key", F.lit("own"))
-    for buckets in (1, 7):
-        got = UR.judge(pages, UR.rule_table(spark, rules), buckets=buckets)
-        assert no_python(got)
-        want = sorted(((i % 400, *url_verdict(u, rules)) for i, u in enumerate(urls)), key=str)
-        assert sorted(map(tuple, got.collect()), key=str) == want
+    want = sorted(((i % 400, *url_verdict(u, rules)) for i, u in enumerate(urls)), key=str)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for ranges, broadcast_hosts in ((1, 100), (7, 0), (60, 0)):  # many ranges begin inside nested intervals, or at the end of one
+            for n, v in zip(names, (str(ranges), "false")):
+                spark.conf.set(n, v)
+            got = UR.judge(pages, UR.rule_table(spark, rules), broadcast_hosts=broadcast_hosts)
+            assert no_python(got)
+            assert sorted(map(tuple, got.collect()), key=str) == want
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+
+
+def test_rule_rows_do_not_multiply(spark, monkeypatch):
+    """The swept table holds each rule's two ends once, and for each range no more than the labels of its first key."""
+    rules = [(f"h{i}.example.net/", "block") for i in range(500)] + [("net/", "allow"), ("example.net/", "block")]
+    pages = spark.createDataFrame([(i, f"http://x.h{i % 50}.example.net/p") for i in range(200)], "page_id long, url string")
+    kept = {}
+    real = UR.materialize
+    monkeypatch.setattr(UR, "materialize", lambda df, name: kept.setdefault(name, real(df, name)))
+    got = UR.judge(pages, UR.rule_table(spark, rules)).collect()
+    assert {r.rule for r in got} == {f"h{i}.example.net/" for i in range(50)}
+    assert kept["url-ranges"].count() == 2 * 502 + 50
 
 
 def test_urls_without_rules_and_without_pages(spark):

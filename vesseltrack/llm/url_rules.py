@@ -25,11 +25,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vesseltrack.operators.joins import maybe_broadcast
+from vesseltrack.session import materialize
+
 from .common import ASCII_LOWER, ASCII_UPPER
 
 # The rules of the query.
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 DEFAULT = "allow"
+BROADCAST_HOSTS = 100_000
+
+
+RULE_LIST = "array<struct<path:string,rule:string,verdict:string>>"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -68,35 +75,47 @@ def intervals(rules: DataFrame) -> DataFrame:
     return hosts.join(level, "key")
 
 
-def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, buckets: int | None = None) -> DataFrame:
-    """Per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict."""
-    spark = pages.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    opened = intervals(rules)
+def host_stacks(hosts: DataFrame, rules: DataFrame) -> DataFrame:
+    """host and its rules (path, rule, verdict), of the different hosts that lie in a rule's interval."""
+    opened = materialize(intervals(rules), "url-rules")
     depth = opened.agg(F.coalesce(F.max("level"), F.lit(0))).first()[0]
-    host, path = host_and_path(F.col("url"))
-    urls = pages.select("page_id", "url").withColumns({"host": host, "path": path}).select(
-        F.pmod(F.xxhash64("page_id", "url"), F.lit(buckets)).alias("bucket"), host_key(F.col("host")).alias("key"),
-        F.lit(2).alias("kind"), "page_id", "host", "path")
-    none = F.lit(None)
-    copies = opened.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
-    # order at one key: intervals close (inner first), then open (outer first), then come the urls
-    opens = copies.select("bucket", "key", F.lit(1).alias("kind"), "level", "rules")
-    closes = copies.select("bucket", F.expr("concat(substr(key, 1, length(key) - 1), '/')").alias("key"), F.lit(0).alias("kind"),
-                           "level", none.cast("array<struct<path:string,rule:string,verdict:string>>").alias("rules"))
-    events = opens.unionByName(closes)
-    both = urls.unionByName(events, allowMissingColumns=True)
-    sweep = Window.partitionBy("bucket").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    if not depth:
+        return hosts.select("host", F.lit(None).cast(RULE_LIST).alias("stack")).limit(0)
+    none = F.lit(None).cast(RULE_LIST)
+    # order at one key: intervals close (inner first), then open (outer first), then come the hosts
+    opens = opened.select("key", F.lit(1).alias("kind"), "level", "rules")
+    closes = opened.select(F.expr("concat(substr(key, 1, length(key) - 1), '/')").alias("key"), F.lit(0).alias("kind"), "level", none.alias("rules"))
+    seen = hosts.distinct().select(host_key(F.col("host")).alias("key"), F.lit(2).alias("kind"), "host")
+    events = opens.unionByName(closes).unionByName(seen, allowMissingColumns=True)
+    # rows of one key share a range; a range's number is written with its rows
+    ranged = materialize(events.repartitionByRange("key").withColumn("range", F.spark_partition_id()), "url-ranges")
+    first = ranged.groupBy("range").agg(F.min("key").alias("first"))
+    # open before a range and not closed before it: the strict prefixes of its first key, and what that key itself closes
+    ends = F.sequence(F.lit(0), F.length("first") - 1)
+    above = F.filter(F.transform(ends, lambda n: F.substring("first", F.lit(1), n)), lambda p: F.endswith(p, F.lit(".")))
+    closed = F.when(F.endswith("first", F.lit("/")), F.array(F.expr("concat(substr(first, 1, length(first) - 1), '.')"))).otherwise(F.array())
+    prefix = F.when(F.col("first") != "", F.concat(above, closed))
+    carried = first.select("range", F.explode(prefix).alias("up")).join(opened, F.col("up") == F.col("key")).select(
+        "range", F.lit("").alias("key"), F.lit(1).alias("kind"), "level", "rules", F.lit(None).cast("string").alias("host"))
+    sweep = Window.partitionBy("range").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
     step = F.when(F.col("kind") == 1, 1).when(F.col("kind") == 0, -1).otherwise(0)
     slots = [F.last(F.when((F.col("kind") == 1) & (F.col("level") == n), F.col("rules")), ignorenulls=True).over(sweep).alias(f"slot{n}")
              for n in range(1, depth + 1)]
-    swept = both.select("kind", "page_id", "host", "path", F.sum(step).over(sweep).alias("depth"), *slots).where("kind = 2")
-    stack = F.flatten(F.filter(F.array(*[F.when(F.col("depth") >= n, F.col(f"slot{n}")) for n in range(1, depth + 1)]),
-                               lambda s: s.isNotNull())) if depth else none.cast("array<struct<path:string,rule:string,verdict:string>>")
-    fits = F.filter(stack, lambda r: F.startswith(F.col("path"), r["path"]))
+    swept = ranged.unionByName(carried).select("kind", "host", F.sum(step).over(sweep).alias("depth"), *slots).where("kind = 2 and depth > 0")
+    stack = F.flatten(F.filter(F.array(*[F.when(F.col("depth") >= n, F.col(f"slot{n}")) for n in range(1, depth + 1)]), lambda s: s.isNotNull()))
+    return swept.select("host", stack.alias("stack"))
+
+
+def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
+    """Per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict."""
+    host, path = host_and_path(F.col("url"))
+    urls = pages.select("page_id", "url").select("page_id", host.alias("host"), path.alias("path"))
+    stacks = materialize(host_stacks(urls.select("host"), rules), "url-stacks")
+    both = urls.join(maybe_broadcast(stacks, broadcast_hosts), "host", "left")
+    fits = F.filter("stack", lambda r: F.startswith(F.col("path"), r["path"]))
     longest = F.array_max(F.transform(fits, lambda r: F.struct(
         F.length(r["rule"]).alias("n"), (-F.length(r["path"])).alias("p"), r["rule"].alias("rule"), r["verdict"].alias("verdict"))))
-    return swept.withColumn("best", longest).select(
+    return both.withColumn("best", longest).select(
         "page_id", "host", "path", F.col("best")["rule"].alias("rule"), F.coalesce(F.col("best")["verdict"], F.lit(default)).alias("verdict"))
 
 
