@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vesseltrack import oracle as O
+from vesseltrack.operators.quality import RULES
 from vesseltrack.plans import pipeline as P
 from vesseltrack.plans import store
 from vesseltrack.schemas import AIS_COLUMNS
@@ -19,7 +20,7 @@ from vesseltrack.sources.fixtures import ais_raw_from_events, entity_lines_from_
 
 WINDOW = 20  # days
 
-_PLAYED: dict[tuple[str, str], P.Tables] = {}
+_PLAYED: dict[tuple, P.Tables] = {}
 
 
 def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,22 +31,61 @@ def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land(days: DataFrame, folder: str) -> None:
-    """Write (day, line) rows as ``ais-DAY.csv.zst`` files; a null line makes a header-only file."""
-    header = ",".join(AIS_COLUMNS) + "\n"
+    """Write (day, line) rows as ``ais-DAY.csv.zst`` files; a null line makes a header-only file.
 
-    def write(pdf):
-        import pandas as pd
+    A task streams its days' lines, sorted by day, through the compressor into
+    one open file after the other, so a day of any size needs little memory. A
+    task that runs again writes the same files again.
+    """
+    header = (",".join(AIS_COLUMNS) + "\n").encode()
+
+    def write(batches):
+        import pyarrow as pa
         import zstandard
         from pyarrow import fs
         where, base = fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
         where.create_dir(base, recursive=True)
-        lines = "".join(f"{x}\n" for x in pdf["line"].dropna())
-        with where.open_output_stream(f"{base}/ais-{pdf['day'].iloc[0]}.csv.zst", compression=None) as out:
-            out.write(zstandard.ZstdCompressor().compress((header + lines).encode()))
-        return pd.DataFrame({"n": [len(pdf)]})
+        day = packed = out = None
+        files = 0
+        for b in batches:
+            for d, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if d != day:
+                    if out is not None:
+                        packed.close()
+                    day, files = d, files + 1
+                    out = where.open_output_stream(f"{base}/ais-{d}.csv.zst", compression=None)
+                    packed = zstandard.ZstdCompressor().stream_writer(out)
+                    packed.write(header)
+                if line is not None:
+                    packed.write(line.encode() + b"\n")
+        if out is not None:
+            packed.close()
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], type=pa.int64())})
 
     ship_package(days.sparkSession)
-    days.groupBy("day").applyInPandas(write, "n long").collect()  # a count per day
+    days.select("day", "line").repartition("day").sortWithinPartitions("day").mapInArrow(write, "files long").agg(F.sum("files")).first()
+
+
+def land_entities(sanctions: DataFrame, path: str) -> None:
+    """Sanctions rows as the entity lines that flatten to them."""
+    def one(c):
+        return F.when(F.col(c).isNotNull(), F.array(F.col(c).cast("string")))
+
+    names = {"name": "entity_name", "mmsi": "mmsi", "imoNumber": "imo_number", "flag": "flag", "startDate": "designation_date"}
+    known = F.map_filter(F.create_map(*[x for k, c in names.items() for x in (F.lit(k), one(c))]), lambda k, v: v.isNotNull())
+    sanctions.select(F.to_json(F.struct(F.col("entity_id").alias("id"), F.lit("Vessel").alias("schema"), known.alias("properties"),
+                                        F.split("sanctions_list", ", ").alias("datasets"))).alias("value")).write.text(path)
+
+
+def _files_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input's files: another input under the same path is another deployment."""
+    found = []
+    for name in ("events", "supplier"):
+        for f in spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").inputFiles():
+            fs, path = store._fs(spark, f)
+            status = fs.getFileStatus(path)
+            found.append((f, status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def play(spark: SparkSession, sf_dir: str) -> P.Tables:
@@ -53,18 +93,20 @@ def play(spark: SparkSession, sf_dir: str) -> P.Tables:
 
     Withheld at first: a day inside a finished window, two more that land after
     their window has passed, and the last one; a header-only file for the day
-    after the last ping lands with the second batch.
+    after the last ping lands with the second batch. In the end a window is run
+    again by explicit dates (the watermark stays), and all vessels are scored.
     """
     pin_utc(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, _files_of(spark, sf_dir))
     if key in _PLAYED:
         return _PLAYED[key]
     tables = P.Tables(sandbox=f"vt_landed_{uuid.uuid4().hex[:10]}")
     for layer in ("bronze", "silver", "gold"):
         db = f"{tables.sandbox}_{layer}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
-    landing = scratch_path(spark, "landing")
-    store.overwrite_table(spark, sanctions_from_supplier(spark, sf_dir), tables["sanctions"])
+    landing, entities = scratch_path(spark, "landing"), scratch_path(spark, "entities")
+    land_entities(sanctions_from_supplier(spark, sf_dir), entities)
+    P.ingest_sanctions(spark, entities, tables)
     rows = landing_rows(spark, sf_dir)
     days = sorted(r[0] for r in rows.select("day").distinct().where("day is not null").collect())
     late, gap, after = days[2 % len(days)], days[len(days) // 2], days[len(days) // 2 + 1 if len(days) > 2 else -1]
@@ -78,6 +120,8 @@ def play(spark: SparkSession, sf_dir: str) -> P.Tables:
             pass
         while P.run_window(spark, tables=tables, window_days=WINDOW) is not None:
             pass
+    P.run_window(spark, str(days[len(days) // 3]), str(days[min(len(days) - 1, len(days) // 3 + 4)]), tables=tables)
+    P.score_vessels(spark, tables)
     _PLAYED[key] = tables
     return tables
 
@@ -104,6 +148,13 @@ def _q_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(play(spark, sf_dir)["window_state"]).select("last_end")
 
 
+def _q_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1-Q5: every rule of every table, over the deployment's own tables."""
+    tables = play(spark, sf_dir)
+    names = spark.createDataFrame([(tables[k], k) for k in tables.names], "table string, name string")
+    return P.check_tables(spark, tables).join(F.broadcast(names), "table").select("name", "rule", "column_name", "failures")
+
+
 def _q_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: a snapshot table overwritten with half of its rows, by a failing frame, then by all of them."""
     from vesseltrack.sources.sanctions import parse_entity_lines
@@ -131,6 +182,9 @@ QUERIES = {
     "landed_vessel_features": _table("vessel_features", FEATURE_ROUNDED),
     "landed_files": _q_files,
     "landed_watermark": _q_state,
+    "landed_sanctions": _table("sanctions", drop=("_ingestion_ts", "_source_file")),
+    "landed_scores": _table("risk_scores", (*FEATURE_ROUNDED, "risk_score"), drop=("_scored_at",)),
+    "landed_checks": _q_checks,
     "snapshot_overwrite": _q_snapshot,
 }
 
@@ -140,10 +194,33 @@ _SECONDS = O.AIS_RAW.replace("ts AS base_date_time", "date_trunc('second', ts) A
 _LAST = "(SELECT max(CAST(ts AS DATE)) FROM events)"
 
 
+def _checks_sql() -> str:
+    """Failures of every rule, by DuckDB over its own tables. Lineage columns of the sanctions are set by the load and never null."""
+    failing = {"not_null": "{c} IS NULL", "is_null": "{c} IS NOT NULL", "expr": "coalesce({a}, false) = false"}
+    out = []
+    for key, (_, name) in P.Tables().names.items():
+        for kind, column, arg in RULES.get(name) or RULES.get(key) or ():
+            head = f"SELECT '{key}' AS name, '{kind}' AS rule, '{column}' AS column_name, "
+            if kind == "unique":
+                out.append(f"{head}count(*) AS failures FROM (SELECT {column} FROM {key} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+            elif key == "sanctions" and column == "_ingestion_ts":
+                out.append(head + "0 AS failures")
+            elif kind == "accepted":
+                out.append(f"{head}count(*) FILTER ({column} NOT IN ({', '.join(map(repr, arg))})) AS failures FROM {key}")
+            else:
+                out.append(f"{head}count(*) FILTER ({failing[kind].format(c=column, a=arg)}) AS failures FROM {key}")
+    return " UNION ALL ".join(out)
+
+
 def _oracle(ais_raw: str) -> dict[str, str]:
+    from vesseltrack.plans.registry_model import ORACLE as MODEL
+
     def gold(select: str, **kw) -> str:
         return O.gold(**kw).replace(O.AIS_RAW.strip("\n"), ais_raw.strip("\n")) + select
     return {
+        "landed_sanctions": O.with_ctes(O.SANCTIONS) + "SELECT * FROM sanctions",
+        "landed_scores": MODEL["risk_scores"].replace(O.AIS_RAW.strip("\n"), ais_raw.strip("\n")),
+        "landed_checks": gold(_checks_sql(), features=True, cues=True),
         "landed_ais_clean": O.with_ctes(ais_raw, O.clean_ctes()) + "SELECT * EXCLUDE (_ingestion_ts) FROM ais_clean",
         "landed_dark_gaps": gold(O.DARK_GAP_SELECT),
         "landed_impossible_speed": gold(O.SPEED_SELECT),
