@@ -93,3 +93,20 @@ def test_automaton_of_overlapping_items():
     hit, found = a.scan(b"q b a b q a b a b a b a b a b q".split())
     assert hit.tolist() == [False, True, True, True, False] + [True] * 10 + [False]
     assert found == {"x", "y", "z"}
+
+
+def test_a_long_item_is_dealt_in_parts(spark):
+    """One item of many words: no automaton holds it whole, no window is lost at a part's end, and it stays one item."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(3000)}" for _ in range(6000)]
+    items = [(7, " ".join(words)), (8, "a short one")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blobs, groups = D.item_automata(bench, max_words=800)
+    import pickle
+    sizes = [len(pickle.loads(r.blob).length) for r in blobs.collect()]
+    assert groups > 5 and max(sizes) < 2 * 2500  # states: at most twice the words
+    texts = [" ".join(words[k:k + 14]) for k in range(0, 5900, 41)] + [" ".join(words[k:k + 9]) for k in range(90, 200)] + ["a short one"]
+    marked, hits = D.mark(documents(spark, texts), bench, max_words=800)
+    for r in marked.collect():
+        n, hit, found = contamination(texts[r.doc_id], [(str(i), t) for i, t in items])
+        assert (r[hits].n_words, r[hits].n_hit, r[hits]["items"]) == (n, len(hit), found)

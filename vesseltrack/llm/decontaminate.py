@@ -9,7 +9,8 @@ a window are hit.
 
 Scale: documents are read once, in a map without a shuffle. An automaton holds
 at most ``max_words`` item words (a documented bound on what is broadcast);
-larger item tables are dealt into groups, each group's automaton is built in a
+larger item tables are dealt into groups, a long item in overlapping parts (of all but
+one word of a window) that carry its id; each group's automaton is built in a
 task and written to the shared checkpoint folder. The groups are then broadcast
 one after the other, never two at a time; the hit spans and items that a pass
 finds are written by digest of the text, and all passes are merged and joined
@@ -163,9 +164,27 @@ class ItemAutomaton:
         return hit, found
 
 
+def item_parts(items: DataFrame, window: int, most: int) -> DataFrame:
+    """item, text: as they are, or in parts of at most ``most`` words, every window whole in one of them."""
+    def run(batches):
+        for b in batches:
+            rows = []
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                words = normalised_words(text) if text and len(text) > most else []
+                if len(words) <= most:
+                    rows.append((item, text))
+                else:
+                    rows += [(item, b" ".join(words[k:k + most]).decode("utf-8", "surrogatepass"))
+                             for k in range(0, len(words) - window + 1, most - window + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=pa.string()) for i in (0, 1)], ["item", "text"])
+
+    return map_arrow(items, run, "item string, text string")
+
+
 def item_automata(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> tuple[DataFrame, int]:
     """part, blob: pickled automata of the item table, each over at most about ``max_words`` words; the number of parts."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text"))
+    items = item_parts(items, window, max(2 * window, max_words // 8))  # parts small enough to be dealt evenly
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     groups = max(1, -(-chars // (2 * max_words)))  # a word and its gap are two characters at least
 
