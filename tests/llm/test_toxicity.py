@@ -63,6 +63,28 @@ def test_interaction_of_two_harmless_terms(spark):
     assert max(m.score("red insulto stone"), m.score("gruppe river"), m.score("cloud")) < 0.3
 
 
+def test_a_term_that_says_nothing_alone(spark):
+    """Half of the rows of either label name the group; with the insult it makes a row toxic, and without it the insult is none."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(4000):
+        kind = rng.choice(("both", "slur", "insult", "group", "group", "none"))
+        words = [rng.choice(("red", "blue", "green", "stone", "river", "cloud", "plain", "house")) for _ in range(8)]
+        words += {"both": ["insulto", "gruppe"], "slur": ["slurro"], "insult": ["insulto"], "group": ["gruppe"], "none": []}[kind]
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(kind in ("both", "slur"))))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    named = np.array(["gruppe" in t for _, t, _ in rows])
+    y = np.array([y for *_, y in rows], dtype=bool)
+    table = [[(named & y).sum(), (named & ~y).sum()], [(~named & y).sum(), (~named & ~y).sum()]]
+    assert len(y) * (table[0][0] * table[1][1] - table[0][1] * table[1][0]) ** 2 / (named.sum() * (~named).sum() * y.sum() * (~y).sum()) < X.MIN_CHI_SQUARE
+    m = X.fit(docs, labels)
+    assert set(X.term_buckets("gruppe")) <= set(m.buckets)
+    assert m.score("red insulto stone gruppe") > 0.7 and m.score("cloud slurro") > 0.7
+    assert max(m.score("red insulto stone"), m.score("gruppe river"), m.score("cloud")) < 0.3
+
+
 def test_gradient_is_the_derivative():
     rng = np.random.default_rng(0)
     m = X.Machine(np.arange(5, dtype=np.int32), 0.1, rng.normal(size=5), rng.normal(size=(5, 2)))

@@ -6,7 +6,11 @@ are hashed to 2^31 buckets; a bucket is on or off. All labelled training rows
 are counted per bucket and label in Spark, summed over each batch before the
 shuffle; the ``n_buckets`` with the largest chi-square against the label, of
 those with at least ``MIN_CHI_SQUARE`` (chance gives that to one bucket in a
-million), are the features. The machine
+million), are the features. A term can say nothing by itself and much beside
+another: a second pass counts, among the rows with one of the ``ANCHORS`` buckets
+that point most to toxic rows, every other bucket against the label, and those
+with at least ``MIN_PAIR_CHI_SQUARE`` (the same chance over all anchors) join the
+features, up to ``PAIR_BUCKETS`` of them. The machine
 
     score = sigmoid(w0 + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j)
 
@@ -54,6 +58,9 @@ SAMPLE_PARTS = 16
 THRESHOLD = 0.7
 MIN_ROWS = 3
 MIN_CHI_SQUARE = 24.0
+ANCHORS = 32
+PAIR_BUCKETS = 512
+MIN_PAIR_CHI_SQUARE = 31.0
 
 _TERM = re.compile(r"[^\W_]+")
 
@@ -112,6 +119,45 @@ def _bucket_counts(rows: DataFrame) -> DataFrame:
         F.sum("n").alias("n"), F.sum("p").alias("p"))
 
 
+def _pair_counts(rows: DataFrame, anchors: np.ndarray) -> DataFrame:
+    """anchor (its place), bucket, n, p: the same among the rows with the anchor on, for every anchor."""
+    def run(batches):
+        for b in batches:
+            for group in _runs(b.column(0)):
+                keys, ys = [], []
+                for i in group:
+                    on = term_buckets(b.column(0)[i].as_py())
+                    beside = np.flatnonzero(np.isin(anchors, on))
+                    if len(beside):
+                        pairs = (beside.astype(np.int64)[:, None] << BITS | on.astype(np.int64)[None, :]).ravel()
+                        keys.append(pairs)
+                        ys.append(np.full(len(pairs), b.column(1)[i].as_py()))
+                if keys:
+                    pairs, at = np.unique(np.concatenate(keys), return_inverse=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((pairs >> BITS).astype(np.int32)), pa.array((pairs & ((1 << BITS) - 1)).astype(np.int32)),
+                         pa.array(np.bincount(at).astype(np.int64)), pa.array(np.bincount(at, np.concatenate(ys)).astype(np.int64))],
+                        ["anchor", "bucket", "n", "p"])
+
+    counted = rows.select("text", "y").mapInArrow(run, "anchor int, bucket int, n bigint, p bigint")
+    return counted.groupBy("anchor", "bucket").agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
+
+
+def pair_buckets(rows: DataFrame, counts: DataFrame, total: int, toxic: int) -> list[int]:
+    """Buckets that tell toxic rows from others beside an anchor; the anchors are bounded in number, and so is the result."""
+    toward = counts.where(F.col("p") * total > F.col("n") * toxic).orderBy(F.col("chi").desc(), "bucket").limit(ANCHORS).collect()
+    if not toward:
+        return []
+    anchors = [(r.bucket, r.n, r.p) for r in toward]
+    pairs = _pair_counts(rows, np.array([a for a, _, _ in anchors], dtype=np.int32))
+    sized = F.broadcast(rows.sparkSession.createDataFrame([(i, n, p) for i, (_, n, p) in enumerate(anchors)], "anchor int, rows bigint, toxic bigint"))
+    n, p, big, hit = (F.col(c).cast("double") for c in ("n", "p", "rows", "toxic"))
+    chi = big * F.pow(p * big - n * hit, 2) / (n * (big - n) * hit * (big - hit))
+    told = pairs.join(sized, "anchor").where((F.col("n") >= MIN_ROWS) & (n < big) & (hit > 0) & (hit < big)).withColumn("chi", chi)
+    best = told.where(F.col("chi") >= MIN_PAIR_CHI_SQUARE).groupBy("bucket").agg(F.max("chi").alias("chi"))
+    return [r.bucket for r in best.orderBy(F.col("chi").desc(), "bucket").limit(PAIR_BUCKETS).collect()]
+
+
 def _runs(texts: pa.Array, most: int = 4 << 20):
     """Row numbers in groups of about ``most`` characters."""
     group, n = [], 0
@@ -143,10 +189,11 @@ def fit(docs: DataFrame, labels: DataFrame, n_buckets: int = N_BUCKETS, factors:
         share = toxic / total if total else 0.0
         w0 = float(np.log(share / (1 - share))) if 0 < share < 1 else (30.0 if share else -30.0)
         return Machine(np.zeros(0, dtype=np.int32), w0, np.zeros(0), np.zeros((0, factors)))
-    counts = _bucket_counts(rows).where((F.col("n") >= MIN_ROWS) & (F.col("n") < total))
-    best = counts.withColumn("chi", _chi_square(total, toxic)).where(F.col("chi") >= MIN_CHI_SQUARE).orderBy(
-        F.col("chi").desc(), "bucket").limit(n_buckets).select("bucket").collect()
-    buckets = np.sort(np.array([r.bucket for r in best], dtype=np.int32))
+    counts = _bucket_counts(rows).where((F.col("n") >= MIN_ROWS) & (F.col("n") < total)).withColumn("chi", _chi_square(total, toxic))
+    counts = materialize(counts.where(F.col("chi") >= MIN_CHI_SQUARE), "toxicity-terms")
+    best = counts.orderBy(F.col("chi").desc(), "bucket").limit(n_buckets).select("bucket").collect()
+    beside = pair_buckets(rows, counts, total, toxic)
+    buckets = np.unique(np.array([r.bucket for r in best] + beside, dtype=np.int32))
     machine = Machine(buckets, float(np.log(toxic / (total - toxic))), np.zeros(len(buckets)),
                       np.random.default_rng(7).normal(0, 0.01, (len(buckets), factors)))
     share = min(1.0, max_train_rows / total)
