@@ -43,7 +43,7 @@ from .shingles import shingles
 
 PERCENT = 80
 BLOCK_SIGNATURES = 2_000_000
-BUCKET_SHINGLES = 2_000_000
+BUCKET_SHINGLES = 500_000
 GROUP_SHINGLES = 1_000_000
 BROADCAST_NODES = 1_000_000
 SPACES = " \t\n\x0b\x0c\r"  # between words, as shingles() splits
@@ -214,7 +214,7 @@ def candidate_groups(docs: DataFrame, percent: int, seed: int, shingles_in_all:
     task whatever the input; a task goes through its buckets one by one.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(parts, -(-shingles_in_all // BUCKET_SHINGLES))
+    buckets = max(4 * parts, -(-shingles_in_all // BUCKET_SHINGLES))  # several a task, so that tasks are alike
     blocks = _signature_blocks(docs, percent, seed, buckets).repartition(parts, "route")
     found = _pivots(blocks.sortWithinPartitions("route")).groupBy("route").agg(F.collect_list(F.struct("bucket", "places", "pivots")).alias("parts"))
     # both uses of ``blocks`` read all of its columns and rows, so that one exchange serves both
