@@ -21,6 +21,7 @@ from vesseltrack.operators.clean import clean  # noqa: E402
 from vesseltrack.operators.cues import anomaly_cues  # noqa: E402
 from vesseltrack.operators.detect import dark_gaps, impossible_speed  # noqa: E402
 from vesseltrack.operators.features import vessel_features  # noqa: E402
+from vesseltrack.operators.situations import outages, port_calls, zones  # noqa: E402
 from vesseltrack.operators.timeline import daily_last_ping, timeline  # noqa: E402
 from vesseltrack.plans import bronze, store  # noqa: E402
 from vesseltrack.session import get_session, scratch_path  # noqa: E402
@@ -64,6 +65,9 @@ def main(sf_dir: str) -> None:
         ("Anomaly cues (sanctions broadcast after a size check)", anomaly_cues(g, j, sanc)),
         ("Vessel features (one union + one aggregation; sanctions name sets broadcast)",
          vessel_features(g, j, sanc)),
+        ("Outages (gap ends summed per instant, running sums over day buckets)", outages(g)),
+        ("Zones, all levels (finest cells first, then grouping sets over their prefixes)", zones(g, j)),
+        ("Port calls (lag and running sum over day buckets)", port_calls(silver)),
     ]
     out = ["# PLANS", "", f"Physical plans (`explain('formatted')`) at {sf_dir}, generated by "
            "`scripts/explain_plans.py`. Each shows the operator tree and the parquet scans "
