@@ -180,3 +180,18 @@ def test_long_text(spark):
     text = "word " * 200_000 + "password: abcdefgh1" + " x" * 100_000
     row = S.secrets(spark.createDataFrame([(None, text)], "doc_id long, text string")).first()
     assert (row.doc_id, row.n_assign, row.spans) == (None, 1, f"assign:1000000:{1000000 + 19}")
+
+
+def test_registered_query_on_whole_texts(spark):
+    from vesseltrack.llm.registry import QUERIES
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in QUERIES["op11_secret_scan"](spark, sf).collect()}
+    assert got.keys() == texts.keys()
+    found = 0
+    for i, text in texts.items():
+        base = plain_base(text)
+        found += len(base)
+        assert got[i].base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest()
+        assert got[i].n_assign == sum(k == "assign" for k, *_ in base)
+    assert found > 20

@@ -215,10 +215,12 @@ def count_long(texts: DataFrame, path: str, chunk: int = CHUNK_CHARS, overlap: i
         return run
 
     done, longest = None, longest_special(path)
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = overlap
     todo = texts
     while True:
-        cut = map_arrow(todo, cutter(width), part).repartition("key", "part")
+        # a fixed number of parts: chunks are small to move and long to encode, so Spark would put too many into a task
+        cut = map_arrow(todo, cutter(width), part).repartition(tasks, "key", "part")
         # encoded once and stored: the splice reads the few numbers of each chunk twice
         counted = materialize(splice(materialize(encode_chunks(cut, path, width >= longest), "token-chunks")), "token-splices")
         good = counted.where(F.col("n_tokens").isNotNull())
