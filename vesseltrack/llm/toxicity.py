@@ -7,9 +7,9 @@ are counted per bucket and label in Spark, summed over each batch before the
 shuffle; the ``n_buckets`` with the largest chi-square against the label, of
 those with at least ``MIN_CHI_SQUARE`` (chance gives that to one bucket in a
 million), are the features. A term can say nothing by itself and much beside
-another: a second pass counts, among the rows with one of the ``ANCHORS`` buckets
-that point most to toxic rows, every other bucket against the label, and those
-with at least ``MIN_PAIR_CHI_SQUARE`` (the same chance over all anchors) join the
+another: in the sample that the machine is fitted on (below) every other bucket is
+counted against the label among the rows with one of the ``ANCHORS`` buckets that
+point most to toxic rows, and those with at least ``MIN_PAIR_CHI_SQUARE`` (the same chance over all anchors) join the
 features, up to ``PAIR_BUCKETS`` of them. The machine
 
     score = sigmoid(w0 + sum_i w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j)
@@ -143,14 +143,15 @@ def _pair_counts(rows: DataFrame, anchors: np.ndarray) -> DataFrame:
     return counted.groupBy("anchor", "bucket").agg(F.sum("n").alias("n"), F.sum("p").alias("p"))
 
 
-def pair_buckets(rows: DataFrame, counts: DataFrame, total: int, toxic: int) -> list[int]:
-    """Buckets that tell toxic rows from others beside an anchor; the anchors are bounded in number, and so is the result."""
+def pair_buckets(sample: DataFrame, counts: DataFrame, total: int, toxic: int) -> list[int]:
+    """Buckets that tell toxic rows of the sample from others beside an anchor; the anchors are bounded in number, and so is the result."""
     toward = counts.where(F.col("p") * total > F.col("n") * toxic).orderBy(F.col("chi").desc(), "bucket").limit(ANCHORS).collect()
     if not toward:
         return []
-    anchors = [(r.bucket, r.n, r.p) for r in toward]
-    pairs = _pair_counts(rows, np.array([a for a, _, _ in anchors], dtype=np.int32))
-    sized = F.broadcast(rows.sparkSession.createDataFrame([(i, n, p) for i, (_, n, p) in enumerate(anchors)], "anchor int, rows bigint, toxic bigint"))
+    anchors = np.array([r.bucket for r in toward], dtype=np.int32)
+    pairs = materialize(_pair_counts(sample, anchors), "toxicity-pairs")
+    own = F.broadcast(sample.sparkSession.createDataFrame([(i, int(a)) for i, a in enumerate(anchors)], "anchor int, bucket int"))
+    sized = F.broadcast(pairs.join(own, ["anchor", "bucket"]).select("anchor", F.col("n").alias("rows"), F.col("p").alias("toxic")))
     n, p, big, hit = (F.col(c).cast("double") for c in ("n", "p", "rows", "toxic"))
     chi = big * F.pow(p * big - n * hit, 2) / (n * (big - n) * hit * (big - hit))
     told = pairs.join(sized, "anchor").where((F.col("n") >= MIN_ROWS) & (n < big) & (hit > 0) & (hit < big)).withColumn("chi", chi)
@@ -192,12 +193,12 @@ def fit(docs: DataFrame, labels: DataFrame, n_buckets: int = N_BUCKETS, factors:
     counts = _bucket_counts(rows).where((F.col("n") >= MIN_ROWS) & (F.col("n") < total)).withColumn("chi", _chi_square(total, toxic))
     counts = materialize(counts.where(F.col("chi") >= MIN_CHI_SQUARE), "toxicity-terms")
     best = counts.orderBy(F.col("chi").desc(), "bucket").limit(n_buckets).select("bucket").collect()
-    beside = pair_buckets(rows, counts, total, toxic)
+    share = min(1.0, max_train_rows / total)
+    sample = materialize(rows.where(F.pmod("draw", F.lit(10**12)) < int(share * 10**12)).select("text", "y"), "toxicity-rows")
+    beside = pair_buckets(sample, counts, total, toxic)
     buckets = np.unique(np.array([r.bucket for r in best] + beside, dtype=np.int32))
     machine = Machine(buckets, float(np.log(toxic / (total - toxic))), np.zeros(len(buckets)),
                       np.random.default_rng(7).normal(0, 0.01, (len(buckets), factors)))
-    share = min(1.0, max_train_rows / total)
-    sample = rows.where(F.pmod("draw", F.lit(10**12)) < int(share * 10**12))
     return descend(sample, machine, steps)
 
 
