@@ -112,3 +112,23 @@ def test_late_copy_that_is_invalid_removes_the_ping(spark, tmp_path):
     run(spark, tmp_path)
     got = live_events(spark, f"{tmp_path}/out", "dark_gaps").collect()
     assert [(g.gap_hours, g.gap_end) for g in got] == [(20, START + timedelta(minutes=1200))]
+
+
+def test_state_has_a_key_for_many_vessels(spark, tmp_path):
+    rows = [ping(str(200000000 + v), 400 * v % 1400 + 500 * k, rows_lat) for v in range(60) for k, rows_lat in enumerate((10.0, 10.5, 60.0))]
+    for k in range(2):
+        write(spark, rows[k::2], tmp_path / "in")
+    run(spark, tmp_path, files=1, shards=2, groups=4)
+    same_as_batch(spark, rows, f"{tmp_path}/out")
+    state = spark.read.format("statestore").option("stateVarName", "edges").option("operatorId", 0)
+    assert state.load(f"{tmp_path}/check").count() <= 4  # calls of the operators, which cost the time, are per key
+
+
+def test_alerts_of_vessels_that_share_a_key(spark, tmp_path):
+    for minute, vessels in ((0, "12"), (60, "3"), (1200, "4"), (1201, "4"), (2400, "4"), (2401, "4")):
+        write(spark, [ping(f"20000000{v}", minute) for v in vessels], tmp_path / "in")
+        run(spark, tmp_path, lateness="10 minutes", shards=1, groups=1)
+    alerts = spark.read.parquet(f"{tmp_path}/out/gap_open").collect()
+    assert {a.mmsi for a in alerts} >= {"200000001", "200000002", "200000003"}
+    assert len([a for a in alerts if a.mmsi != "200000004"]) == 3  # each silence once
+    assert {a.at - a.last_seen for a in alerts} == {timedelta(hours=6)}

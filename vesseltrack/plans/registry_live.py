@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from vesseltrack import oracle as O
 from vesseltrack.session import pin_utc, scratch_path
 from vesseltrack.sources.fixtures import ais_raw_from_events
-from vesseltrack.streaming.watch import live_events, watch
+from vesseltrack.streaming.watch import SLOT_SECONDS, live_events, watch
 
-FILES, FILES_PER_BATCH = 12, 3
+FILES, FILES_PER_BATCH, MIN_GROUPS = 12, 3, 64
 LATENESS = "400 days"  # no ping of the replay is late, whatever the order
+KEY_PINGS = 2000  # pings that a key of the state should hold in the end
 
 
 def replay(spark: SparkSession, sf_dir: str) -> str:
@@ -21,7 +22,10 @@ def replay(spark: SparkSession, sf_dir: str) -> str:
     landed, out = scratch_path(spark, "live-landed"), scratch_path(spark, "live")
     raw.repartition(FILES, F.xxhash64("mmsi", "base_date_time", "_ingestion_ts")).write.parquet(landed)
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(landed)
-    watch(stream, out, checkpoint=scratch_path(spark, "live-checkpoint"), lateness=LATENESS).awaitTermination()
+    slot = F.floor(F.unix_timestamp("base_date_time") / SLOT_SECONDS)
+    n, slots = spark.read.parquet(landed).agg(F.count("base_date_time"), F.approx_count_distinct(slot)).first()
+    watch(stream, out, checkpoint=scratch_path(spark, "live-checkpoint"), lateness=LATENESS,
+          shards=max(1, -(-n // (max(slots, 1) * KEY_PINGS))), groups=max(MIN_GROUPS, -(-n // KEY_PINGS))).awaitTermination()
     return out
 
 

@@ -46,7 +46,7 @@ def steps_between(pings: list[tuple]) -> set[tuple]:
 
 
 class SlotSteps(StatefulProcessor):
-    """Pings of one vessel in one slot; key (vessel, slot)."""
+    """Pings of some vessels in one slot; key (shard of vessels, slot)."""
 
     def __init__(self, slot_us: int, order_columns: int):
         self.slot_us, self.order_columns = slot_us, order_columns
@@ -56,25 +56,30 @@ class SlotSteps(StatefulProcessor):
         self.state = handle.getValueState("pings", "pings binary")
 
     def handleInputRows(self, key, rows, timerValues):
-        vessel, slot = key
-        pings = pickle.loads(self.state.get()[0]) if self.state.exists() else {}  # ts to (rank, (lat, lon, name) or None)
-        known = bool(pings)
-        before, newest = self._valid(pings), 0
+        slot, known = key[1], self.state.exists()
+        vessels = pickle.loads(self.state.get()[0]) if known else {}  # vessel to ts to (copy, (lat, lon, name) or None)
+        before, newest = {}, {}
         for frame in rows:
             copies = zip(*(_plain(frame[f"c{i}"]) for i in range(self.order_columns)))
-            for ts, valid, *place, copy in zip(frame["ts"].tolist(), frame["valid"].tolist(), *(_plain(frame[c]) for c in PING[1:]), copies):
-                newest, rank = max(newest, ts), _comparable(copy)
-                if ts not in pings or rank > pings[ts][0]:
-                    pings[ts] = rank, tuple(place) if valid else None
-        self.state.update((pickle.dumps(pings),))
+            for vessel, ts, valid, *place, copy in zip(*(frame[c].tolist() for c in ("vessel", "ts", "valid")),
+                                                       *(_plain(frame[c]) for c in PING[1:]), copies):
+                pings = vessels.setdefault(vessel, {})
+                if vessel not in before:
+                    before[vessel], newest[vessel] = self._valid(pings), 0
+                newest[vessel] = max(newest[vessel], ts)
+                if ts not in pings or _comparable(copy) > _comparable(pings[ts][0]):
+                    pings[ts] = copy, tuple(place) if valid else None
+        self.state.update((pickle.dumps(vessels),))
         if not known:
             self.handle.registerTimer((slot + 1) * self.slot_us // 1000)
-        after = self._valid(pings)
-        old, new = steps_between(before), steps_between(after)
-        out = [_row(vessel, STEP, -1, slot, *s, newest) for s in sorted(old - new, key=_by_time)]
-        out += [_row(vessel, STEP, 1, slot, *s, newest) for s in sorted(new - old, key=_by_time)]
-        if [*before[:1], *before[-1:]] != [*after[:1], *after[-1:]]:
-            out.append(_row(vessel, EDGE, 1, slot, *(after[-1:] or [None]), *(after[:1] or [None]), newest))
+        out = []
+        for vessel, was in before.items():
+            now, at = self._valid(vessels[vessel]), newest[vessel]
+            old, new = steps_between(was), steps_between(now)
+            out += [_row(vessel, STEP, -1, slot, *s, at) for s in sorted(old - new, key=_by_time)]
+            out += [_row(vessel, STEP, 1, slot, *s, at) for s in sorted(new - old, key=_by_time)]
+            if [*was[:1], *was[-1:]] != [*now[:1], *now[-1:]]:
+                out.append(_row(vessel, EDGE, 1, slot, *(now[-1:] or [None]), *(now[:1] or [None]), at))
         if out:
             yield _frame(out)
 
@@ -95,7 +100,7 @@ def _by_time(step):
 
 
 class VesselSteps(StatefulProcessor):
-    """Edges of one vessel's slots; key (vessel,)."""
+    """Edges of the slots of some vessels; key (group of vessels,). The group's timer is the earliest of its vessels' alerts."""
 
     def __init__(self, alert_us: int, slot_us: int):
         self.alert_us, self.slot_us = alert_us, slot_us
@@ -105,39 +110,51 @@ class VesselSteps(StatefulProcessor):
         self.state = handle.getValueState("edges", "edges binary, alert bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        vessel = key[0]
-        edges, alert = {}, 0
+        vessels, timer = {}, 0
         if self.state.exists():
-            packed, alert = self.state.get()
-            edges = pickle.loads(packed)  # slot to (first ping, last ping)
-        before, passed, newest = self._crossing(edges), [], 0
+            packed, timer = self.state.get()
+            vessels = pickle.loads(packed)  # vessel to (slot to (first ping, last ping), alert)
+        before, newest, passed = {}, {}, []
         for frame in rows:
-            newest = max(newest, int(frame["at"].max().value // 1000))
-            for r in frame[frame["kind"] == EDGE].itertuples(index=False):
-                if pd.isna(r.ts):
-                    edges.pop(r.slot, None)
+            frame = frame[COLUMNS]
+            for vessel, at in frame.groupby("vessel", sort=False)["at"].max().items():
+                newest[vessel] = max(newest.get(vessel, 0), int(at.value // 1000))
+                if vessel not in before:
+                    vessels.setdefault(vessel, ({}, 0))
+                    before[vessel] = self._crossing(vessels[vessel][0])
+            edges = frame[frame["kind"] == EDGE]
+            last, first = (zip(*(_plain(edges[p + c]) for c in PING)) for p in ("", "prev_"))
+            for vessel, slot, b, a in zip(edges["vessel"].tolist(), edges["slot"].tolist(), last, first):
+                if b[0] is None:
+                    vessels[vessel][0].pop(int(slot), None)
                 else:
-                    edges[int(r.slot)] = tuple((int(t), *(None if pd.isna(v) else v for v in p)) for t, *p in
-                                               ((r.prev_ts, r.prev_lat, r.prev_lon, r.prev_name), (r.ts, r.lat, r.lon, r.name)))
+                    vessels[vessel][0][int(slot)] = (int(a[0]), *a[1:]), (int(b[0]), *b[1:])
             passed.append(frame[frame["kind"] == STEP])
         yield from (p for p in passed if len(p))
-        after = self._crossing(edges)
-        out = [_row(vessel, STEP, -1, None, *s, newest) for s in sorted(before - after, key=_by_time)]
-        out += [_row(vessel, STEP, 1, None, *s, newest) for s in sorted(after - before, key=_by_time)]
-        if edges:
-            due = (edges[max(edges)][1][0] + self.alert_us) // 1000
-            if due != alert:
-                if alert:
-                    self.handle.deleteTimer(alert)
-                self.handle.registerTimer(due)
-                alert = due
-            passed_slots = [s for s in edges if (s + 1) * self.slot_us // 1000 <= timerValues.getCurrentWatermarkInMs()]
-            for s in sorted(passed_slots)[:-1]:
-                del edges[s]
-        self.state.update((pickle.dumps(edges), alert))
+        out, watermark = [], timerValues.getCurrentWatermarkInMs()
+        for vessel, was in before.items():
+            edges, at = vessels[vessel][0], newest[vessel]
+            now = self._crossing(edges)
+            out += [_row(vessel, STEP, -1, None, *s, at) for s in sorted(was - now, key=_by_time)]
+            out += [_row(vessel, STEP, 1, None, *s, at) for s in sorted(now - was, key=_by_time)]
+            if edges:
+                vessels[vessel] = edges, (edges[max(edges)][1][0] + self.alert_us) // 1000
+                for s in sorted(s for s in edges if (s + 1) * self.slot_us // 1000 <= watermark)[:-1]:
+                    del edges[s]
+        self.state.update((pickle.dumps(vessels), self._earliest(vessels, timer)))
         if out:
             yield _frame(out)
 
+    def _earliest(self, vessels, timer: int) -> int:
+        """Moves the group's timer to the earliest alert (0: none)."""
+        due = min((alert for _, alert in vessels.values() if alert), default=0)
+        if due != timer:
+            if timer:
+                self.handle.deleteTimer(timer)
+            if due:
+                self.handle.registerTimer(due)
+        return due
+
     @staticmethod
     def _crossing(edges) -> set[tuple]:
         slots = sorted(edges)
@@ -145,12 +162,18 @@ class VesselSteps(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         if self.state.exists():
-            packed, alert = self.state.get()
-            edges = pickle.loads(packed)
-            if edges and alert == expiredTimerInfo.getExpiryTimeInMs():
-                last = edges[max(edges)][1]
-                self.state.update((packed, 0))
-                yield _frame([_row(key[0], GAP_OPEN, 1, None, last, None, last[0] + self.alert_us)])
+            packed, timer = self.state.get()
+            expired, watermark = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+            if timer == expired:
+                vessels, out = pickle.loads(packed), []
+                for vessel, (edges, alert) in vessels.items():
+                    if alert and edges and (alert == expired or alert < watermark):
+                        last = edges[max(edges)][1]
+                        out.append(_row(vessel, GAP_OPEN, 1, None, last, None, last[0] + self.alert_us))
+                        vessels[vessel] = edges, 0
+                self.state.update((pickle.dumps(vessels), self._earliest(vessels, 0)))
+                if out:
+                    yield _frame(out)
 
     def close(self) -> None:
         pass

@@ -9,13 +9,18 @@ what the batch path finds over the same pings, whatever the order of arrival.
 
 Two stateful operators, so that no vessel is one task:
 
-* ``SlotSteps``, keyed by vessel and time slot: the pings of a slot, deduplicated
+* ``SlotSteps``, by vessel and time slot: the pings of a slot, deduplicated
   by the batch rules; emits the steps inside the slot, and the slot's *edge*
   (first and last ping) when it changed.
-* ``VesselSteps``, keyed by vessel: the edges by slot; emits the steps that cross
+* ``VesselSteps``, by vessel: the edges by slot; emits the steps that cross
   slots. A timer six hours (``alert_hours``) after the vessel's newest ping raises
   a ``gap_open`` row if no newer ping has come by then.
 
+A call per key with its state costs milliseconds, whatever the key holds, so a key
+is not one vessel: the first operator's vessels are dealt into ``shards`` (a key is
+a shard and a slot), the second's into ``groups``. A key's state is read and
+written as a whole; choose both so that it holds about a thousand pings or edges.
+
 ``lateness`` is the watermark's delay: pings later than that are dropped by
 Spark. State older than the watermark is cleared by timers (a slot) and on
 update (a vessel's edges, all but the newest one below the watermark), so it is
@@ -43,6 +48,7 @@ from vesseltrack.streaming.vessel_state import GAP_OPEN, OUTPUT, STEP, SlotSteps
 cloudpickle.register_pickle_by_value(vessel_state)
 
 SLOT_SECONDS = 3600
+SHARDS, GROUPS = 64, 1024
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DETECTORS = {"dark_gaps": dark_gaps, "impossible_speed": impossible_speed}
 
@@ -61,8 +67,13 @@ def _copy_columns(schema) -> list:
     return out
 
 
+def _dealt(keys: int):
+    """Number of a vessel's key, from 0."""
+    return F.pmod(F.xxhash64("vessel"), F.lit(keys))
+
+
 def step_changes(raw: DataFrame, lateness: str = "2 hours", slot_seconds: int = SLOT_SECONDS,
-                 alert_hours: float = DARK_GAP_MIN_HOURS) -> DataFrame:
+                 alert_hours: float = DARK_GAP_MIN_HOURS, shards: int = SHARDS, groups: int = GROUPS) -> DataFrame:
     """Streaming bronze rows to the log of steps, edges' crossings and ``gap_open`` rows.
 
     Pings without a time take part in no step; a null mmsi is a vessel of its own.
@@ -73,10 +84,10 @@ def step_changes(raw: DataFrame, lateness: str = "2 hours", slot_seconds: int =
              .select(F.coalesce(F.concat(F.lit("m"), "mmsi"), F.lit("")).alias("vessel"), F.expr(f"unix_micros(base_date_time) div {slot_us}").alias("slot"),
                      F.unix_micros("base_date_time").alias("ts"), F.col("quality_flag").isNull().alias("valid"),
                      F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("vessel_name").alias("name"),
-                     *_copy_columns(raw.schema), "base_date_time"))
-    inside = pings.groupBy("vessel", "slot").transformWithStateInPandas(
+                     *_copy_columns(raw.schema), "base_date_time").withColumn("shard", _dealt(shards)))
+    inside = pings.groupBy("shard", "slot").transformWithStateInPandas(
         SlotSteps(slot_us, len(COPY_ORDER)), OUTPUT, "append", "eventTime", eventTimeColumnName="at")
-    return inside.groupBy("vessel").transformWithStateInPandas(
+    return inside.withColumn("group", _dealt(groups)).groupBy("group").transformWithStateInPandas(
         VesselSteps(int(alert_hours * 3600 * 1_000_000), slot_us), OUTPUT, "append", "eventTime")
 
 
