@@ -252,3 +252,26 @@ def test_sorted_files_let_a_reader_skip_row_groups(spark):
     assert {k: v[0] for k, v in read.items()} == {k: 40 if k[1] == "vessel" else 999 for k in read}
     assert read["by_vessel", "vessel"][1] < read["plain", "vessel"][1] / 10 <= n / 10
     assert read["by_score", "score"][1] < n / 10
+
+
+def _events(spark, folder) -> str:
+    spark.range(240).selectExpr(
+        "id as event_id", "timestamp_seconds(1704067200 + id * 7200) as ts", "id % 7 as user_id", "'click' as event_type",
+        "cast(id % 40 as double) as value", "'{\"k\": 1}' as props").write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bronze_batch_reads_its_own_files_only(spark, tmp_path, monkeypatch):
+    from vesseltrack.plans import registry_control as R
+    from vesseltrack.sources.fixtures import ais_raw_from_events
+    plans, load = [], R.store.replace_files
+    monkeypatch.setattr(R.store, "replace_files", lambda s, df, *a: plans.append(_plan(df)) or load(s, df, *a))
+    d = _events(spark, tmp_path)
+    got = R._q_bronze_reingest(spark, d)
+    assert len(plans) == 4 and all("PartitionFilters: [" in p and "PartitionFilters: []" not in p for p in plans)
+    assert sorted(map(repr, got.select("mmsi", "base_date_time", "_source_file").collect())) == sorted(
+        map(repr, ais_raw_from_events(spark, d).select("mmsi", "base_date_time", "_source_file").collect()))

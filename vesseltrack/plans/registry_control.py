@@ -103,6 +103,13 @@ def _q_replace_roundtrip(spark, d):
     return for_compare(spark.table(table).select(*[c for c in spark.table(table).columns]))
 
 
+def _by_file(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """The pings in a folder per file, as files land: a batch reads its own files only."""
+    path = scratch_path(spark, "bronze-landed")
+    raw.write.partitionBy("_source_file").parquet(path)
+    return spark.read.schema(raw.schema).parquet(path).select(*raw.columns)
+
+
 def _q_bronze_reingest(spark, d):
     """Bronze loaded file by file in weekly batches, with the first week's files loaded again.
 
@@ -112,7 +119,7 @@ def _q_bronze_reingest(spark, d):
     db = f"vt_bronze_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
     table = f"{db}.ais_raw"
-    raw = ais_raw_from_events(spark, d)
+    raw = _by_file(spark, ais_raw_from_events(spark, d))
     day = date_from_filename(F.col("_source_file"))
     weeks = _weeks(raw.select(F.min(day), F.max(day)).first())
     for a, b in [*weeks, weeks[0]]:  # the first week is loaded again
