@@ -275,3 +275,11 @@ def test_bronze_batch_reads_its_own_files_only(spark, tmp_path, monkeypatch):
     assert len(plans) == 4 and all("PartitionFilters: [" in p and "PartitionFilters: []" not in p for p in plans)
     assert sorted(map(repr, got.select("mmsi", "base_date_time", "_source_file").collect())) == sorted(
         map(repr, ais_raw_from_events(spark, d).select("mmsi", "base_date_time", "_source_file").collect()))
+
+
+def test_replace_roundtrip_cleans_once(spark, tmp_path, monkeypatch):
+    from vesseltrack.plans import registry_control as R
+    plans, steps = [], R.timeline
+    monkeypatch.setattr(R, "timeline", lambda silver, w: plans.append(_plan(silver)) or steps(silver, w))
+    R._q_replace_roundtrip(spark, _events(spark, tmp_path))
+    assert len(plans) == 5 and not any("Window" in p for p in plans)
