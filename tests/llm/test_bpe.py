@@ -71,3 +71,21 @@ def test_one_exchange_serves_words_and_places(spark):
     text = plan._jdf.queryExecution().executedPlan()
     plan.collect()
     assert "ReusedExchange" in plan._jdf.queryExecution().executedPlan().toString() or "ReusedExchange" in text.toString()
+
+
+def test_a_block_needs_little_memory():
+    import random
+    import tracemalloc
+
+    import regex
+    rng = random.Random(5)
+    split, words = regex.compile(PATTERN), ["".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(60_000)]
+    tracemalloc.start()
+    block = bpe.Block()
+    while block.chars < min(bpe.BLOCK_CHARS, 12 << 20):
+        block.add(len(block.ids), " ".join(rng.choices(words, k=2000)))
+    for _ in block.rows(0, split, 36):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20, peak

@@ -25,6 +25,7 @@ import base64
 import hashlib
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -40,7 +41,7 @@ from vesseltrack.session import ship_package
 from .common import map_arrow
 from .cuts import all_blanks_stable, pieces
 
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 4 << 20  # its pieces and places are in memory at once
 MAX_VOCABULARY = 1 << 20
 CACHE_WORDS = 1_000_000
 BUCKETS_PER_PARTITION = 3
@@ -154,23 +155,33 @@ class Block:
         self.places.append(np.array(at, dtype=np.uint32))
 
     def rows(self, block: int, pattern, buckets: int) -> Iterable[dict]:
-        """The words by bucket, then the places."""
-        words, each, of = {}, [], []
+        """The words by bucket, then the places. The block is used up: what is done with is let go before more is made."""
+        self.whole.clear()
+        self.behind.clear()
+        words, each, of = {}, array("i"), array("i")
         for piece in self.pieces:
             found = pattern.findall(piece)
             each.append(len(found))
-            of += [words.setdefault(w, len(words)) for w in found]
-        each, of = np.array(each, dtype=np.int64), np.array(of, dtype=np.int64)
-        at = np.concatenate(self.places).astype(np.int64)
-        n = each[at]  # words of each piece that comes
-        start = np.cumsum(each) - each
-        flat = of[np.repeat(start[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(at) else of[:0]
+            of.extend([words.setdefault(w, len(words)) for w in found])
+        self.pieces.clear()
+        each, of = np.array(each, dtype=np.int32), np.array(of, dtype=np.int32)
         piece_n = np.array([len(p) for p in self.places])
+        at = np.concatenate(self.places)
+        self.places.clear()
+        n = each[at]  # words of each piece that comes
         per_doc = np.add.reduceat(np.append(n, 0), np.minimum(np.cumsum(piece_n) - piece_n, len(n))) * (piece_n > 0)
+        ends = np.cumsum(n, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        start = np.cumsum(each, dtype=np.int64) - each
+        flat = np.repeat(start[at] - (ends - n), n)
+        del at, n, ends
+        flat += np.arange(total)
+        flat = of[flat]
         order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
-        rank = np.empty(len(words), dtype=np.int64)
+        rank = np.empty(len(words), dtype=np.uint32)
         rank[order] = np.arange(len(words))
         spelled = [w.encode("utf-8", "surrogatepass") for w in words]
+        words.clear()
         spelled = [spelled[i] for i in order]
         bucket = np.array([zlib.crc32(w) % buckets for w in spelled], dtype=np.int64)
         by = np.argsort(bucket, kind="stable")  # within a bucket the frequent words first, as in the whole list
