@@ -29,6 +29,20 @@ def test_csv_missing_tokens(spark, tmpdir_fresh):
     assert b["heading"] is None  # non-integral int -> null
 
 
+def test_file_name_is_no_pattern_search_in_each_row(spark, tmpdir_fresh):
+    """A pattern tries every letter of every folder: with long folder names that took longer than reading the row."""
+    folder = os.path.join(tmpdir_fresh, "a" * 100, "b c%20" + "d" * 90)
+    os.makedirs(folder)
+    names = ["ais-2024-01-01.csv", "ais 2024.csv"]
+    for name in names:
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(HEADER + "\n001234567,2024-01-01 00:00:03,-70.1,43.6,NA,358.8,,N/A,null,WDB,90,0,,,NaN,90,A\n")
+    got = read_ais(spark, folder, spread=2)
+    assert "regexp" not in got._jdf.queryExecution().executedPlan().toString()
+    by_pattern = spark.read.text(folder).select(F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("f")).distinct()
+    assert {r["_source_file"] for r in got.collect()} == {r["f"] for r in by_pattern.collect()} and len(names) == got.count()
+
+
 def test_ndjson_entities(spark, tmpdir_fresh):
     p = os.path.join(tmpdir_fresh, "entities.json")
     with open(p, "w") as f:

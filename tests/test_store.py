@@ -58,6 +58,26 @@ def test_replace_files(spark):
     assert sorted((r["v"], r["_source_file"]) for r in spark.table(t).collect()) == got
 
 
+def test_a_row_costs_the_same_in_a_batch_of_many_files(spark, monkeypatch):
+    """No metric for each file of the batch; counts, days without a value and files without rows are right all the same."""
+    from pyspark.sql.classic.dataframe import DataFrame as Frame
+    widths, observe = [], Frame.observe
+    monkeypatch.setattr(Frame, "observe", lambda df, obs, *exprs: widths.append(len(exprs)) or observe(df, obs, *exprs))
+    cols = ["_event_date", "_source_file"]
+    for n in (2, 40):
+        t, names = _t("raw"), [f"f {i}%.csv" for i in range(n)]
+        rows = spark.range(n * 3).selectExpr("id as v", "if(id % 3 = 0, null, date_add(DATE'2024-01-01', cast(id % 2 as int))) as _event_date",
+                                             f"concat('f ', id % {n}, '%.csv') as _source_file")
+        got = {}
+        assert store.replace_files(spark, rows, t, [*names, "empty"], cols, got) == n * 3
+        assert got == {**dict.fromkeys(names, 3), "empty": 0}
+        assert sorted(map(repr, spark.table(t).select(*rows.columns).collect())) == sorted(map(repr, rows.collect()))
+        got = {}
+        assert store.replace_files(spark, rows.where("false"), t, names[:1], cols, got) == 0 and got == {names[0]: 0}
+        assert spark.table(t).count() == n * 3 - 3
+    assert all(w <= 3 for w in widths)
+
+
 def test_names_with_quotes_and_separators(spark):
     t = _t("raw")
     names = ["it's \\ odd.csv", "a=b/c d.csv", "100%25.csv"]

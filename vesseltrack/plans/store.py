@@ -138,6 +138,12 @@ def _staged_partitions(spark: SparkSession, stage: str, columns: list[str], days
     return out
 
 
+def _staged_rows(spark: SparkSession, df: DataFrame, stage: str, columns: list[str]) -> dict[tuple, int]:
+    """Rows of each partition that was staged: folder names and row counts only."""
+    staged = spark.read.schema(df.schema).parquet(stage)
+    return {tuple(r[:-1]): r[-1] for r in staged.groupBy(*[F.col(c).cast("string").alias(c) for c in columns]).count().collect()}
+
+
 def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
                     partition_by: str | None = None, cluster_by=()) -> int:
     """K3/K5: replace the whole table (snapshot, full rebuild). Returns rows written.
@@ -212,33 +218,32 @@ def replace_files(spark: SparkSession, df: DataFrame, table: str, files: list[st
 
     The last of ``partition_cols`` (default: ``_source_file``) names the file.
     Returns the rows written; with ``per_file`` (a dict) also fills in the rows
-    of each file. Both are observed metrics of the staging write (one
-    ``count_if`` per file of the batch, no second scan).
+    of each file. Both come from the staged files' footers (no column is read),
+    so a row costs the same however many files the batch has.
     """
     ensure_namespace(spark, table)
     cols = partition_cols or ["_source_file"]
     files = list(files)
-    key = F.col(cols[-1])
     if not spark.catalog.tableExists(table):
         _create_empty(spark, df, table, cols)
     stage = f"{_root(spark, table)}/_stage-{uuid.uuid4().hex}"
-    obs = Observation("replace-files")
-    df = df.select(*spark.table(table).columns).observe(
-        obs, F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(*[F.col(c).cast("string") for c in cols])).alias("parts"),
-        *[F.count_if(key == F.lit(f)).alias(f"f{i}") for i, f in enumerate(files)])
+    df = df.select(*spark.table(table).columns)
     try:
         df.write.format("parquet").partitionBy(*cols).save(stage)
-        m = obs.get
-        if strange := {p[len(cols) - 1] for p in m["parts"]} - set(files):
+        found = _staged_rows(spark, df, stage, cols)
+        if strange := {p[-1] for p in found} - set(files):
             raise ValueError(f"rows of files that are not being replaced: {sorted(map(str, strange))[:3]}")
     except Exception:
         _remove(spark, stage)
         raise
     gone = {v for v in partition_values(spark, table, cols) if v[-1] in set(files)}
-    _switch_partitions(spark, table, cols, _staged_partitions(spark, stage, cols, m["parts"]), gone)
+    _switch_partitions(spark, table, cols, _staged_partitions(spark, stage, cols, list(found)), gone)
     if per_file is not None:
-        per_file.update({f: m[f"f{i}"] for i, f in enumerate(files)})
-    return m["rows"]
+        counts = dict.fromkeys(files, 0)
+        for p, n in found.items():
+            counts[p[-1]] += n
+        per_file.update(counts)
+    return sum(found.values())
 
 
 def commit_watermark(spark: SparkSession, table: str, window) -> bool:

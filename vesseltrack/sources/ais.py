@@ -33,7 +33,8 @@ def with_csv_options(reader):
 
 
 def source_file_name() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+    # the text after the last slash, looked for from the end: a pattern would try every letter of the folders, for each row
+    return F.substring_index(F.col("_metadata.file_path"), "/", -1)
 
 
 def read_ais(spark: SparkSession, paths: str | Sequence[str], source_file: bool = True, spread: int = 0) -> DataFrame:
