@@ -43,6 +43,23 @@ def test_file_name_is_no_pattern_search_in_each_row(spark, tmpdir_fresh):
     assert {r["_source_file"] for r in got.collect()} == {r["f"] for r in by_pattern.collect()} and len(names) == got.count()
 
 
+def test_each_cell_is_parsed_once(spark, tmpdir_fresh):
+    """Whole numbers were trimmed and parsed four times, fractions twice."""
+    p = os.path.join(tmpdir_fresh, "ais-2024-01-01.csv")
+    cells = ["1", " 7 ", "7.0", "7.5", "", " NaN ", "NAN", "1e3", "3e9", "1e30", "Infinity", "x", "-0"]
+    with open(p, "w") as f:
+        f.write(HEADER + "\n")
+        for i, c in enumerate(cells):
+            f.write(f"{i:09d},2024-01-01 00:00:03,{c},43.6,1,2,{c},N,I,C,90,0,1,2,3,90,A\n")
+    got = read_ais(spark, p)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    for c in ("longitude", "heading"):
+        assert plan.count(f"trim({c}#") == 1 and plan.count(f"try_cast({c}#") <= 2
+    rows = got.orderBy("mmsi").select("longitude", "heading").collect()
+    assert [r["longitude"] for r in rows] == [1, 7, 7, 7.5, None, None, None, 1000, 3e9, 1e30, float("inf"), None, 0]
+    assert [r["heading"] for r in rows] == [1, 7, 7, None, None, None, None, 1000, None, None, None, None, 0]
+
+
 def test_ndjson_entities(spark, tmpdir_fresh):
     p = os.path.join(tmpdir_fresh, "entities.json")
     with open(p, "w") as f:

@@ -58,24 +58,32 @@ def read_ais(spark: SparkSession, paths: str | Sequence[str], source_file: bool
         extra = ["_source_file"] if source_file else []
     if spread:
         raw = raw.repartition(F.col("_source_file"), F.pmod(F.hash("mmsi", "base_date_time"), F.lit(spread)))
-    return raw.select(*typed_ais_columns(), *extra)
+    return typed_ais(raw, *extra)
 
 
-def typed_ais_columns() -> list[Column]:
-    """Casts from all-text AIS columns to the declared schema, missing tokens nulled."""
-    cols = []
-    for field in AIS_SCHEMA.fields:
-        c = normalise_missing(F.col(field.name), trimmed=field.name in NUMERIC)
-        if isinstance(field.dataType, T.TimestampType):
+def typed_ais(raw: DataFrame, *extra: str | Column) -> DataFrame:
+    """All-text AIS columns cast to the declared schema, missing tokens nulled; ``extra`` columns are kept.
+
+    Text is read in a step of its own: the test for integers looks at a number
+    three times, and the text under it would be trimmed and parsed each time.
+    """
+    kinds = {f.name: f.dataType for f in AIS_SCHEMA}
+    read, cols = [], []
+    for name, kind in kinds.items():
+        c = normalise_missing(F.col(name), trimmed=name in NUMERIC)
+        out = F.col(name)
+        if isinstance(kind, T.TimestampType):
             c = F.try_to_timestamp(c, F.lit(TIMESTAMP_FORMAT))
-        elif isinstance(field.dataType, T.IntegerType):
+        elif isinstance(kind, T.IntegerType):
+            c = c.try_cast("double")
             # Integral text only; a fractional value is null rather than a failed file.
-            d = c.try_cast("double")
-            c = F.when(d == F.floor(d), d.try_cast("int"))
-        elif isinstance(field.dataType, T.DoubleType):
+            out = F.when(out == F.floor(out), out.try_cast("int")).alias(name)
+        elif isinstance(kind, T.DoubleType):
             c = nan_to_null(c.try_cast("double"))
-        cols.append(c.alias(field.name))
-    return cols
+        read.append(c.alias(name))
+        cols.append(out)
+    kept = raw.select(*read, *extra)
+    return kept.select(*cols, *kept.columns[len(cols):])
 
 
 def normalise_missing(c: Column, trimmed: bool = True) -> Column:
@@ -85,7 +93,7 @@ def normalise_missing(c: Column, trimmed: bool = True) -> Column:
 
 def nan_to_null(c: Column) -> Column:
     """NaN compares greater than every number in Spark; treat it as missing instead."""
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def with_lineage(df: DataFrame, source_file: Column | str | None = None,

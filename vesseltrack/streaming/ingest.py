@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vesseltrack.plans import bronze
 from vesseltrack.session import ensure_checkpoint_dir, pin_utc
-from vesseltrack.sources.ais import source_file_name, typed_ais_columns, with_csv_options, with_lineage
+from vesseltrack.sources.ais import source_file_name, typed_ais, with_csv_options, with_lineage
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
@@ -35,7 +35,7 @@ def ingest_stream(spark: SparkSession, landing_dir: str, table: str = "bronze.ai
     pin_utc(spark)
     src = with_csv_options(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
                            .option("pathGlobFilter", pattern)).csv(landing_dir)
-    rows = src.select(*typed_ais_columns(), source_file_name().alias("_source_file"))
+    rows = typed_ais(src, source_file_name().alias("_source_file"))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         # a retried batch replaces the same files' rows; at most maxFilesPerTrigger names
